@@ -70,9 +70,9 @@ def wavelet_transform(
     return pieces_to_frames(map_blocks(frames, lambda stack: detail(stack, scales, level), size, wavelet_halo(scales)))
 
 
-def wavelet_2d(frames: DataFrame, scale: int, level: int | None = None, column: str = "px", out: str = "px") -> DataFrame:
+def wavelet_2d(frames: DataFrame, scale: int, level: int | None = None) -> DataFrame:
     """Spatial a-trous detail of each frame."""
-    return map_frames(frames, lambda stack: detail(stack, (0, scale, scale), level), column, out)
+    return map_frames(frames, lambda stack: detail(stack, (0, scale, scale), level))
 
 
 def rolling_quantile(stack: np.ndarray, half_window: int, quantile: float) -> np.ndarray:

@@ -11,23 +11,20 @@ from stackweave.session import Scratch
 def connected_groups(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """The lowest id of every vertex's group: ``(id, grp)`` for all vertices of ``edges(a, b)``.
 
-    Each round takes the lowest label among the neighbours and then the label of that label,
-    so chains shrink by half. Rounds are written out, which cuts the lineage.
+    Rounds of contraction: every vertex moves to its lowest neighbour, and on to that one's,
+    and edges inside a contracted vertex vanish. At least half of the vertices go in each
+    round, so the rounds are few and later ones small. Each round is written out.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = scratch.write(both)
-    base = scratch.step
-    labels = scratch.write(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("grp")).select(F.col("a").alias("id"), "grp"))
-    while True:
-        # Partial minima before the shuffle: a vertex with very many neighbours stays cheap.
-        seen = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("grp").alias("low"))
-        near = labels.join(seen, labels["id"] == seen["a"]).select("id", F.col("grp").alias("old"), F.least("grp", "low").alias("low"))
-        of_low = labels.select(F.col("id").alias("low"), F.col("grp").alias("next"))
-        jumped = near.join(of_low, "low").select("id", "old", F.least("low", "next").alias("grp"))
-        done = scratch.write(jumped)
-        if scratch.step - 2 > base:
-            scratch.drop_before(scratch.step - 2)
-        changed = done.where("grp <> old").limit(1).count()
-        labels = done.select("id", "grp")
-        if not changed:
-            return labels
+    live = scratch.write(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = live.select(F.col("a").alias("id"), F.col("a").alias("grp")).distinct()
+    while not live.isEmpty():
+        # A partial minimum comes before the shuffle: many neighbours of one vertex are cheap.
+        up = live.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up"))
+        top = up.select(F.col("a").alias("up"), F.col("up").alias("to"))
+        moves = scratch.write(up.join(top, "up").select(F.col("a").alias("from"), "to"))
+        relabelled = labels.join(moves, labels["grp"] == moves["from"], "left")
+        labels = scratch.write(relabelled.select("id", F.coalesce("to", "grp").alias("grp")))
+        moved_a = live.join(moves, live["a"] == moves["from"]).select(F.col("to").alias("a"), "b")
+        moved_b = moved_a.join(moves, moved_a["b"] == moves["from"]).select("a", F.col("to").alias("b"))
+        live = scratch.write(moved_b.where("a <> b").distinct())
+    return labels

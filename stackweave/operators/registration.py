@@ -291,6 +291,9 @@ def align(shifted: DataFrame, as_written: bool = False) -> DataFrame:
 def register(
     frames: DataFrame, rounds: int = 5, history: float = 0.25, stop: float = 0.0, as_written: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Registered frames and their shifts ``(t, dy, dx)``."""
+    """Registered frames and their shifts ``(t, dy, dx)``.
+
+    The frames are read once per round: give a stored stack, not a long derivation.
+    """
     shifted = estimate_shifts(frames, rounds, history, stop, as_written)
     return align(shifted, as_written), shifted.select("t", "dy", "dx")

@@ -5,15 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stackweave.functions.arrays import let, mean, spread
 from stackweave.functions.kernels import flood, spread_labels
 from stackweave.model import ROI_PIXELS, ROI_TABLE, explode_frames
-from stackweave.operators.filters import wavelet_2d
-from stackweave.operators.frames import map_frames
+from stackweave.operators.filters import detail
+from stackweave.operators.frames import add_images
 from stackweave.operators.graph import connected_groups
 from stackweave.session import Scratch
 
@@ -61,19 +61,24 @@ def significant_mask(frames: DataFrame, noise: float = 3.0, significance: float
     return frames.withColumn(out, mark)
 
 
+def region_labels(masks: np.ndarray) -> np.ndarray:
+    return np.stack([spread_labels(m > 0) for m in masks])
+
+
+def peak_marks(stack: np.ndarray) -> np.ndarray:
+    wide = np.pad(stack, ((0, 0), (1, 1), (1, 1)), constant_values=-np.inf)
+    views = np.lib.stride_tricks.sliding_window_view(wide, (3, 3), axis=(1, 2))
+    return stack >= views.max(axis=(3, 4))
+
+
 def label_regions(frames: DataFrame, column: str = "mask", out: str = "region") -> DataFrame:
     """Add the label image of 8-connected regions: 1 + the first pixel of the region, or 0."""
-    return map_frames(frames, lambda stack: np.stack([spread_labels(m > 0) for m in stack]), column, out)
+    return add_images(frames, lambda masks: [region_labels(masks)], [column], [out])
 
 
 def mark_peaks(frames: DataFrame, column: str = "px", out: str = "peak") -> DataFrame:
     """Add a 0/1 image of the pixels no 8-neighbour exceeds."""
-    def peaks(stack: np.ndarray) -> np.ndarray:
-        wide = np.pad(stack, ((0, 0), (1, 1), (1, 1)), constant_values=-np.inf)
-        views = np.lib.stride_tricks.sliding_window_view(wide, (3, 3), axis=(1, 2))
-        return (stack >= views.max(axis=(3, 4))).astype(float)
-
-    return map_frames(frames, peaks, column, out)
+    return add_images(frames, lambda stack: [peak_marks(stack)], [column], [out])
 
 
 # -- per region --------------------------------------------------------------------------
@@ -146,29 +151,32 @@ def keep_distant_peaks(peaks: DataFrame, distance: float, key: str = "t", value:
     return mine.join(other, beaten, "left_anti").drop("_cy", "_cx")
 
 
-def split_regions(pixels: DataFrame, peaks: DataFrame, *keys: str) -> DataFrame:
-    """Divide regions among their peaks by growing the peaks step by step: adds ``seg``.
+def split_regions(pixels: DataFrame, peaks: DataFrame) -> DataFrame:
+    """Divide regions ``(t, region)`` among their peaks by growing the peaks: adds ``seg``.
 
-    A group is one region, which is at most one image. Regions without a peak disappear.
+    A group is one image, and all its regions grow together. Regions without a peak disappear.
     """
-    seeded = pixels.join(peaks.select(*keys, "y", "x", F.lit(1).alias("seed")), [*keys, "y", "x"], "left")
-
-    def grow(rows: pd.DataFrame) -> pd.DataFrame:
-        y, x = rows.y.to_numpy() - rows.y.min(), rows.x.to_numpy() - rows.x.min()
-        region = np.zeros((y.max() + 1, x.max() + 1), dtype=int)
+    seeded = pixels.join(peaks.select("t", "region", "y", "x", F.lit(1).alias("seed")), ["t", "region", "y", "x"], "left")
+    names = seeded.columns
+    kept = [c for c in names if c != "seed"]
+
+    def grow(table: pa.Table) -> pa.Table:
+        y, x = table.column("y").to_numpy(), table.column("x").to_numpy()
+        y, x = y - y.min(), x - x.min()
+        region = np.zeros((y.max() + 1, x.max() + 1), dtype=np.int64)
+        region[y, x] = np.unique(table.column("region").to_numpy(), return_inverse=True)[1] + 1
+        marked = np.nonzero(table.column("seed").is_valid().to_numpy(zero_copy_only=False))[0]
+        order = marked[np.lexsort((x[marked], y[marked]))]
         seeds = np.zeros_like(region)
-        region[y, x] = 1
-        marked = rows.seed.notna().to_numpy()
-        order = np.lexsort((x[marked], y[marked]))
-        seeds[y[marked][order], x[marked][order]] = np.arange(1, marked.sum() + 1)
-        rows = rows.assign(seg=flood(region, seeds)[y, x].astype(np.int64))
-        return rows[rows.seg > 0].drop(columns="seed")
+        seeds[y[order], x[order]] = np.arange(1, len(order) + 1)
+        seg = flood(region, seeds)[y, x]
+        return table.select(kept).append_column("seg", pa.array(seg, pa.int64())).filter(pa.array(seg > 0))
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in seeded.schema.fields if f.name != "seed")
-    return seeded.groupBy(*keys).applyInPandas(grow, f"{fields}, seg long")
+    return seeded.groupBy("t").applyInArrow(grow, f"{fields}, seg long")
 
 
-def extract_rois(atoms: DataFrame, params: ExtractParams = ExtractParams()) -> tuple[DataFrame, DataFrame]:
+def extract_rois(atoms: DataFrame, scratch: Scratch, params: ExtractParams = ExtractParams()) -> tuple[DataFrame, DataFrame]:
     """Regions found in atom images ``(atom, h, w, px)``: the region table and its pixels.
 
     Wavelet detail, noise, significant pixels and connected regions are narrow steps on the
@@ -176,25 +184,26 @@ def extract_rois(atoms: DataFrame, params: ExtractParams = ExtractParams()) -> t
     back to the next finer detail once. ``w`` of a region pixel is the atom's value there.
     """
     p = params
+    scale, finer = (0, p.wavelet_scale, p.wavelet_scale), (0, *[max(p.wavelet_scale - 1, 1)] * 2)
     images = atoms.withColumnRenamed("atom", "t")
-    for scale, name in ((p.wavelet_scale, "wav"), (max(p.wavelet_scale - 1, 1), "fine")):
-        images = wavelet_2d(images, scale, out=name)
-        images = significant_mask(images, p.noise, p.significance, name, f"{name}_mask")
-    both = F.zip_with("wav_mask", "fine_mask", lambda a, b: a * b)
-    images = label_regions(images, "wav_mask", "region")
-    images = label_regions(images.withColumn("fine_mask", both), "fine_mask", "fine_region")
-    images = mark_peaks(images, "wav")
-    cells = F.arrays_zip("px", "wav", "region", "fine_region", "peak")
-    rows = _significant_rows(images, cells)
+    images = add_images(images, lambda px: [detail(px, scale), detail(px, finer)], ["px"], ["wav", "fine"])
+    images = significant_mask(images, p.noise, p.significance, "wav", "wav_mask")
+    images = significant_mask(images, p.noise, p.significance, "fine", "fine_mask")
+    images = add_images(
+        images, lambda wav, mask, fine: [region_labels(mask), region_labels(mask * fine), peak_marks(wav)],
+        ["wav", "wav_mask", "fine_mask"], ["region", "fine_region", "peak"],
+    )
+    # Read several times below, so the numpy steps run once and their few pixels are kept.
+    rows = scratch.write(_significant_rows(images, F.arrays_zip("px", "wav", "region", "fine_region", "peak")))
     fits = within(region_props(rows, "t", "region"), major=p.major_axis).select("t", "region", F.lit(True).alias("fits"))
     rows = rows.join(fits, ["t", "region"], "left").withColumn(
         "region", F.when(F.col("fits"), F.col("region")).when(F.col("fine") > 0, -F.col("fine"))
     ).where("region IS NOT NULL").drop("fits", "fine")
     peaks = rows.where("peak").select("t", "region", "y", "x", "wav")
     peaks = keep_distant_peaks(keep_high_peaks(rows, peaks, p.below_peak, "t", "region"), p.peak_distance)
-    parts = split_regions(rows.select("t", "region", "y", "x", "w"), peaks, "t", "region")
+    parts = scratch.write(split_regions(rows.select("t", "region", "y", "x", "w"), peaks))
     props = within(region_props(parts, "t", "region", "seg"), area=p.area, eccentricity=p.eccentricity)
-    numbered = number_rois(props)
+    numbered = scratch.write(number_rois(props))
     pixels = parts.join(numbered.select("t", "region", "seg", "roi_id"), ["t", "region", "seg"])
     table = numbered.select("roi_id", F.col("t").alias("atom"), "area", "cy", "cx", "major", "minor", "eccentricity", "max_v")
     return table, pixels.select("roi_id", "y", "x", "w")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.model import frames_from
+from stackweave.model import frames_from, to_frames
 
 SHAPE = (8, 8)
 
@@ -46,6 +46,24 @@ def wk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SALES_SHAPE = (17, 7)
+
+
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly turnover by quantity and line as 17 x 7 frames, falling along both: a steady picture."""
+    price = (
+        read(spark, sf_dir, "lineitem")
+        .groupBy(
+            F.expr("cast((year(l_shipdate) - 1992) * 4 + quarter(l_shipdate) - 1 as bigint)").alias("t"),
+            F.expr("cast(floor((l_quantity - 1) / 3) as int)").alias("y"),
+            F.expr("cast(l_linenumber - 1 as int)").alias("x"),
+        )
+        .agg((F.sum(F.col("l_extendedprice") / F.col("l_linenumber")) / F.lit(10000.0)).alias("v"))
+    )
+    first = price.agg(F.min("t")).scalar()
+    return to_frames(price.withColumn("t", F.col("t") - first), SALES_SHAPE)
+
+
 def tr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily value of each user as a time series; cents are summed as integers."""
     return (

@@ -61,7 +61,7 @@ def run_pipeline(store: DatasetStore, frames: DataFrame, params: PipelineParams
     learned = fit(shuffled, alpha=p.alpha, rounds=p.fit_rounds, chunks=p.fit_chunks, init=first)
     atoms = store.put("dict", atoms_frame(spark, learned))
     store.put("code", sparse_encode(normed, atoms, k=p.code_atoms))
-    _, found = extract_rois(atoms, p.extract)
+    _, found = extract_rois(atoms, scratch, p.extract)
     merged = scratch.write(merge_rois(scratch.write(found), scratch, p.merge))
     pixels = renumber(merged)
     pixels = store.put("post/pixels", pixels)

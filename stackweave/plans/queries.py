@@ -565,7 +565,7 @@ def register_round(spark, sf):
 
 @query()
 def register(spark, sf):
-    images, _ = registration.register(fx.emb_wide(spark, sf))
+    images, _ = registration.register(Scratch(spark, "register").write(fx.sales(spark, sf)))
     return pixels(images)
 
 
@@ -768,7 +768,7 @@ SMALL = roi.ExtractParams(significance=3.0, wavelet_scale=2, noise=1.0, major_ax
 
 @query()
 def roi_extract(spark, sf):
-    table, _ = roi.extract_rois(fx.emb_wide(spark, sf).withColumnRenamed("t", "atom"), SMALL)
+    table, _ = roi.extract_rois(fx.emb_wide(spark, sf).withColumnRenamed("t", "atom"), Scratch(spark, "extract"), SMALL)
     return rounded(table, *SHAPE_COLS)
 
 
@@ -776,5 +776,5 @@ def roi_extract(spark, sf):
 def workflow(spark, sf):
     """All stages from raw frames to traces."""
     params = PipelineParams(register_rounds=2, n_atoms=8, fit_rounds=3, code_atoms=2, seed=SEED, extract=SMALL)
-    store = run_pipeline(store_at(spark, "workflow"), fx.emb_wide(spark, sf), params)
+    store = run_pipeline(store_at(spark, "workflow"), fx.sales(spark, sf), params)
     return rounded(store["traces"], "value")
