@@ -16,6 +16,9 @@ INTEGER_BOUNDS = {
 }
 
 
+TOP_LONG = 9.223372036854775807e18
+
+
 def map_values(stack: DataFrame, fn) -> DataFrame:
     """Apply a column function to every pixel value of either form."""
     if is_frames(stack):
@@ -69,40 +72,25 @@ def norm_layer(stack: DataFrame, dtype: str = "uint8") -> DataFrame:
     whole = dtype in INTEGER_BOUNDS
     if not whole and dtype not in ("float32", "float64"):
         raise ValueError(f"unknown output type {dtype!r}")
-    low_out, high_out = INTEGER_BOUNDS.get(dtype, (0, 1))
-    low_out, high_out = F.lit(float(low_out)), F.lit(float(high_out))
-    blank = F.lit(0.0 if whole else float("nan"))
-    bounds = stack.withColumn("_lo", global_stat(stack, "min")).withColumn("_hi", global_stat(stack, "max"))
-    inf = F.lit(float("inf"))
-
-    def rescale(v: Column, low: Column, high: Column) -> Column:
-        # A NaN or infinite bound spoils the scale in the same way for every pixel: the
-        # expression below then yields NaN, as floating-point arithmetic does.
-        span = high - low
-        scaled = F.when(span == 0, F.lit(float("nan"))).otherwise(
-            (v - low) * ((high_out - low_out) / F.when(span == 0, F.lit(1.0)).otherwise(span)) + low_out
-        )
-        clipped = (
-            F.when(F.isnan(scaled), blank)
-            .when((scaled == inf) | (scaled > high_out), high_out)
-            .when(scaled < low_out, low_out)
-            .otherwise(scaled)
-        )
+    low_out, high_out = map(float, INTEGER_BOUNDS.get(dtype, (0, 1)))
+    low, high = global_stat(stack, "min"), global_stat(stack, "max")
+    # The scale is found once per row; a constant, NaN or infinite range makes it NaN or 0, and
+    # the products below are then NaN as in plain floating-point arithmetic.
+    bounds = stack.withColumn("_lo", low).withColumn("_span", high - F.col("_lo"))
+    scale = F.when(F.col("_span") == 0, F.lit(float("nan"))).otherwise(F.lit(high_out - low_out) / F.nullif("_span", F.lit(0.0)))
+
+    def rescale(v: Column, lowest: Column, factor: Column) -> Column:
+        scaled = (v - lowest) * factor + F.lit(low_out)
         if not whole:
-            return clipped
-        # The top of a 64-bit range is not a double; truncation is exact below it.
-        return F.when(clipped >= F.lit(9.223372036854775e18), F.lit(9223372036854775807)).otherwise(
-            F.least(clipped, F.lit(9.223372036854775e18)).cast("long")
-        )
+            return F.when(F.isnan(scaled), scaled).otherwise(F.least(F.greatest(scaled, F.lit(low_out)), F.lit(high_out)))
+        clipped = F.least(F.greatest(F.nanvl(scaled, F.lit(0.0)), F.lit(low_out)), F.lit(high_out))
+        # The top of a 64-bit range is no double, so it is set and not cast.
+        return F.when(clipped >= F.lit(TOP_LONG), F.lit(INTEGER_BOUNDS["int64"][1])).otherwise(clipped.cast("long")) if dtype == "int64" else clipped.cast("long")
 
+    bounds = bounds.withColumn("_scale", scale)
     if is_frames(stack):
-        made = bounds.withColumn(
-            "px",
-            let(
-                F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi")),
-                lambda b: F.transform("px", lambda v: rescale(v, b["lo"], b["hi"])),
-            ),
-        )
+        state = F.struct(F.col("_lo").alias("lo"), F.col("_scale").alias("scale"))
+        made = bounds.withColumn("px", let(state, lambda b: F.transform("px", lambda v: rescale(v, b["lo"], b["scale"]))))
     else:
-        made = bounds.withColumn("v", rescale(F.col("v"), F.col("_lo"), F.col("_hi")))
-    return made.drop("_lo", "_hi")
+        made = bounds.withColumn("v", rescale(F.col("v"), F.col("_lo"), F.col("_scale")))
+    return made.drop("_lo", "_span", "_scale")

@@ -264,18 +264,37 @@ def copy_groups(roi_pixels: DataFrame) -> DataFrame:
     return prints.join(first, "print").select("roi_id", "rep")
 
 
-def prefixes(unit: DataFrame, alignment: float) -> DataFrame:
-    """The pixels by which a region can be found by any region aligned with it.
+def prefixes(unit: DataFrame, params: MergeParams) -> DataFrame:
+    """The pixels by which a region can be found by any region it aligns with.
 
     Pixels are taken from the rarest to the most common. Once the rest of a region has a norm
-    below ``alignment`` it cannot reach that product with a unit image, so two aligned regions
+    below the alignment it cannot reach that product with a unit image, so two aligned regions
     share a pixel before that point in both. Common pixels come last and are mostly left out.
+    ``rest`` and ``after`` are the squared norm and the number of the pixels still to come.
     """
     rarity = unit.groupBy("y", "x").agg(F.count("*").alias("freq"))
     order = Window.partitionBy("roi_id").orderBy("freq", "y", "x")
-    used = F.coalesce(F.sum(F.col("u") * F.col("u")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    ranked = unit.join(rarity, ["y", "x"]).withColumn("_used", used)
-    return ranked.where(F.lit(1.0 + 1e-9) - F.col("_used") >= alignment * alignment).select("roi_id", "y", "x")
+    used = F.sum(F.col("u") * F.col("u")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = unit.join(rarity, ["y", "x"]).withColumn("rest", 1.0 - used).withColumn("after", F.col("n") - F.row_number().over(order))
+    reach = F.col("rest") + F.col("u") * F.col("u") + 1e-9 >= params.alignment * params.alignment
+    return ranked.where(reach).select("roi_id", "y", "x", "u", "rest", "after", "n")
+
+
+def _side(keys: DataFrame, name: str) -> DataFrame:
+    carried = [c for c in keys.columns if c not in ("roi_id", "y", "x")]
+    return keys.select(F.col("roi_id").alias(name), "y", "x", *[F.col(c).alias(f"{c}_{name}") for c in carried])
+
+
+def _promising(p: MergeParams) -> Column:
+    """Whether regions meeting at their first common pixel can still reach both thresholds.
+
+    Pairs also meet at later pixels, where the bound may be too low; that does no harm, as
+    the first one lies in both prefixes and keeps every pair that qualifies.
+    """
+    ahead = F.sqrt(F.greatest(F.col("rest_a"), F.lit(0.0)) * F.greatest(F.col("rest_b"), F.lit(0.0)))
+    aligned = F.col("u_a") * F.col("u_b") + ahead + 1e-6 >= p.alignment
+    shared = 1 + F.least("after_a", "after_b") >= p.overlap * F.least("n_a", "n_b") - 1e-6
+    return aligned & shared
 
 
 def measure_pairs(pairs: DataFrame, unit: DataFrame) -> DataFrame:
@@ -302,9 +321,9 @@ def similar_pairs(roi_pixels: DataFrame, params: MergeParams = MergeParams()) ->
     """
     copies = copy_groups(roi_pixels)
     unit = unit_pixels(roi_pixels).join(copies.where("roi_id = rep").select("roi_id"), "roi_id", "left_semi")
-    keys = prefixes(unit, params.alignment)
-    left, right = keys.withColumnRenamed("roi_id", "a"), keys.withColumnRenamed("roi_id", "b")
-    pairs = left.join(right, ["y", "x"]).where("a < b").select("a", "b").distinct()
+    keys = prefixes(unit, params)
+    met = _side(keys, "a").join(_side(keys, "b"), ["y", "x"]).where((F.col("a") < F.col("b")) & _promising(params))
+    pairs = met.select("a", "b").distinct()
     return _linked(measure_pairs(pairs, unit), params)
 
 
@@ -318,7 +337,7 @@ def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     copies = scratch.write(copy_groups(roi_pixels))
     stars = copies.where("roi_id <> rep").select(F.col("rep").alias("a"), F.col("roi_id").alias("b"))
     unit = scratch.write(unit_pixels(roi_pixels).join(copies.where("roi_id = rep").select("roi_id"), "roi_id", "left_semi"))
-    keys = scratch.write(prefixes(unit, params.alignment))
+    keys = scratch.write(prefixes(unit, params))
     hubs = keys.groupBy("y", "x").agg(F.min("roi_id").alias("a"))
     spokes = keys.join(hubs, ["y", "x"]).where("roi_id <> a").select("a", F.col("roi_id").alias("b")).distinct()
     first = scratch.write(_linked(measure_pairs(spokes, unit), params).select("a", "b").union(stars.select("a", "b")))
@@ -327,8 +346,9 @@ def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     member = scratch.write(member)
     sizes = member.groupBy("y", "x", "grp").agg(F.count("*").alias("n"))
     main = sizes.groupBy("y", "x").agg(F.max_by("grp", F.struct("n", "grp")).alias("main"))
-    outside = member.join(main, ["y", "x"]).where("grp <> main").select("y", "x", F.col("roi_id").alias("o"), F.col("grp").alias("og"))
-    rest = outside.join(member, ["y", "x"]).where("grp <> og").select(F.least("o", "roi_id").alias("a"), F.greatest("o", "roi_id").alias("b")).distinct()
+    outside = member.join(main, ["y", "x"]).where("grp <> main").drop("main")
+    met = _side(outside, "a").join(_side(member, "b"), ["y", "x"]).where((F.col("grp_a") != F.col("grp_b")) & _promising(params))
+    rest = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = _linked(measure_pairs(rest, unit), params).select("a", "b")
     return connected_groups(first.union(second), scratch)
 
