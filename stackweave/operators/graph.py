@@ -22,9 +22,10 @@ def connected_groups(edges: DataFrame, scratch: Scratch) -> DataFrame:
         up = live.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up"))
         top = up.select(F.col("a").alias("up"), F.col("up").alias("to"))
         moves = scratch.write(up.join(top, "up").select(F.col("a").alias("from"), "to"))
+        # Labels follow the written moves once at the end; the rounds only need the edges.
         relabelled = labels.join(moves, labels["grp"] == moves["from"], "left")
-        labels = scratch.write(relabelled.select("id", F.coalesce("to", "grp").alias("grp")))
+        labels = relabelled.select("id", F.coalesce("to", "grp").alias("grp"))
         moved_a = live.join(moves, live["a"] == moves["from"]).select(F.col("to").alias("a"), "b")
         moved_b = moved_a.join(moves, moved_a["b"] == moves["from"]).select("a", F.col("to").alias("b"))
         live = scratch.write(moved_b.where("a <> b").distinct())
-    return labels
+    return scratch.write(labels)

@@ -9,7 +9,7 @@ and the final shifts are columns next to the frames, so frames and shifts are ne
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +29,13 @@ class Template:
     """Spectrum the frames are matched with, and the common drift of the matches.
 
     ``low`` is the smallest value of the stack, which all frames are inverted against.
+    ``reach`` holds the lowest and the highest shift per axis.
     """
 
     spectrum: np.ndarray
     drift: np.ndarray
     low: float
+    reach: np.ndarray = field(default_factory=lambda: np.zeros((2, 2), dtype=int))
 
 
 def wave_numbers(h: int, w: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,6 +132,7 @@ def _round_sums(
         "mean": (moves[["dy", "dx"]].to_numpy() * weight).sum(axis=0) / count,
         "moves": moves[["my", "mx"]].to_numpy(),
         "weights": moves.re.to_numpy(),
+        "ends": moves[["dy", "dx"]].agg(["min", "max"]).to_numpy(),
     }
 
 
@@ -157,6 +160,7 @@ def find_template(
         old, new = new, Template(mean, np.zeros(2), low)
         sums = _round_sums(frames, shape, low, old, new, as_written)
         new.drift = np.round(sums["mean"])
+        new.reach = sums["ends"] - new.drift.astype(int)
         moved = (sums["moves"] - (new.drift - drift)) / scale
         distances.append(float((np.sqrt((moved**2).sum(axis=1)) * sums["weights"]).sum() / sums["count"]))
         if distances[-1] <= stop:
@@ -256,21 +260,23 @@ def best_match(candidates: DataFrame, shape: tuple[int, int]) -> DataFrame:
     return best.select("t", "b.dy", "b.dx")
 
 
-def align(shifted: DataFrame, as_written: bool = False) -> DataFrame:
+def align(shifted: DataFrame, as_written: bool = False, reach: np.ndarray | None = None) -> DataFrame:
     """Roll frames by their shifts to one side and crop to the area all of them cover.
 
     By default shifts are lowered by their maximum per axis, so that every frame moves and
     the crop is ``max - min``. ``as_written`` clips positive shifts to 0 and crops by the
-    largest absolute shift instead.
+    largest absolute shift instead. ``reach`` gives the lowest and highest shifts where they
+    are known; otherwise an aggregate finds them.
     """
-    stat = shifted.agg(F.struct(*[
-        f(c).alias(n)
-        for c in ("dy", "dx")
-        for f, n in ((F.max, f"hi_{c}"), (F.min, f"lo_{c}"))
-    ])).scalar()
-    known = shifted.withColumn("_s", stat)
-    for c in ("dy", "dx"):
-        high, low = F.col("_s")[f"hi_{c}"], F.col("_s")[f"lo_{c}"]
+    known = shifted
+    if reach is None:
+        ends = [f(c).alias(n) for c in ("dy", "dx") for f, n in ((F.max, f"hi_{c}"), (F.min, f"lo_{c}"))]
+        known = known.withColumn("_s", shifted.agg(F.struct(*ends)).scalar())
+    for axis, c in enumerate(("dy", "dx")):
+        if reach is None:
+            high, low = F.col("_s")[f"hi_{c}"], F.col("_s")[f"lo_{c}"]
+        else:
+            high, low = F.lit(int(reach[1][axis])), F.lit(int(reach[0][axis]))
         if as_written:
             known = known.withColumn(f"_cut_{c}", F.greatest(F.abs(high), F.abs(low))).withColumn(c, F.least(F.col(c), F.lit(0)))
         else:
@@ -295,5 +301,9 @@ def register(
 
     The frames are read once per round: give a stored stack, not a long derivation.
     """
-    shifted = estimate_shifts(frames, rounds, history, stop, as_written)
-    return align(shifted, as_written), shifted.select("t", "dy", "dx")
+    template, _ = find_template(frames, rounds, history, stop, as_written)
+    if template is None:
+        still = frames.withColumn("dy", F.lit(0)).withColumn("dx", F.lit(0))
+        return frames.select("t", "h", "w", "px"), still.select("t", "dy", "dx")
+    shifted = with_offsets(frames, template, as_written)
+    return align(shifted, as_written, template.reach), shifted.select("t", "dy", "dx")

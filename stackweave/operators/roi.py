@@ -255,13 +255,14 @@ def unit_pixels(roi_pixels: DataFrame) -> DataFrame:
 def copy_groups(roi_pixels: DataFrame) -> DataFrame:
     """The lowest region with exactly the same pixels and weights: ``(roi_id, rep)``.
 
-    Grouped by a 256-bit digest of the sorted pixels, after which a group of any number of
-    copies is one partial minimum.
+    Regions are told apart by their pixel count and 192 bits of hashes, xor-ed over the
+    pixels: partial aggregates, so that no region is collected. A group of any number of
+    copies is then one partial minimum.
     """
-    cell = F.struct("y", "x", "w")
-    prints = roi_pixels.where("w <> 0").groupBy("roi_id").agg(F.sha2(F.to_json(F.array_sort(F.collect_list(cell))), 256).alias("print"))
-    first = prints.groupBy("print").agg(F.min("roi_id").alias("rep"))
-    return prints.join(first, "print").select("roi_id", "rep")
+    bits = [F.bit_xor(F.xxhash64(F.lit(salt), "y", "x", "w")).alias(f"h{salt}") for salt in (1, 2, 3)]
+    prints = roi_pixels.where("w <> 0").groupBy("roi_id").agg(F.count("*").alias("n"), *bits)
+    same = ["n", "h1", "h2", "h3"]
+    return prints.join(prints.groupBy(*same).agg(F.min("roi_id").alias("rep")), same).select("roi_id", "rep")
 
 
 def prefixes(unit: DataFrame, params: MergeParams) -> DataFrame:
@@ -314,17 +315,22 @@ def _linked(measured: DataFrame, p: MergeParams) -> DataFrame:
     return measured.where((F.col("alignment") >= p.alignment - 1e-9) & (F.col("overlap") >= p.overlap - 1e-9))
 
 
-def similar_pairs(roi_pixels: DataFrame, params: MergeParams = MergeParams()) -> DataFrame:
+def similar_pairs(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams = MergeParams()) -> DataFrame:
     """All pairs of distinct region images to be merged: ``(a, b, alignment, overlap)``, a < b.
 
     Exact copies stand for one image under their lowest number (see ``copy_groups``).
     """
-    copies = copy_groups(roi_pixels)
-    unit = unit_pixels(roi_pixels).join(copies.where("roi_id = rep").select("roi_id"), "roi_id", "left_semi")
-    keys = prefixes(unit, params)
+    unit, keys, _ = _searchable(roi_pixels, scratch, params)
     met = _side(keys, "a").join(_side(keys, "b"), ["y", "x"]).where((F.col("a") < F.col("b")) & _promising(params))
-    pairs = met.select("a", "b").distinct()
-    return _linked(measure_pairs(pairs, unit), params)
+    return _linked(measure_pairs(met.select("a", "b").distinct(), unit), params)
+
+
+def _searchable(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Unit images and prefixes of the distinct images, and the copies; written, as each is read often."""
+    copies = scratch.write(copy_groups(roi_pixels))
+    distinct = copies.where("roi_id = rep").select("roi_id")
+    unit = scratch.write(unit_pixels(roi_pixels).join(distinct, "roi_id", "left_semi"))
+    return unit, scratch.write(prefixes(unit, params)), copies
 
 
 def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams = MergeParams()) -> DataFrame:
@@ -334,10 +340,8 @@ def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     image. Then each prefix pixel ties its regions to its lowest one; the regions that this
     has not joined to the pixel's main group are the only ones compared with all others.
     """
-    copies = scratch.write(copy_groups(roi_pixels))
+    unit, keys, copies = _searchable(roi_pixels, scratch, params)
     stars = copies.where("roi_id <> rep").select(F.col("rep").alias("a"), F.col("roi_id").alias("b"))
-    unit = scratch.write(unit_pixels(roi_pixels).join(copies.where("roi_id = rep").select("roi_id"), "roi_id", "left_semi"))
-    keys = scratch.write(prefixes(unit, params))
     hubs = keys.groupBy("y", "x").agg(F.min("roi_id").alias("a"))
     spokes = keys.join(hubs, ["y", "x"]).where("roi_id <> a").select("a", F.col("roi_id").alias("b")).distinct()
     first = scratch.write(_linked(measure_pairs(spokes, unit), params).select("a", "b").union(stars.select("a", "b")))

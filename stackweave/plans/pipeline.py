@@ -17,7 +17,7 @@ from stackweave.operators.registration import align, estimate_shifts
 from stackweave.operators.roi import ExtractParams, MergeParams, extract_rois, label_image, masks_of, merge_rois, region_props, renumber
 from stackweave.operators.sampling import shuffle_frames
 from stackweave.operators.traces import roi_traces
-from stackweave.session import Scratch
+from stackweave.session import Scratch, fit_arrow_batches
 from stackweave.sources.store import DatasetStore
 
 
@@ -43,6 +43,7 @@ def run_pipeline(store: DatasetStore, frames: DataFrame, params: PipelineParams
     """Run all stages on raw frames; the results lie in ``store`` under their stage names."""
     p, spark = params, store.spark
     raw = store.put("raw", frames)
+    fit_arrow_batches(spark, raw.agg(F.max(F.size("px"))).first()[0] or 1)
     trimmed = store.put("trim", trim_frames(raw, p.front, p.back))
     scratch = Scratch(spark, "pipeline")
     filtered = scratch.write(median_filter(trimmed, p.median_size))

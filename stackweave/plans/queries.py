@@ -729,7 +729,7 @@ def high_peaks(spark, sf):
 
 @query("SELECT a, b, round(alignment, 6) + 0.0 AS alignment, round(overlap, 6) + 0.0 AS overlap FROM pairs", IMAGES)
 def roi_pair_similarity(spark, sf):
-    return rounded(roi.similar_pairs(fx.order_images(spark, sf)), "alignment", "overlap")
+    return rounded(roi.similar_pairs(fx.order_images(spark, sf), Scratch(spark, "pairs")), "alignment", "overlap")
 
 
 @query("""SELECT roi_id, y, x, round(w, 6) + 0.0 AS w FROM (SELECT *, max(w) OVER (PARTITION BY roi_id) AS top FROM fused) WHERE w >= top * 0.01""",

@@ -62,6 +62,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def fit_arrow_batches(spark: SparkSession, pixels: int, megabytes: int = 64) -> None:
+    """Set the rows per Arrow batch so that a batch of frames with ``pixels`` values stays small."""
+    rows = max(1, min(10_000, megabytes * 1024 * 1024 // (8 * max(pixels, 1))))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The file system and path handle Spark itself would use for ``path``."""
     handle = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -44,7 +44,7 @@ def brute_pairs(rows, align=0.6, overlap=0.6):
 
 
 @pytest.mark.parametrize("seed", [0, 1])
-def test_pairs_match_brute_force_with_a_hot_pixel(spark, seed):
+def test_pairs_match_brute_force_with_a_hot_pixel(spark, scratch, seed):
     rng = np.random.default_rng(seed)
     rows = []
     for i in range(60):
@@ -52,7 +52,7 @@ def test_pairs_match_brute_force_with_a_hot_pixel(spark, seed):
         for _ in range(rng.integers(1, 5)):
             cells[int(rng.integers(0, 4)), int(rng.integers(0, 5))] = float(rng.integers(1, 4))
         rows += [(i, y, x, w) for (y, x), w in cells.items()]
-    found = {(r["a"], r["b"]) for r in roi.similar_pairs(spark.createDataFrame(rows, PIX)).collect()}
+    found = {(r["a"], r["b"]) for r in roi.similar_pairs(spark.createDataFrame(rows, PIX), scratch).collect()}
     assert found == brute_pairs(rows) and found
 
 
