@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stackweave.functions.arrays import let
 from stackweave.model import explode_frames, global_stat, is_frames, to_pixels
-from stackweave.operators.elementwise import subtract_minimum
 
 KEYS = ("y", "x")
 
@@ -59,44 +59,38 @@ def _shifted_inverse(stack: DataFrame) -> DataFrame:
     return pixels.withColumn("_i", F.lit(1.0) / (F.col("v") - F.col("_s")))
 
 
+def _with_hmean(stack: DataFrame, **others: Column) -> DataFrame:
+    """``(y, x, hmean)`` and other aggregates of ``v``, all from one pass after the minimum."""
+    named = [c.alias(n) for n, c in others.items()]
+    rows = _shifted_inverse(stack).groupBy(*KEYS).agg(F.avg("_i").alias("_m"), F.max("_s").alias("_s"), *named)
+    return rows.select(*KEYS, (F.lit(1.0) / F.col("_m") + F.col("_s")).alias("hmean"), *others)
+
+
 def proj_hmean(stack: DataFrame) -> DataFrame:
     """Harmonic mean of the stack raised so that its minimum is 1, lowered again after."""
-    rows = _shifted_inverse(stack).groupBy(*KEYS).agg(F.avg("_i").alias("_m"), F.max("_s").alias("_s"))
-    return rows.select(*KEYS, (F.lit(1.0) / F.col("_m") + F.col("_s")).alias("value"))
+    return _with_hmean(stack).withColumnRenamed("hmean", "value")
 
 
 def projections(stack: DataFrame) -> DataFrame:
-    """Harmonic mean, maximum, mean and standard deviation in one pass."""
-    rows = _shifted_inverse(stack).groupBy(*KEYS).agg(
-        F.avg("_i").alias("_m"),
-        F.max("_s").alias("_s"),
-        F.max("v").alias("max"),
-        F.avg("v").alias("mean"),
-        F.stddev_pop("v").alias("std"),
-    )
-    return rows.select(*KEYS, (F.lit(1.0) / F.col("_m") + F.col("_s")).alias("hmean"), "max", "mean", "std")
-
+    """Harmonic mean, minimum, maximum, mean and standard deviation in one pass."""
+    return _with_hmean(stack, min=F.min("v"), max=F.max("v"), mean=F.avg("v"), std=F.stddev_pop("v"))
 
-def as_frame(projection: DataFrame) -> DataFrame:
-    """A projection ``(y, x, value)`` as one row holding a row-major array."""
-    cell = F.struct("y", "x", "value")
-    return projection.agg(F.transform(F.array_sort(F.collect_list(cell)), lambda c: c["value"]).alias("img"))
 
+def background_subtract(stack: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Remove the harmonic-mean image, then shift the whole result to a minimum of 0.
 
-def subtract_projection(stack: DataFrame, projection: DataFrame) -> DataFrame:
-    """Subtract an image ``(y, x, value)`` from every frame.
-
-    In frame form the image is one array from a scalar subquery, so frames are neither
-    exploded nor shuffled: its size is one frame, which every row has anyway. In pixel form
-    the planner picks the join by the measured size of the image.
+    The minimum of the result is the smallest ``min - hmean`` over the pixels, so both numbers
+    come from the projections (``stats``, if they are stored already) and the stack is read
+    once more only. In frame form the image is one array from a scalar subquery, no larger
+    than every frame is; in pixel form the planner picks the join by the image's size.
     """
+    if stats is None:
+        stats = _with_hmean(stack, min=F.min("v"))
+    lowest = F.min(F.col("min") - F.col("hmean")).alias("low")
     if not is_frames(stack):
-        joined = stack.join(projection, list(KEYS))
-        return joined.select("t", *KEYS, (F.col("v") - F.col("value")).alias("v"))
-    with_image = stack.withColumn("_img", as_frame(projection).scalar())
-    return with_image.withColumn("px", F.zip_with("px", "_img", lambda v, b: v - b)).drop("_img")
-
-
-def background_subtract(stack: DataFrame) -> DataFrame:
-    """Remove the harmonic-mean image, then shift the whole result to a minimum of 0."""
-    return subtract_minimum(subtract_projection(stack, proj_hmean(stack)))
+        joined = stack.join(stats.select(*KEYS, "hmean"), list(KEYS)).withColumn("_low", stats.agg(lowest).scalar())
+        return joined.select("t", *KEYS, (F.col("v") - F.col("hmean") - F.col("_low")).alias("v"))
+    image = F.transform(F.array_sort(F.collect_list(F.struct(*KEYS, "hmean"))), lambda c: c["hmean"])
+    known = stack.withColumn("_b", stats.agg(F.struct(image.alias("img"), lowest)).scalar())
+    moved = let(F.col("_b.low"), lambda low: F.zip_with("px", "_b.img", lambda v, b: v - b - low))
+    return known.withColumn("px", moved).drop("_b")

@@ -12,7 +12,7 @@ from stackweave.operators.dictionary import atoms_frame, fit, initial_atoms, spa
 from stackweave.operators.elementwise import trim_frames
 from stackweave.operators.filters import median_filter, reset_minimum
 from stackweave.operators.normalize import normalize_min
-from stackweave.operators.projections import projections, subtract_minimum, subtract_projection
+from stackweave.operators.projections import background_subtract, projections
 from stackweave.operators.registration import align, estimate_shifts
 from stackweave.operators.roi import ExtractParams, MergeParams, extract_rois, label_image, masks_of, merge_rois, region_props, renumber
 from stackweave.operators.sampling import shuffle_frames
@@ -54,8 +54,7 @@ def run_pipeline(store: DatasetStore, frames: DataFrame, params: PipelineParams
     stats = scratch.write(projections(images))
     for name in ("hmean", "max", "mean", "std"):
         store.put(f"proj/{name}", stats.select("y", "x", F.col(name).alias("value")))
-    lowered = scratch.write(subtract_projection(images, store["proj/hmean"]))
-    sub = store.put("sub", subtract_minimum(lowered))
+    sub = store.put("sub", background_subtract(images, stats))
     normed = store.put("norm", normalize_min(sub))
     shuffled = store.put("dict_init_data", shuffle_frames(normed, p.seed))
     first = store.put("dict_init_dict", initial_atoms(normed, p.n_atoms, p.seed))

@@ -366,10 +366,10 @@ def proj_hmean(spark, sf):
     return rounded(projections.proj_hmean(fx.emb(spark, sf)), "value")
 
 
-@query("""SELECT y, x, round(any_value(hm.value), 6) + 0.0 AS hmean, round(max(v), 6) + 0.0 AS max, round(avg(v), 6) + 0.0 AS mean,
+@query("""SELECT y, x, round(any_value(hm.value), 6) + 0.0 AS hmean, round(min(v), 6) + 0.0 AS min, round(max(v), 6) + 0.0 AS max, round(avg(v), 6) + 0.0 AS mean,
   round(stddev_pop(v), 6) + 0.0 AS std FROM emb JOIN hm USING (y, x) GROUP BY y, x""", EMB, HMEAN)
 def projections_all(spark, sf):
-    return rounded(projections.projections(fx.emb(spark, sf)), "hmean", "max", "mean", "std")
+    return rounded(projections.projections(fx.emb(spark, sf)), "hmean", "min", "max", "mean", "std")
 
 
 @query("""SELECT y, x, round(max(v), 6) + 0.0 AS max, round(avg(v), 6) + 0.0 AS mean, round(stddev_pop(v), 6) + 0.0 AS std
