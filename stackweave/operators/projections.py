@@ -22,34 +22,37 @@ def stack_bounds(stack: DataFrame) -> DataFrame:
     return stack.agg(F.min("v").alias("v_min"), F.max("v").alias("v_max"))
 
 
-def project(stack: DataFrame, **aggregates: Column) -> DataFrame:
-    """``(y, x)`` plus one column per named aggregate of ``v``."""
-    return to_pixels(stack).groupBy(*KEYS).agg(*[c.alias(n) for n, c in aggregates.items()])
+def project(stack: DataFrame, space: tuple[str, ...] = KEYS, **aggregates: Column) -> DataFrame:
+    """The coordinates plus one column per named aggregate of ``v``.
+
+    Pixel tables may have any number of coordinate columns, for example ``("z", "y", "x")``.
+    """
+    pixels = to_pixels(stack) if is_frames(stack) else stack
+    return pixels.groupBy(*space).agg(*[c.alias(n) for n, c in aggregates.items()])
 
 
-def proj_min(stack: DataFrame) -> DataFrame:
-    return project(stack, value=F.min("v"))
+def proj_min(stack: DataFrame, space: tuple[str, ...] = KEYS) -> DataFrame:
+    return project(stack, space, value=F.min("v"))
 
 
-def proj_max(stack: DataFrame) -> DataFrame:
-    return project(stack, value=F.max("v"))
+def proj_max(stack: DataFrame, space: tuple[str, ...] = KEYS) -> DataFrame:
+    return project(stack, space, value=F.max("v"))
 
 
-def proj_mean(stack: DataFrame) -> DataFrame:
-    return project(stack, value=F.avg("v"))
+def proj_mean(stack: DataFrame, space: tuple[str, ...] = KEYS) -> DataFrame:
+    return project(stack, space, value=F.avg("v"))
 
 
-def proj_std(stack: DataFrame) -> DataFrame:
+def proj_std(stack: DataFrame, space: tuple[str, ...] = KEYS) -> DataFrame:
     """Population standard deviation."""
-    return project(stack, value=F.stddev_pop("v"))
+    return project(stack, space, value=F.stddev_pop("v"))
 
 
-def proj_moments(stack: DataFrame, count: int) -> DataFrame:
+def proj_moments(stack: DataFrame, count: int, space: tuple[str, ...] = KEYS) -> DataFrame:
     """Raw moments of order 0 to ``count - 1`` as rows ``(order, y, x, value)``."""
-    powers = [F.avg(F.pow("v", F.lit(float(k)))).alias(f"m{k}") for k in range(count)]
-    wide = to_pixels(stack).groupBy(*KEYS).agg(*powers)
+    wide = project(stack, space, **{f"m{k}": F.avg(F.pow("v", F.lit(float(k)))) for k in range(count)})
     moments = F.array(*[F.struct(F.lit(k).alias("order"), F.col(f"m{k}").alias("value")) for k in range(count)])
-    return wide.select("y", "x", F.inline(moments)).select("order", "y", "x", "value")
+    return wide.select(*space, F.inline(moments)).select("order", *space, "value")
 
 
 def _shifted_inverse(stack: DataFrame) -> DataFrame:
@@ -59,24 +62,26 @@ def _shifted_inverse(stack: DataFrame) -> DataFrame:
     return pixels.withColumn("_i", F.lit(1.0) / (F.col("v") - F.col("_s")))
 
 
-def _with_hmean(stack: DataFrame, **others: Column) -> DataFrame:
+def _with_hmean(stack: DataFrame, space: tuple[str, ...] = KEYS, **others: Column) -> DataFrame:
     """``(y, x, hmean)`` and other aggregates of ``v``, all from one pass after the minimum."""
     named = [c.alias(n) for n, c in others.items()]
-    rows = _shifted_inverse(stack).groupBy(*KEYS).agg(F.avg("_i").alias("_m"), F.max("_s").alias("_s"), *named)
-    return rows.select(*KEYS, (F.lit(1.0) / F.col("_m") + F.col("_s")).alias("hmean"), *others)
+    rows = _shifted_inverse(stack).groupBy(*space).agg(F.avg("_i").alias("_m"), F.max("_s").alias("_s"), *named)
+    return rows.select(*space, (F.lit(1.0) / F.col("_m") + F.col("_s")).alias("hmean"), *others)
 
 
-def proj_hmean(stack: DataFrame) -> DataFrame:
+def proj_hmean(stack: DataFrame, space: tuple[str, ...] = KEYS) -> DataFrame:
     """Harmonic mean of the stack raised so that its minimum is 1, lowered again after."""
-    return _with_hmean(stack).withColumnRenamed("hmean", "value")
+    return _with_hmean(stack, space).withColumnRenamed("hmean", "value")
 
 
-def projections(stack: DataFrame) -> DataFrame:
+def projections(stack: DataFrame, space: tuple[str, ...] = KEYS) -> DataFrame:
     """Harmonic mean, minimum, maximum, mean and standard deviation in one pass."""
-    return _with_hmean(stack, min=F.min("v"), max=F.max("v"), mean=F.avg("v"), std=F.stddev_pop("v"))
+    return _with_hmean(stack, space, min=F.min("v"), max=F.max("v"), mean=F.avg("v"), std=F.stddev_pop("v"))
 
 
-def background_subtract(stack: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+def background_subtract(
+    stack: DataFrame, stats: DataFrame | None = None, space: tuple[str, ...] = KEYS
+) -> DataFrame:
     """Remove the harmonic-mean image, then shift the whole result to a minimum of 0.
 
     The minimum of the result is the smallest ``min - hmean`` over the pixels, so both numbers
@@ -85,12 +90,12 @@ def background_subtract(stack: DataFrame, stats: DataFrame | None = None) -> Dat
     than every frame is; in pixel form the planner picks the join by the image's size.
     """
     if stats is None:
-        stats = _with_hmean(stack, min=F.min("v"))
+        stats = _with_hmean(stack, space, min=F.min("v"))
     lowest = F.min(F.col("min") - F.col("hmean")).alias("low")
     if not is_frames(stack):
-        joined = stack.join(stats.select(*KEYS, "hmean"), list(KEYS)).withColumn("_low", stats.agg(lowest).scalar())
-        return joined.select("t", *KEYS, (F.col("v") - F.col("hmean") - F.col("_low")).alias("v"))
-    image = F.transform(F.array_sort(F.collect_list(F.struct(*KEYS, "hmean"))), lambda c: c["hmean"])
+        joined = stack.join(stats.select(*space, "hmean"), list(space)).withColumn("_low", stats.agg(lowest).scalar())
+        return joined.select("t", *space, (F.col("v") - F.col("hmean") - F.col("_low")).alias("v"))
+    image = F.transform(F.array_sort(F.collect_list(F.struct(*space, "hmean"))), lambda c: c["hmean"])
     known = stack.withColumn("_b", stats.agg(F.struct(image.alias("img"), lowest)).scalar())
     moved = let(F.col("_b.low"), lambda low: F.zip_with("px", "_b.img", lambda v, b: v - b - low))
     return known.withColumn("px", moved).drop("_b")

@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stackweave.functions.kernels import spline_taps
-from stackweave.model import to_pixels
+from stackweave.model import is_frames, to_pixels
 from stackweave.session import broadcast_if_small
 
 
-def roi_traces(stack: DataFrame, roi_pixels: DataFrame, rois: DataFrame | None = None) -> DataFrame:
+def roi_traces(
+    stack: DataFrame, roi_pixels: DataFrame, rois: DataFrame | None = None, space: tuple[str, ...] = ("y", "x")
+) -> DataFrame:
     """Weighted mean of each region's pixels in each frame: ``(roi_id, t, value)``.
 
     The weights are summed over the whole mask, so a sparse stack still divides by all of
@@ -22,9 +24,10 @@ def roi_traces(stack: DataFrame, roi_pixels: DataFrame, rois: DataFrame | None =
     in place and reduced before the shuffle to one row per region and frame.
     """
     weight = roi_pixels.groupBy("roi_id").agg(F.sum("w").alias("w_sum"))
-    masks = broadcast_if_small(roi_pixels.join(weight, "roi_id").select("roi_id", "y", "x", "w", "w_sum"))
+    masks = broadcast_if_small(roi_pixels.join(weight, "roi_id").select("roi_id", *space, "w", "w_sum"))
     value = F.sum(F.col("w") * F.col("v")) / F.nullif(F.max("w_sum"), F.lit(0.0))
-    traces = to_pixels(stack).join(masks, ["y", "x"]).groupBy("roi_id", "t").agg(value.alias("value"))
+    pixels = to_pixels(stack) if is_frames(stack) else stack
+    traces = pixels.join(masks, list(space)).groupBy("roi_id", "t").agg(value.alias("value"))
     if rois is None:
         return traces
     empty = rois.join(roi_pixels, "roi_id", "left_anti").agg(F.collect_set("roi_id").alias("ids")).scalar()

@@ -198,6 +198,12 @@ def select_slices(spark, sf):
     return stacks.select_frames(to_pixels(fx.emb(spark, sf)), slice(4, -5, 3), slice(2, 7), slice(None, 4), dtype="float")
 
 
+@query("""SELECT (t - 4) // 3 AS t, CAST(y - 2 AS INTEGER) AS y, CAST(x // 2 AS INTEGER) AS x, round(v, 6) + 0.0 AS v FROM emb
+  WHERE t >= 4 AND t < (SELECT max(t) + 1 - 5 FROM emb) AND (t - 4) % 3 = 0 AND y >= 2 AND y < 7 AND x % 2 = 0""", EMB)
+def select_window(spark, sf):
+    return pixels(stacks.select_frames(fx.emb(spark, sf), slice(4, -5, 3), slice(2, 7), slice(None, None, 2)))
+
+
 @query("SELECT p.t, CAST(g // 8 AS INTEGER) AS y, CAST(g % 8 AS INTEGER) AS x, coalesce(wk.v, 0) AS v FROM "
        "(SELECT unnest(generate_series((SELECT min(t) FROM wk), (SELECT max(t) FROM wk))) AS t) p CROSS JOIN range(64) r(g) "
        "LEFT JOIN wk ON wk.t = p.t AND wk.y = g // 8 AND wk.x = g % 8", WK)
@@ -379,6 +385,28 @@ def projections_sparse(spark, sf):
     return rounded(made, "max", "mean", "std")
 
 
+def volumes(spark, sf):
+    """Every vector as one 4 x 4 x 4 volume, in pixel form."""
+    flat = to_pixels(fx.emb(spark, sf)).withColumn("p", F.col("y") * 8 + F.col("x"))
+    return flat.selectExpr("t", "cast(p div 16 as int) AS z", "cast(p div 4 % 4 as int) AS y", "cast(p % 4 as int) AS x", "v")
+
+
+VOL = """vol AS (SELECT t, CAST((y*8+x) // 16 AS INTEGER) AS z, CAST((y*8+x) // 4 % 4 AS INTEGER) AS y, CAST((y*8+x) % 4 AS INTEGER) AS x, v FROM emb)"""
+
+
+@query("""SELECT z, y, x, round(1 / avg(1 / (v - s)) + any_value(s), 6) + 0.0 AS hmean, round(min(v), 6) + 0.0 AS min, round(max(v), 6) + 0.0 AS max,
+  round(avg(v), 6) + 0.0 AS mean, round(stddev_pop(v), 6) + 0.0 AS std FROM vol, (SELECT min(v) - 1 AS s FROM emb) GROUP BY z, y, x""", EMB, VOL)
+def projections_volume(spark, sf):
+    return rounded(projections.projections(volumes(spark, sf), ("z", "y", "x")), "hmean", "min", "max", "mean", "std")
+
+
+@query("""SELECT CAST(1 + z AS INTEGER) AS roi_id, t, round(avg(v), 6) + 0.0 AS value FROM vol GROUP BY 1, 2""", EMB, VOL)
+def roi_traces_volume(spark, sf):
+    stack = volumes(spark, sf)
+    slabs = stack.select("z", "y", "x").distinct().select((F.col("z") + 1).cast("int").alias("roi_id"), "z", "y", "x", F.lit(1.0).alias("w"))
+    return rounded(traces.roi_traces(stack, slabs, space=("z", "y", "x")), "value")
+
+
 @query("SELECT t, y, x, round(v - (SELECT min(v) FROM sub), 6) + 0.0 AS v FROM sub", EMB, HMEAN,
        "sub AS (SELECT t, y, x, v - value AS v FROM emb JOIN hm USING (y, x))")
 def background_subtract(spark, sf):

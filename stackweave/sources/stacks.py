@@ -6,9 +6,10 @@ from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stackweave.functions.arrays import let
 from stackweave.model import FRAME_COLS, PIXEL_COLS, check_form, frame_batch, frame_total, frames_from, is_frames
 
 Decoder = Callable[[bytes], Iterable[np.ndarray]]
@@ -88,7 +89,7 @@ def select_frames(
     stack: DataFrame, key: int | slice | Sequence[int], rows: slice | None = None, cols: slice | None = None,
     dtype: str | None = None,
 ) -> DataFrame:
-    """Lazy selection on the time axis, and on space for the pixel form.
+    """Lazy selection on the time axis and on space.
 
     A list may be unsorted and may repeat frames; the result has the asked order as its new
     ``t``. Slices and single frames renumber from 0. Negative positions count from the end.
@@ -107,9 +108,8 @@ def select_frames(
         # The list comes from the caller's memory, and the planner sees its size.
         picked = stack.join(asked, "t").drop("t").withColumnRenamed("pos", "t").select(*stack.columns)
     if rows is not None or cols is not None:
-        if is_frames(stack):
-            raise ValueError("select rows and columns on the pixel form")
-        picked = _space_slice(_space_slice(picked, "y", rows), "x", cols)
+        crop = _crop_frames if is_frames(stack) else _crop_pixels
+        picked = crop(picked, rows or slice(None), cols or slice(None))
     if dtype:
         name = "px" if is_frames(picked) else "v"
         picked = picked.withColumn(name, F.col(name).cast(f"array<{dtype}>" if name == "px" else dtype))
@@ -138,15 +138,31 @@ def _time_slice(stack: DataFrame, key: slice) -> DataFrame:
     return kept.withColumn("t", gap.cast("long"))
 
 
-def _space_slice(pixels: DataFrame, axis: str, key: slice | None) -> DataFrame:
-    if key is None:
-        return pixels
+def _bounds(key: slice) -> tuple[int, int | None, int]:
     start, step = key.start or 0, key.step or 1
     if start < 0 or (key.stop is not None and key.stop < 0) or step <= 0:
         raise ValueError("spatial slices need bounds from 0 and a positive step")
-    kept = pixels.where(F.col(axis) >= start)
-    if key.stop is not None:
-        kept = kept.where(F.col(axis) < key.stop)
-    if step > 1:
-        kept = kept.where((F.col(axis) - start) % step == 0)
-    return kept.withColumn(axis, F.floor((F.col(axis) - start) / step).cast("int"))
+    return start, key.stop, step
+
+
+def _inside(pos: Column, key: slice) -> Column:
+    start, stop, step = _bounds(key)
+    kept = (pos >= start) & ((pos - start) % step == 0)
+    return kept if stop is None else kept & (pos < stop)
+
+
+def _crop_pixels(pixels: DataFrame, rows: slice, cols: slice) -> DataFrame:
+    for axis, key in (("y", rows), ("x", cols)):
+        start, _, step = _bounds(key)
+        pixels = pixels.where(_inside(F.col(axis), key)).withColumn(axis, F.floor((F.col(axis) - start) / step).cast("int"))
+    return pixels
+
+
+def _crop_frames(frames: DataFrame, rows: slice, cols: slice) -> DataFrame:
+    def count(size: Column, key: slice) -> Column:
+        start, stop, step = _bounds(key)
+        end = size if stop is None else F.least(size, F.lit(stop))
+        return F.greatest(F.ceil((end - start) / step), F.lit(0)).cast("int")
+
+    kept = let(F.col("w"), lambda w: F.filter("px", lambda _, i: _inside(F.floor(i / w), rows) & _inside(i % w, cols)))
+    return frames.withColumn("px", kept).withColumn("h", count(F.col("h"), rows)).withColumn("w", count(F.col("w"), cols))

@@ -98,8 +98,9 @@ def test_spatial_selection(frames_of, rng):
     for r in rows:
         got[r["y"], r["x"]] = r["v"]
     np.testing.assert_allclose(got, stack[1, 1:4, ::2], rtol=1e-6)
+    np.testing.assert_allclose(array_of(stacks.select_frames(frames_of(stack), [3, 1], slice(1, 4), slice(1, None, 2))), stack[[3, 1], 1:4, 1::2])
     with pytest.raises(ValueError):
-        stacks.select_frames(frames_of(stack), [1], slice(1, 4))
+        stacks.select_frames(frames_of(stack), [1], slice(-1, None))
 
 
 def test_concatenation_renumbers(frames_of, rng):
