@@ -15,7 +15,9 @@ def connected_groups(edges: DataFrame, scratch: Scratch) -> DataFrame:
     and edges inside a contracted vertex vanish. At least half of the vertices go in each
     round, so the rounds are few and later ones small. Each round is written out.
     """
-    live = scratch.write(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    # Both directions of an edge come from one row, so the edges are computed once.
+    ends = F.array(F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    live = scratch.write(edges.select(F.inline(ends)).distinct())
     labels = live.select(F.col("a").alias("id"), F.col("a").alias("grp")).distinct()
     while not live.isEmpty():
         # A partial minimum comes before the shuffle: many neighbours of one vertex are cheap.
