@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import bpe, exact_dedup, mixing, oracles
+from stackweave.llm import bpe, exact_dedup, langid, mixing, oracles, quality, simhash, warc
 from stackweave.session import Scratch
 
 #: Folder of the public vocabulary files on every node.
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op2"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
 
@@ -27,15 +31,34 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenised(docs, f"{TOKENIZERS}/byte_bpe_50k.json").drop("text")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"), Scratch(spark, "op7"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs)).drop("text")
+    return found.withColumn("held_out", F.coalesce(langid.fold() == 2, F.lit(False)))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
     taken = F.col("epochs") * F.col("size") + F.col("part")
     return mixed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), Scratch(spark, "op10"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_bpe": op6_bpe,
+    "op7_simhash": op7_simhash,
+    "op8_language": op8_language,
     "op9_mix": op9_mix,
+    "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {"op3_exact_dedup": oracles.EXACT_DEDUP}
