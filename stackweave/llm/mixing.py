@@ -103,3 +103,21 @@ def mix(docs: DataFrame, scratch: Scratch, weight: Column | None = None, seed: i
     room = F.col("rest") - F.col("start") - F.coalesce(F.sum("size").over(inside), F.lit(0))
     cut = placed.where(edge).withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), room)))
     return whole.unionByName(cut).select("doc_id", "source", "size", "source_size", "target", "epochs", F.col("part").cast("long").alias("part"))
+
+
+def mixed(docs: DataFrame, scratch: Scratch, seed: int = 9) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all columns.
+
+    Documents stay whole: of the one at a source's edge, a further copy comes if half of it or more was
+    taken. Rows that repeat a doc_id and source share what the mix takes of them by their size and key.
+    """
+    taken = mix(docs, scratch, seed=seed)
+    copies = F.col("epochs") + F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("size")), 1).otherwise(0)
+    # Rows alike in id, source and size get the same number of copies each, as near to the mix as whole numbers go.
+    per_row = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
+        F.round(F.sum(copies) / F.count(F.lit(1))).cast("int").alias("_copies"))
+    wanted = per_row.where("_copies > 0")
+    sized = docs.withColumn("_words", word_count(F.col("text")))
+    same = sized["doc_id"].cast("long").eqNullSafe(wanted["_id"]) & sized["source"].eqNullSafe(wanted["_source"]) & (sized["_words"] == wanted["_size"])
+    found = sized.join(wanted, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return found.select(*[docs[c] for c in docs.columns])

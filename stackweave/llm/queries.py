@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import bpe, exact_dedup, langid, mixing, oracles, quality, simhash, warc
+from stackweave.llm import bpe, exact_dedup, html, langid, mixing, neighbours, oracles, quality, secrets, simhash, warc
 from stackweave.session import Scratch
 
 #: Folder of the public vocabulary files on every node.
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), Scratch(spark, "op1"), F.col("vec_id") % 20 == 0)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op2"))
 
@@ -26,6 +30,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.tokenised(docs, f"{TOKENIZERS}/byte_bpe_50k.json").drop("text")
@@ -53,8 +65,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_secrets": op4_secrets,
+    "op5_html_text": op5_html_text,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
     "op8_language": op8_language,
