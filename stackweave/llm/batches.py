@@ -29,6 +29,14 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
         first = last
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` bears it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stackweave.llm.batches import free_name
 from stackweave.session import Scratch
 
 #: Shares into which the rows of one digest are dealt, whatever their number.
@@ -62,8 +63,13 @@ def _places(classes: DataFrame, salts: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of ``docs`` that stay, one per class of equal texts, with all their columns."""
-    decided = dedup(docs, scratch).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    marked = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256))
-    same = marked["doc_id"].cast("long").eqNullSafe(decided["_id"]) & (marked["_sha"] == decided["_sha"])
-    return marked.join(decided, same, "left_semi").dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    """The rows of ``docs`` that stay, one per class of equal texts, with all their columns.
+
+    Of rows that repeat the id that stays, one stays. Rows without doc_id stay only for texts that no row
+    with an id has, one per text.
+    """
+    decided = dedup(docs, scratch).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_same")).distinct()
+    sha = free_name(docs, "_sha")
+    marked = docs.withColumn(sha, sha256_text(normalised(F.col("text"))))
+    same = marked["doc_id"].cast("long").eqNullSafe(decided["_id"]) & (marked[sha] == decided["_same"])
+    return marked.join(decided, same, "left_semi").dropDuplicates(["doc_id", sha]).drop(sha)

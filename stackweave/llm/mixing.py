@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stackweave.llm.batches import free_name
 from stackweave.session import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -117,7 +118,9 @@ def mixed(docs: DataFrame, scratch: Scratch, seed: int = 9) -> DataFrame:
     per_row = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
         F.round(F.sum(copies) / F.count(F.lit(1))).cast("int").alias("_copies"))
     wanted = per_row.where("_copies > 0")
-    sized = docs.withColumn("_words", word_count(F.col("text")))
-    same = sized["doc_id"].cast("long").eqNullSafe(wanted["_id"]) & sized["source"].eqNullSafe(wanted["_source"]) & (sized["_words"] == wanted["_size"])
-    found = sized.join(wanted, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return found.select(*[docs[c] for c in docs.columns])
+    words = free_name(docs, "_words")
+    sized = docs.withColumn(words, word_count(F.col("text")))
+    same = sized["doc_id"].cast("long").eqNullSafe(wanted["_id"]) & sized["source"].eqNullSafe(wanted["_source"]) & (sized[words] == wanted["_size"])
+    found = sized.join(wanted, same).select(*[sized[c] for c in docs.columns], wanted["_copies"])
+    repeated = F.explode(F.sequence(F.lit(1), found["_copies"])).alias(free_name(docs, "_copy"))
+    return found.select(*[found[c] for c in docs.columns], repeated).select(*docs.columns)

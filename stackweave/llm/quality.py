@@ -102,7 +102,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
     line_starts, line_ends = line_starts[full], line_ends[full]
     line_owner = owner[line_starts]
     lines = np.bincount(line_owner, minlength=n)
-    equal = np.concatenate([[False], data[1:] == data[:-1]]) & inside
+    equal = np.concatenate([[False], (data[1:] == data[:-1]) & inside[:-1]]) & inside
     columns = [
         np.log1p(sizes), np.log1p(words), np.bincount(word_owner, weights=length, minlength=n) / per_word,
         of_words(length > 14), of_words(length == 1),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stackweave.llm.batches import add_columns
+from stackweave.llm.batches import add_columns, free_name
 from stackweave.operators.graph import connected_groups
 from stackweave.session import Scratch
 
@@ -247,6 +247,7 @@ def keep_one(docs: DataFrame, scratch: Scratch, words: int = 4, distance: int =
     """The rows of ``docs`` with one document of each near-duplicate group: that with the smallest doc_id."""
     found = groups(docs, scratch, words, distance).where("doc_id <=> component_id")
     found = found.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_same")).distinct()
-    marked = fingerprints(docs, words, "_fp")
-    same = marked["doc_id"].cast("long").eqNullSafe(found["_id"]) & (marked["_fp"] == found["_same"])
-    return marked.join(found, same, "left_semi").dropDuplicates(["doc_id", "_fp"]).drop("_fp")
+    name = free_name(docs, "_fp")
+    marked = fingerprints(docs, words, name)
+    same = marked["doc_id"].cast("long").eqNullSafe(found["_id"]) & (marked[name] == found["_same"])
+    return marked.join(found, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
