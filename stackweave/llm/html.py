@@ -21,6 +21,7 @@ SPACED = HEADINGS | frozenset("p ul ol dl blockquote pre table figure fieldset h
 LINED = frozenset(
     "address article aside body center details dialog dd dir div dt figcaption footer form header hgroup html legend li main menu nav option "
     "optgroup search section summary".split())
+BLOCKS = SPACED | LINED | HIDDEN | frozenset("select textarea table tr td th caption button".split())
 CLOSES_P = (SPACED | LINED) - frozenset("body html legend option optgroup".split())
 CELLS, SECTIONS = frozenset(("td", "th")), frozenset(("thead", "tbody", "tfoot"))
 WALLS = frozenset(("table", "td", "th", "caption", "template", "button"))
@@ -243,7 +244,15 @@ class Page(HTMLParser):
         elif tag in CELLS or tag in SECTIONS or tag in ("tr", "caption"):
             self.close_to(self.scope({tag}, frozenset(("table",))))
         elif tag not in ("html", "body"):
-            self.close_to(self.scope({tag}, WALLS - {tag} if tag != "table" else frozenset()))
+            place = self.scope({tag}, WALLS - {tag} if tag != "table" else frozenset())
+            if place is not None and place != self.hidden_from and tag not in BLOCKS and BLOCKS.intersection(self.open[place + 1 :]):
+                # An inline element ends inside a block that it began before: the block stays open.
+                del self.open[place]
+                self.count[tag] -= 1
+                if self.hidden_from is not None and self.hidden_from > place:
+                    self.hidden_from -= 1
+            else:
+                self.close_to(place)
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1] == "head" and data.strip():

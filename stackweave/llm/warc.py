@@ -136,7 +136,7 @@ class Window:
         self.start, self.data = self.start + n, self.data[n:]
 
 
-def parse(data: bytes, what: str = "") -> tuple[dict[str, object] | None, int, str]:
+def parse(data: bytes) -> tuple[dict[str, object] | None, int, str]:
     """The record at the beginning of ``data``: fields, bytes used, and why it failed. Empty reason and no
     fields: more bytes are needed. All checks are made: version, length, closing line ends, both digests."""
     if not data.startswith(b"WARC/1."):
@@ -144,8 +144,11 @@ def parse(data: bytes, what: str = "") -> tuple[dict[str, object] | None, int, s
     end = data.find(b"\r\n\r\n", 0, HEADER_BYTES)
     if end < 0:
         return None, 0, "header without end" if len(data) >= HEADER_BYTES else ""
+    version, *lines = data[:end].split(b"\r\n")
+    if not re.fullmatch(rb"WARC/1\.\d", version):
+        return None, 0, "broken version line"
     fields = {}
-    for line in data[:end].split(b"\r\n")[1:]:
+    for line in lines:
         name, colon, value = line.partition(b":")
         if not colon:
             return None, 0, "broken header line"
