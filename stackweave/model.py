@@ -75,7 +75,8 @@ def to_pixels(stack: DataFrame) -> DataFrame:
 def to_frames(pixels: DataFrame, shape: tuple[int, int], fill: float | None = 0.0) -> DataFrame:
     """Frame form of a pixel table; absent pixels become ``fill``.
 
-    One group is one frame, so its size is fixed by ``shape`` and not by the data.
+    One group is one frame, so its size is fixed by ``shape`` and not by the data. Pixels outside
+    ``shape``, and several rows for one pixel, are errors.
     """
     check_form(pixels, PIXEL_COLS)
     h, w = shape
@@ -89,10 +90,16 @@ def to_frames(pixels: DataFrame, shape: tuple[int, int], fill: float | None = 0.
             pos, val = part.field("p").to_numpy(), part.field("v").to_numpy()
             out = np.full((len(cells), h * w), blank)
             row = np.repeat(np.arange(len(cells)), np.diff(start))
-            out[row, pos[start[0]:start[-1]]] = val[start[0]:start[-1]]
+            places = row * (h * w) + pos[start[0]:start[-1]]
+            if len(places) and np.bincount(places, minlength=out.size).max() > 1:
+                raise ValueError("a frame has several values for one pixel")
+            out.ravel()[places] = val[start[0]:start[-1]]
             yield frame_batch({"t": batch.column("t")}, out.reshape(-1, h, w))
 
-    cell = F.struct((F.col("y") * w + F.col("x")).cast("int").alias("p"), F.col("v").cast("double").alias("v"))
+    inside = F.col("y").between(0, h - 1) & F.col("x").between(0, w - 1)
+    outside = F.raise_error(F.concat(F.lit(f"pixel outside of {shape}: "), F.concat_ws(", ", F.col("y").cast("string"), F.col("x").cast("string"))))
+    place = F.when(inside, (F.col("y") * w + F.col("x")).cast("int")).otherwise(outside.cast("int"))
+    cell = F.struct(place.alias("p"), F.col("v").cast("double").alias("v"))
     grouped = pixels.groupBy(F.col("t").cast("long").alias("t")).agg(F.collect_list(cell).alias("cells"))
     return grouped.mapInArrow(scatter, "t long, h int, w int, px array<double>")
 

@@ -12,6 +12,7 @@ from stackweave.model import global_stat
 from stackweave.operators.blocks import map_blocks, pieces_to_frames
 from stackweave.operators.elementwise import map_values
 from stackweave.operators.frames import map_frames
+from stackweave.session import Scratch
 
 
 def median_filter(frames: DataFrame, size: int = 3) -> DataFrame:
@@ -26,13 +27,14 @@ def reset_minimum(filtered: DataFrame, original: DataFrame) -> DataFrame:
     return map_values(moved, lambda v: v + F.col("_s")).drop("_s")
 
 
-def denoise(frames: DataFrame, size: int = 3, keep=lambda df: df) -> DataFrame:
+def denoise(frames: DataFrame, size: int = 3, scratch: Scratch | None = None) -> DataFrame:
     """Median filter, then the original minimum.
 
-    ``keep`` may write the filtered stack (``Scratch.write``), so that its minimum and its
-    pixels are read back instead of filtering twice.
+    The filtered stack is written first, so that its minimum and its pixels are read back
+    instead of filtering twice.
     """
-    return reset_minimum(keep(median_filter(frames, size)), frames)
+    scratch = scratch or Scratch(frames.sparkSession, "denoise")
+    return reset_minimum(scratch.write(median_filter(frames, size)), frames)
 
 
 def smooth_levels(stack: np.ndarray, scales: tuple[int, int, int]) -> list[np.ndarray]:

@@ -1,7 +1,7 @@
 """Seeded, repeatable shuffling and sampling of frames.
 
 Frames are ordered by the md5 of their number and the seed. Positions come from per-bucket
-row numbers plus bucket offsets, so no task sorts the whole time axis.
+row numbers plus bucket offsets, so no task sorts the whole time axis, and no frame is sorted at all.
 """
 
 from __future__ import annotations
@@ -9,27 +9,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# 3 hex digits of the md5: a fixed number of buckets, so the offset table has 4096 rows at most.
-BUCKET_DIGITS = 3
+#: Frames of one bucket of the random order, about.
+BUCKET_FRAMES = 65_536
 
 
 def random_key(seed: int, t: str = "t") -> Column:
     return F.md5(F.concat_ws(":", F.col(t).cast("string"), F.lit(str(seed))))
 
 
-def shuffle_frames(stack: DataFrame, seed: int = 0) -> DataFrame:
-    """The same frames in random order: ``t`` becomes the new position, ``t_from`` the old one."""
-    keyed = stack.withColumn("_key", random_key(seed)).withColumn("_b", F.substring("_key", 1, BUCKET_DIGITS))
-    counts = (
-        stack.select(F.substring(random_key(seed), 1, BUCKET_DIGITS).alias("_b")).groupBy("_b").agg(F.count("*").alias("_n"))
-    )
-    # At most 4096 rows by construction, so one task may order them and a broadcast is bounded.
+def random_positions(stack: DataFrame, seed: int = 0) -> DataFrame:
+    """Place of every frame in random order: ``(t, pos)``, from the numbers alone.
+
+    Frames fall into buckets by the first digits of their key, as many digits as the number of frames asks
+    for. Bucket counts, a running sum over them and row numbers inside the buckets make the place.
+    """
+    numbers = stack.select("t").withColumn("_key", random_key(seed))
+    # Each hexadecimal digit splits 16 ways.
+    total = stack.agg(F.count(F.lit(1)).alias("n")).scalar()
+    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.greatest(total, F.lit(1)) / F.lit(BUCKET_FRAMES)))).cast("int")
+    placed = numbers.withColumn("_d", digits).withColumn("_b", F.expr("substring(_key, 1, _d)"))
+    counts = placed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    placed = keyed.join(F.broadcast(offsets), "_b")
     rank = F.row_number().over(Window.partitionBy("_b").orderBy("_key", "t"))
-    moved = placed.withColumn("_pos", (F.col("_off") + rank - 1).cast("long")).withColumnRenamed("t", "t_from")
-    return moved.withColumnRenamed("_pos", "t").select("t", "t_from", *[c for c in stack.columns if c != "t"])
+    return placed.withColumn("_rank", rank).join(offsets, "_b").select("t", (F.col("_off") + F.col("_rank") - 1).cast("long").alias("pos"))
+
+
+def shuffle_frames(stack: DataFrame, seed: int = 0) -> DataFrame:
+    """The same frames in random order: ``t`` becomes the new position, ``t_from`` the old one.
+
+    Only frame numbers are sorted; frames meet their place in one join on the number.
+    """
+    moved = stack.join(random_positions(stack, seed), "t").withColumnRenamed("t", "t_from").withColumnRenamed("pos", "t")
+    return moved.select("t", "t_from", *[c for c in stack.columns if c != "t"])
 
 
 def sample_positions(stack: DataFrame, k: int, seed: int = 0) -> DataFrame:
@@ -41,8 +53,7 @@ def sample_positions(stack: DataFrame, k: int, seed: int = 0) -> DataFrame:
 
 def sample_frames(frames: DataFrame, k: int, seed: int = 0) -> DataFrame:
     """``k`` random frames without replacement: ``(pos, t, h, w, px)``."""
-    chosen = sample_positions(frames, k, seed)
-    return frames.join(F.broadcast(chosen) if k <= 1_000_000 else chosen, "t")
+    return frames.join(sample_positions(frames, k, seed), "t")
 
 
 def sample_per_block(stack: DataFrame, block_t: int, k: int, seed: int = 0) -> DataFrame:

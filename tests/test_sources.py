@@ -1,10 +1,11 @@
 import io
+import os
 
 import numpy as np
 import pytest
 
 from conftest import array_of
-from stackweave.model import to_pixels
+from stackweave.model import to_frames, to_pixels
 from stackweave.operators import sampling
 from stackweave.sources import stacks
 from stackweave.sources.store import DatasetStore
@@ -99,8 +100,60 @@ def test_spatial_selection(frames_of, rng):
         got[r["y"], r["x"]] = r["v"]
     np.testing.assert_allclose(got, stack[1, 1:4, ::2], rtol=1e-6)
     np.testing.assert_allclose(array_of(stacks.select_frames(frames_of(stack), [3, 1], slice(1, 4), slice(1, None, 2))), stack[[3, 1], 1:4, 1::2])
-    with pytest.raises(ValueError):
-        stacks.select_frames(frames_of(stack), [1], slice(-1, None))
+    frames = frames_of(stack)
+    for rows, cols in [(slice(-2, None), slice(None, -1)), ([4, 0, 4], slice(None)), (-1, [5, -6]), (2, 3), (slice(9, 12), slice(None))]:
+        kept = [rows] if isinstance(rows, int) else rows
+        want = stack[[2]][:, kept][:, :, [cols] if isinstance(cols, int) else cols]
+        got = stacks.select_frames(frames, 2, rows, cols).first()
+        assert (got["h"], got["w"]) == want.shape[1:]
+        np.testing.assert_allclose(np.reshape(got["px"], want.shape), want)
+    picked = stacks.select_frames(to_pixels(frames), [1], [3, 0, 3], 2).collect()
+    assert sorted((r["y"], r["x"], r["v"]) for r in picked) == [(k, 0, stack[1, y, 2]) for k, y in enumerate([3, 0, 3])]
+
+
+@pytest.mark.parametrize("key,rows", [([0, 99], None), ([-9], None), (7, None), ([], 0), ([1], [5]), ([1], -6)])
+def test_unknown_positions_are_errors(frames_of, rng, key, rows):
+    picked = stacks.select_frames(frames_of(rng.normal(size=(4, 5, 6))), key, rows)
+    if key:
+        with pytest.raises(Exception, match="do not exist|positions"):
+            picked.collect()
+    else:
+        assert picked.count() == 0
+
+
+def test_pixels_outside_or_twice_are_errors(spark):
+    pixels = spark.createDataFrame([(0, 0, 2, 1.0)], "t long, y int, x int, v double")
+    with pytest.raises(Exception, match="outside"):
+        to_frames(pixels, (2, 2)).collect()
+    with pytest.raises(Exception, match="several values"):
+        to_frames(pixels.union(pixels), (3, 3)).collect()
+
+
+class Pages:
+    """Files of float64 frames of 2 x 3 that count how often a page is read."""
+
+    def pages(self, path):
+        return os.path.getsize(path.removeprefix("file:")) // 48
+
+    def read(self, path, first, last):
+        whole = np.fromfile(path.removeprefix("file:")).reshape(-1, 2, 3)
+        yield from whole[first:last]
+
+
+def test_ranges_of_files(spark, tmp_path, rng):
+    stack = rng.normal(size=(23, 2, 3))
+    for name, part in (("a.raw", stack[:15]), ("b.raw", stack[15:]), ("c.raw", stack[:0])):
+        part.tofile(tmp_path / name)
+    frames = stacks.decode_files(spark, str(tmp_path), Pages(), range_pages=4)
+    np.testing.assert_allclose(array_of(frames), stack)
+
+
+def test_concatenation_plan_grows_one_by_one(frames_of, rng):
+    parts = [rng.normal(size=(2, 1, 1)) for _ in range(60)]
+    made = stacks.concat_stacks([frames_of(p) for p in parts])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 4 * len(parts) and "scalar-subquery" not in plan
+    np.testing.assert_allclose(array_of(made), np.concatenate(parts))
 
 
 def test_concatenation_renumbers(frames_of, rng):
