@@ -6,25 +6,28 @@ import numpy as np
 
 
 def lasso_codes(gram: np.ndarray, cov: np.ndarray, alpha: float, n_iter: int = 200, positive: bool = False, tol: float = 1e-6) -> np.ndarray:
-    """Codes minimising ``0.5 |x - c D|^2 + alpha |c|_1``, all frames of the batch at once.
+    """Codes minimising ``0.5 |x - c D|^2 + alpha |c|_1``, each until its own code rests.
 
     Coordinate descent on the Gram form; ``cov`` is ``(frames, atoms)``.
     """
     codes = np.zeros_like(cov)
     size = np.diag(gram)
+    # Each frame stops on its own, so its code does not depend on the frames it shares a batch with.
+    live = np.arange(len(cov))
     for _ in range(n_iter):
-        worst = 0.0
+        if not len(live):
+            break
+        now, moved = codes[live], np.zeros(len(live))
         for j in np.nonzero(size > 1e-12)[0]:
-            pull = cov[:, j] - codes @ gram[:, j] + size[j] * codes[:, j]
+            pull = cov[live, j] - now @ gram[:, j] + size[j] * now[:, j]
             if positive:
                 new = np.maximum(pull - alpha, 0.0) / size[j]
             else:
                 new = np.sign(pull) * np.maximum(np.abs(pull) - alpha, 0.0) / size[j]
-            if len(new):
-                worst = max(worst, float(np.abs(new - codes[:, j]).max()))
-            codes[:, j] = new
-        if worst < tol:
-            break
+            moved = np.maximum(moved, np.abs(new - now[:, j]))
+            now[:, j] = new
+        codes[live] = now
+        live = live[moved >= tol]
     return codes
 
 

@@ -20,6 +20,7 @@ from stackweave.functions.coding import improve_atoms, lasso_codes, omp_codes
 from stackweave.model import batch_stacks, explode_frames, frame_batch, frame_total
 from stackweave.operators.blocks import PIECES, block_array, cut_blocks, pieces_to_frames
 from stackweave.operators.sampling import sample_frames
+from stackweave.operators.sums import PARTS, pieces, sum_pieces
 
 # Values of one dictionary that may travel through the driver: 256 MB of doubles.
 MAX_DICTIONARY = 32_000_000
@@ -112,18 +113,15 @@ def code_statistics(frames: DataFrame, learned: Learned, alpha: float, positive:
                 loss += 0.5 * float(((x - codes @ atoms) ** 2).sum()) + alpha * float(np.abs(codes).sum())
                 seen += len(x)
         if seen:
-            for kind, m in ((0, a), (1, b), (2, np.array([[loss, float(seen)]]))):
-                cells = _matrix_table(m, ("i", "j"))
-                cells = cells.add_column(0, "kind", pa.array(np.full(len(cells), kind, dtype=np.int32)))
-                yield from cells.to_batches(max_chunksize=1_000_000)
+            for kind, m in enumerate((a, b, np.array([loss, float(seen)]))):
+                yield from pieces(kind, m)
 
-    parts = frames.select("h", "w", "px").mapInArrow(partial, "kind int, i int, j int, v double")
-    table = parts.groupBy("kind", "i", "j").agg(F.sum("v").alias("v")).toArrow()
+    sums = sum_pieces(frames.select("h", "w", "px").mapInArrow(partial, PARTS))
     sent.unpersist()
-    kinds = table.column("kind").to_numpy()
-    a, b = (_matrix_rows(table.filter(pa.array(kinds == n)), s) for n, s in ((0, (k, k)), (1, (k, f))))
-    loss, seen = _matrix_rows(table.filter(pa.array(kinds == 2)), (1, 2))[0]
-    return a, b, loss, int(seen)
+    if not sums:
+        return np.zeros((k, k)), np.zeros((k, f)), 0.0, 0
+    loss, seen = sums[2]
+    return sums[0].reshape(k, k), sums[1].reshape(k, f), float(loss), int(seen)
 
 
 def fit(
@@ -300,9 +298,9 @@ def fit_blocks(
         first = stack.reshape(len(t), -1)
         if k == 0:
             return empty
-        atoms = np.zeros((k, first.shape[1]))
-        picked = order[:k]
-        atoms[:len(picked)] = first[picked]
+        if k > len(t):
+            raise ValueError(f"{k} atoms are asked for from a block of {len(t)} frames; ask for fewer atoms or longer blocks")
+        atoms = first[order[:k]].copy()
         atoms = learn_block(first, atoms, alpha, rounds)
         keys = {"t": pa.array(np.arange(start, start + k), pa.int64()),
                 "y0": pa.array(np.full(k, at["y0"], np.int32)), "x0": pa.array(np.full(k, at["x0"], np.int32))}

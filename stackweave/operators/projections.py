@@ -95,7 +95,11 @@ def background_subtract(
     if not is_frames(stack):
         joined = stack.join(stats.select(*space, "hmean"), list(space)).withColumn("_low", stats.agg(lowest).scalar())
         return joined.select("t", *space, (F.col("v") - F.col("hmean") - F.col("_low")).alias("v"))
-    image = F.transform(F.array_sort(F.collect_list(F.struct(*space, "hmean"))), lambda c: c["hmean"])
-    known = stack.withColumn("_b", stats.agg(F.struct(image.alias("img"), lowest)).scalar())
+    # Image rows are gathered by many tasks; one task only strings together one array per image row.
+    first, *rest = space
+    line = F.transform(F.array_sort(F.collect_list(F.struct(*rest, "hmean"))), lambda c: c["hmean"])
+    lines = stats.groupBy(first).agg(line.alias("line"), lowest)
+    image = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(first, "line"))), lambda c: c["line"]))
+    known = stack.withColumn("_b", lines.agg(F.struct(image.alias("img"), F.min("low").alias("low"))).scalar())
     moved = let(F.col("_b.low"), lambda low: F.zip_with("px", "_b.img", lambda v, b: v - b - low))
     return known.withColumn("px", moved).drop("_b")

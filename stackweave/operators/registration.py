@@ -1,7 +1,7 @@
 """Motion correction: integer shifts that align every frame with a common template.
 
 One pass over the frames per round. Each task transforms its frames, finds their offsets
-against the broadcast template, and adds the shifted spectra into one partial sum, so a
+against the broadcast template, and adds the shifted spectra into one partial sum of arrays, so a
 round shuffles one spectrum per task and never a frame. Offsets are a function of the frame
 and the template alone: no state is kept between rounds, a lost task is simply run again,
 and the final shifts are columns next to the frames, so frames and shifts are never joined.
@@ -19,9 +19,11 @@ from pyspark.sql.types import IntegerType, StructType
 
 from stackweave.functions.arrays import let
 from stackweave.model import batch_stacks, is_frames
+from stackweave.operators.sums import PARTS, SCHEMA, pieces, sum_pieces
+from stackweave.session import Scratch
 
-# A template is one frame; above this many pixels a frame no longer fits one Arrow row well.
-MAX_FRAME_PIXELS = 50_000_000
+# Two offsets are packed into one number with this factor.
+SIDE = 1 << 32
 
 
 @dataclass
@@ -78,17 +80,26 @@ def spectra_of(stack: np.ndarray, low: float) -> np.ndarray:
 
 def _round_sums(
     frames: DataFrame, shape: tuple[int, int], low: float, previous: Template | None, current: Template | None,
-    as_written: bool,
+    as_written: bool, scratch: Scratch,
 ) -> dict:
-    """Sum of the spectra shifted by the current offsets, and counts of (old, new) offsets."""
+    """Sum of the spectra shifted by the current offsets, and counts of offsets and of moves since the last ones.
+
+    The two counts are kept apart: there are no more offsets than pixels and no more moves than four times that,
+    however many frames there are.
+    """
     spark = frames.sparkSession
     sent = spark.sparkContext.broadcast((previous, current))
     h, w = shape
 
+    def cells(kind: int, counts: dict[tuple[int, int], int]) -> pa.RecordBatch:
+        keys = np.array(list(counts), dtype=np.int64).reshape(-1, 2)
+        value = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1), pa.int32()), pa.array(np.array(list(counts.values()), dtype=float)))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys[:, 0] * SIDE + keys[:, 1]), value], schema=SCHEMA)
+
     def partial(batches):
         old, new = sent.value
         total = np.zeros((h, w // 2 + 1), dtype=complex)
-        moves: dict[tuple[int, ...], int] = {}
+        counts: tuple[dict, dict] = ({}, {})
         for batch in batches:
             for rows, stack in batch_stacks(batch):
                 if stack.shape[1:] != shape:
@@ -98,41 +109,34 @@ def _round_sums(
                 got = blank if new is None else match_offsets(spectra, new.spectrum, shape, as_written)
                 had = blank if old is None else match_offsets(spectra, old.spectrum, shape, as_written)
                 total += shift_spectra(spectra, got, shape).sum(axis=0)
-                pairs, counts = np.unique(np.hstack([got, got - had]), axis=0, return_counts=True)
-                for key, n in zip(map(tuple, pairs.tolist()), counts.tolist()):
-                    moves[key] = moves.get(key, 0) + n
-        if moves:
-            flat = total.ravel()
-            k = np.arange(flat.size)
-            zero = np.zeros(flat.size, dtype=np.int32)
-            cells = [pa.array(k, pa.int64()), *[pa.array(zero)] * 4, pa.array(flat.real.copy()), pa.array(flat.imag.copy())]
-            yield pa.RecordBatch.from_arrays(cells, names=names)
-            keys = np.array(list(moves), dtype=np.int32)
-            count = np.array(list(moves.values()), dtype=float)
-            cells = [pa.array(np.full(len(count), -1), pa.int64()), *[pa.array(keys[:, i].copy()) for i in range(4)],
-                     pa.array(count), pa.array(np.zeros(len(count)))]
-            yield pa.RecordBatch.from_arrays(cells, names=names)
-
-    names = ["k", "dy", "dx", "my", "mx", "re", "im"]
-    parts = frames.select("h", "w", "px").mapInArrow(
-        partial, "k long, dy int, dx int, my int, mx int, re double, im double"
-    )
-    # Reduced to one spectrum and to one row per pair of offsets: both bounded by the frame.
-    table = parts.groupBy(*names[:5]).agg(F.sum("re").alias("re"), F.sum("im").alias("im")).toArrow().to_pandas()
+                for seen, values in zip(counts, (got, got - had)):
+                    found, times = np.unique(values, axis=0, return_counts=True)
+                    for key, n in zip(map(tuple, found.tolist()), times.tolist()):
+                        seen[key] = seen.get(key, 0) + n
+        if counts[0]:
+            yield from pieces(0, np.stack([total.real, total.imag]))
+            yield cells(1, counts[0])
+            yield cells(2, counts[1])
+
+    # Written once: the sums of arrays and the counts are two aggregates over the same few rows.
+    parts = scratch.write(frames.select("h", "w", "px").mapInArrow(partial, PARTS))
     sent.unpersist()
-    if table.empty:
+    sums = sum_pieces(parts.where("kind = 0"))
+    if not sums:
         return {"count": 0}
-    wave = table[table.k >= 0].sort_values("k")
-    moves = table[table.k < 0]
-    count = float(moves.re.sum())
-    weight = moves.re.to_numpy()[:, None]
+    table = parts.where("kind > 0").groupBy("kind", "part").agg(F.sum(F.col("v")[0]).alias("n")).toArrow().to_pandas()
+    table["dy"] = np.floor_divide(table.part + SIDE // 2, SIDE)
+    table["dx"] = table.part - table.dy * SIDE
+    offsets, moves = table[table.kind == 1], table[table.kind == 2]
+    count = float(offsets.n.sum())
+    real, imaginary = sums[0].reshape(2, h, w // 2 + 1)
     return {
         "count": count,
-        "spectrum": (wave.re.to_numpy() + 1j * wave.im.to_numpy()).reshape(h, w // 2 + 1),
-        "mean": (moves[["dy", "dx"]].to_numpy() * weight).sum(axis=0) / count,
-        "moves": moves[["my", "mx"]].to_numpy(),
-        "weights": moves.re.to_numpy(),
-        "ends": moves[["dy", "dx"]].agg(["min", "max"]).to_numpy(),
+        "spectrum": real + 1j * imaginary,
+        "mean": (offsets[["dy", "dx"]].to_numpy() * offsets.n.to_numpy()[:, None]).sum(axis=0) / count,
+        "moves": moves[["dy", "dx"]].to_numpy(),
+        "weights": moves.n.to_numpy(),
+        "ends": offsets[["dy", "dx"]].agg(["min", "max"]).to_numpy(),
     }
 
 
@@ -145,12 +149,11 @@ def find_template(
         return None, []
     low = size["low"]
     shape = (size["h"], size["w"])
-    if shape[0] * shape[1] > MAX_FRAME_PIXELS:
-        raise ValueError(f"frames of {shape} are too large for one row; register a binned stack and scale the shifts")
+    scratch = Scratch(frames.sparkSession, "register")
     scale = np.array(shape, dtype=float) * np.sqrt(2.0)
     distances: list[float] = []
     old, new = None, None
-    sums = _round_sums(frames, shape, low, None, None, as_written)
+    sums = _round_sums(frames, shape, low, None, None, as_written, scratch)
     mean = sums["spectrum"] / sums["count"]
     for _ in range(rounds):
         # Shifts of the round before are its offsets less their common drift.
@@ -158,13 +161,14 @@ def find_template(
         shifted = shift_spectra((sums["spectrum"] / sums["count"])[None], -drift[None], shape)[0]
         mean = history * mean + (1 - history) * shifted
         old, new = new, Template(mean, np.zeros(2), low)
-        sums = _round_sums(frames, shape, low, old, new, as_written)
+        sums = _round_sums(frames, shape, low, old, new, as_written, scratch)
         new.drift = np.round(sums["mean"])
         new.reach = sums["ends"] - new.drift.astype(int)
         moved = (sums["moves"] - (new.drift - drift)) / scale
         distances.append(float((np.sqrt((moved**2).sum(axis=1)) * sums["weights"]).sum() / sums["count"]))
         if distances[-1] <= stop:
             break
+    scratch.clear()
     return new, distances
 
 

@@ -10,8 +10,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stackweave.functions.kernels import spline_taps
-from stackweave.model import is_frames, to_pixels
-from stackweave.session import broadcast_if_small
+from stackweave.model import is_frames
+
+
+#: Pixels of one tile of a frame where frames meet masks.
+TILE = 4096
+
+
+def _frame_sums(frames: DataFrame, masks: DataFrame) -> DataFrame:
+    """Weighted sums ``(roi_id, t, part, w_sum)`` of frames, tile by tile: pixels are never rows.
+
+    Masks become runs of (place in the tile, weight) per region and tile; frames are cut into the same
+    tiles as arrays. The join is on the tile, and the planner sees how large the masks are.
+    """
+    widths = frames.agg(F.collect_set("w").alias("ws")).scalar()  # one entry per frame shape
+    flat = masks.withColumn("fw", F.explode(widths)).where("x >= 0 and x < fw and y >= 0")
+    flat = flat.withColumn("p", F.col("y").cast("long") * F.col("fw") + F.col("x"))
+    cell = F.struct((F.col("p") % TILE).cast("int").alias("i"), F.col("w").alias("k"))
+    runs = flat.groupBy("roi_id", "fw", F.expr(f"cast(p div {TILE} as int)").alias("tile")).agg(F.collect_list(cell).alias("cells"), F.max("w_sum").alias("w_sum"))
+    cut = F.transform(F.sequence(F.lit(0), F.expr(f"cast((size(px) - 1) div {TILE} as int)")), lambda c: F.slice("px", c * TILE + 1, F.lit(TILE)))
+    tiles = frames.where(F.size("px") > 0).select("t", F.col("w").alias("fw"), F.posexplode(cut).alias("tile", "v"))
+    inside = F.filter("cells", lambda c: c["i"] < F.size("v"))
+    part = F.aggregate(inside, F.lit(0.0), lambda total, c: total + c["k"] * F.coalesce(F.get("v", c["i"]).cast("double"), F.lit(0.0)))
+    met = tiles.join(runs, ["fw", "tile"]).where(F.size(inside) > 0)
+    return met.select("roi_id", "t", part.alias("part"), "w_sum")
 
 
 def roi_traces(
@@ -20,14 +42,16 @@ def roi_traces(
     """Weighted mean of each region's pixels in each frame: ``(roi_id, t, value)``.
 
     The weights are summed over the whole mask, so a sparse stack still divides by all of
-    it. Regions listed in ``rois`` without any pixel get a NULL trace. Each frame is exploded
-    in place and reduced before the shuffle to one row per region and frame.
+    it. Regions listed in ``rois`` without any pixel get a NULL trace. Frames meet masks tile by tile as
+    arrays; pixel tables join them by coordinate. Either way one row per region, frame and task is shuffled.
     """
     weight = roi_pixels.groupBy("roi_id").agg(F.sum("w").alias("w_sum"))
-    masks = broadcast_if_small(roi_pixels.join(weight, "roi_id").select("roi_id", *space, "w", "w_sum"))
-    value = F.sum(F.col("w") * F.col("v")) / F.nullif(F.max("w_sum"), F.lit(0.0))
-    pixels = to_pixels(stack) if is_frames(stack) else stack
-    traces = pixels.join(masks, list(space)).groupBy("roi_id", "t").agg(value.alias("value"))
+    masks = roi_pixels.join(weight, "roi_id").select("roi_id", *space, "w", "w_sum")
+    if is_frames(stack):
+        parts = _frame_sums(stack, masks)
+    else:
+        parts = stack.join(masks, list(space)).select("roi_id", "t", (F.col("w") * F.col("v")).alias("part"), "w_sum")
+    traces = parts.groupBy("roi_id", "t").agg((F.sum("part") / F.nullif(F.max("w_sum"), F.lit(0.0))).alias("value"))
     if rois is None:
         return traces
     empty = rois.join(roi_pixels, "roi_id", "left_anti").agg(F.collect_set("roi_id").alias("ids")).scalar()
@@ -39,7 +63,10 @@ def dense_series(series: DataFrame, fill: float = 0.0, key: str = "roi_id") -> D
     """Give every series a value at every ``t`` between the overall first and last."""
     lo, hi = series.agg(F.min("t")).scalar(), series.agg(F.max("t")).scalar()
     ids = series.select(key).distinct().withColumn("lo", lo).withColumn("hi", hi)
-    grid = ids.select(key, F.explode(F.sequence("lo", "hi")).alias("t"))
+    # Two steps, so that no row ever holds a whole time axis.
+    step = 4096
+    coarse = ids.select(key, "lo", "hi", F.explode(F.expr(f"sequence(0L, (hi - lo) div {step})")).alias("c"))
+    grid = coarse.select(key, F.explode(F.expr(f"sequence(lo + c * {step}, least(hi, lo + c * {step} + {step - 1}))")).alias("t"))
     return grid.join(series, [key, "t"], "left").select(
         key, "t", F.coalesce(F.col("value"), F.lit(float(fill))).alias("value")
     )

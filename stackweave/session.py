@@ -1,4 +1,4 @@
-"""Session settings, the shared scratch folder and size-checked broadcasts."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -100,13 +99,3 @@ class Scratch:
 
     def clear(self) -> None:
         delete_path(self.spark, self.root)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 4_000_000) -> DataFrame:
-    """Hint a broadcast only after counting the rows; a larger side keeps a shuffled join.
-
-    The count stops at ``max_rows + 1``. Rows here are a few numbers wide, so the default
-    stays near 100 MB.
-    """
-    counted = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
