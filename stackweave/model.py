@@ -42,13 +42,27 @@ def is_frames(df: DataFrame) -> bool:
     return "px" in df.columns
 
 
-def frames_from(df: DataFrame, t: str, px: str, shape: tuple[int, int]) -> DataFrame:
-    """Frame form of a table that already holds one array per frame."""
+def promote(frames: DataFrame) -> DataFrame:
+    """Frames in the working type: 32-bit floats, or doubles if that is what they are.
+
+    Stored stages keep this type, half the bytes; sums and averages over it are taken in doubles.
+    """
+    kind = frames.schema["px"].dataType.elementType
+    return frames if isinstance(kind, T.DoubleType) else frames.withColumn("px", F.col("px").cast("array<float>"))
+
+
+def as_type_of(frames: DataFrame, other: DataFrame) -> DataFrame:
+    """``frames`` with the pixel type of ``other``."""
+    return frames.withColumn("px", F.col("px").cast(other.schema["px"].dataType))
+
+
+def frames_from(df: DataFrame, t: str, px: str, shape: tuple[int, int], dtype: str | None = "double") -> DataFrame:
+    """Frame form of a table that already holds one array per frame; ``dtype`` None keeps its numbers as they are."""
     return df.select(
         F.col(t).cast("long").alias("t"),
         F.lit(shape[0]).cast("int").alias("h"),
         F.lit(shape[1]).cast("int").alias("w"),
-        F.col(px).cast("array<double>").alias("px"),
+        (F.col(px).cast(f"array<{dtype}>") if dtype else F.col(px)).alias("px"),
     )
 
 

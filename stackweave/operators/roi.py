@@ -353,8 +353,20 @@ def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     outside = member.join(main, ["y", "x"]).where("grp <> main").drop("main")
     met = _side(outside, "a").join(_side(member, "b"), ["y", "x"]).where((F.col("grp_a") != F.col("grp_b")) & _promising(params))
     rest = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = _linked(measure_pairs(rest, unit), params).select("a", "b")
-    return connected_groups(first.union(second), scratch)
+    second = scratch.write(_linked(measure_pairs(rest, unit), params).select("a", "b"))
+    return join_groups(known, second, scratch)
+
+
+def join_groups(known: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """``known(id, grp)`` after further ``edges(a, b)``: only the edges between groups are contracted."""
+    ends = [known.select(F.col("id").alias(c), F.col("grp").alias(f"grp_{c}")) for c in ("a", "b")]
+    between = edges.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    between = between.select("a", "b", F.coalesce("grp_a", "a").alias("ga"), F.coalesce("grp_b", "b").alias("gb"))
+    fused = connected_groups(between.where("ga <> gb").select(F.col("ga").alias("a"), F.col("gb").alias("b")), scratch)
+    fused = fused.select(F.col("id").alias("grp"), F.col("grp").alias("lower"))
+    pairs = F.array(F.struct(F.col("a").alias("id"), F.col("ga").alias("grp")), F.struct(F.col("b").alias("id"), F.col("gb").alias("grp")))
+    members = known.select("id", "grp").union(between.select(F.inline(pairs))).distinct()
+    return scratch.write(members.join(fused, "grp", "left").select("id", F.coalesce("lower", "grp").alias("grp")))
 
 
 def merge_rois(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams = MergeParams()) -> DataFrame:
@@ -364,10 +376,11 @@ def merge_rois(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams = Me
     """
     groups = merge_groups(roi_pixels, scratch, params)
     tagged = roi_pixels.join(groups.withColumnRenamed("id", "roi_id"), "roi_id", "left")
-    tagged = tagged.withColumn("grp", F.coalesce("grp", "roi_id"))
+    # Read for members and sums: written once, so the join with the groups runs once.
+    tagged = scratch.write(tagged.select(F.coalesce("grp", "roi_id").alias("grp"), "roi_id", "y", "x", "w"))
     members = tagged.select("grp", "roi_id").distinct().groupBy("grp").agg(F.count("*").alias("members"))
     sums = tagged.groupBy("grp", "y", "x").agg(F.sum("w").alias("w")).join(members, "grp")
-    fused = sums.select("grp", "y", "x", (F.col("w") / F.col("members")).alias("w"))
+    fused = scratch.write(sums.select("grp", "y", "x", (F.col("w") / F.col("members")).alias("w")))
     tops = fused.groupBy("grp").agg(F.max("w").alias("top"))
     kept = fused.join(tops, "grp").where(F.col("w") >= F.col("top") * params.keep_fraction)
     return kept.select(F.col("grp").alias("roi_id"), "y", "x", "w")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.model import explode_frames
-from stackweave.operators import dictionary, registration
+from stackweave.model import explode_frames, promote, to_pixels
+from stackweave.operators import dictionary, registration, roi
 from stackweave.plans import fixtures as fx
 from stackweave.plans.pipeline import PipelineParams, run_pipeline
-from stackweave.plans.queries import EMB, HMEAN, MEDIAN, SEED, SMALL, pixels, query, rounded, store_at
+from stackweave.plans.queries import EMB, HMEAN, LABELS, MEDIAN, PEAKS, SEED, SMALL, peak_rows, pixels, query, region_pixels, rounded, store_at
 from stackweave.session import Scratch
 from stackweave.sources.store import DatasetStore
 from stackweave.streaming import jobs
@@ -96,6 +96,36 @@ def dict_fit_blocks_one(spark: SparkSession, sf: str) -> DataFrame:
     return atom_rows(dictionary.fit_blocks(fx.emb_wide(spark, sf), 4, (BLOCK_T, 4, 4), alpha=ALPHA, rounds=2, seed=SEED))
 
 
+# -- types, export and splitting -----------------------------------------------------------
+
+
+@query("SELECT t, y, x, CAST(v AS FLOAT) AS v FROM emb", EMB)
+def promote_float32(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored frames in the working type: the 32-bit input stays 32-bit."""
+    frames = fx.frames_from(fx.read(spark, sf, "embeddings"), "vec_id", "embedding", fx.SHAPE, dtype=None)
+    return to_pixels(store_at(spark, "promote").put("raw", promote(frames)))
+
+
+@query("SELECT t, y, x, round(v, 6) + 0.0 AS v FROM emb", EMB)
+def store_export(spark: SparkSession, sf: str) -> DataFrame:
+    store = store_at(spark, "export")
+    store.put("raw", fx.emb(spark, sf))
+    store.export("raw", f"{store.root}-plain")
+    return pixels(spark.read.parquet(f"{store.root}-plain"))
+
+
+@query("""SELECT t, CAST(region AS INTEGER) AS region, y, x, seg FROM grow QUALIFY row_number() OVER (PARTITION BY t, y, x ORDER BY d, seg) = 1""",
+       EMB, LABELS, PEAKS, """seeds AS (SELECT l.t, l.region, l.y, l.x, row_number() OVER (PARTITION BY l.t ORDER BY l.y, l.x) AS seg
+         FROM lab l JOIN peaks p ON p.t = l.t AND p.y = l.y AND p.x = l.x),
+       grow(t, region, seg, y, x, d) AS (SELECT t, region, seg, y, x, 0 FROM seeds UNION SELECT g.t, g.region, g.seg, l.y, l.x, g.d + 1 FROM grow g
+         JOIN lab l ON l.t = g.t AND l.region = g.region AND abs(l.y - g.y) <= 1 AND abs(l.x - g.x) <= 1 WHERE g.d < 40)""")
+def split_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions divided among all their peaks: a pixel goes to the nearest peak inside its region, then to the first."""
+    rows = region_pixels(spark, sf)
+    peaks = peak_rows(spark, sf).join(rows.select("t", "region", "y", "x"), ["t", "y", "x"])
+    return roi.split_regions(rows, peaks).select("t", "region", "y", "x", "seg")
+
+
 # -- registration in two rounds ------------------------------------------------------------
 
 DRIFTING = """src AS (SELECT e.t, e.y, e.x, e.v + CAST(3 AS DOUBLE) / (1 + pow((e.y - (e.t % 3 - 1) + 8) % 8 - 3, 2) + pow((e.x - e.t % 2 + 8) % 8 - 4, 2)) AS v FROM emb e)"""

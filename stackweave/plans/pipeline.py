@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stackweave.model import to_pixels
+from stackweave.model import as_type_of, promote, to_pixels
 from stackweave.operators.dictionary import atoms_frame, fit, initial_atoms, sparse_encode
 from stackweave.operators.elementwise import trim_frames
 from stackweave.operators.filters import median_filter, reset_minimum
@@ -42,24 +42,29 @@ class PipelineParams:
 def run_pipeline(store: DatasetStore, frames: DataFrame, params: PipelineParams = PipelineParams()) -> DatasetStore:
     """Run all stages on raw frames; the results lie in ``store`` under their stage names."""
     p, spark = params, store.spark
-    raw = store.put("raw", frames)
+    raw = store.put("raw", promote(frames))
+
+    def stage(name: str, made: DataFrame) -> DataFrame:
+        """Images are stored in the working type, whatever the arithmetic made of them."""
+        return store.put(name, as_type_of(made, raw))
+
     fit_arrow_batches(spark, raw.agg(F.max(F.size("px"))).first()[0] or 1)
-    trimmed = store.put("trim", trim_frames(raw, p.front, p.back))
+    trimmed = stage("trim", trim_frames(raw, p.front, p.back))
     scratch = Scratch(spark, "pipeline")
-    filtered = scratch.write(median_filter(trimmed, p.median_size))
-    clean = store.put("dn", reset_minimum(filtered, trimmed))
+    filtered = scratch.write(as_type_of(median_filter(trimmed, p.median_size), raw))
+    clean = stage("dn", reset_minimum(filtered, trimmed))
     shifted = scratch.write(estimate_shifts(clean, p.register_rounds, p.template_history, p.stop_distance))
-    stored = store.put_many(["reg/images", "reg/shifts"], [align(shifted), shifted.select("t", "dy", "dx")])
+    stored = store.put_many(["reg/images", "reg/shifts"], [as_type_of(align(shifted), raw), shifted.select("t", "dy", "dx")])
     images = stored["reg/images"]
     stats = scratch.write(projections(images))
     for name in ("hmean", "max", "mean", "std"):
         store.put(f"proj/{name}", stats.select("y", "x", F.col(name).alias("value")))
-    sub = store.put("sub", background_subtract(images, stats))
-    normed = store.put("norm", normalize_min(sub))
-    shuffled = store.put("dict_init_data", shuffle_frames(normed, p.seed))
-    first = store.put("dict_init_dict", initial_atoms(normed, p.n_atoms, p.seed))
+    sub = stage("sub", background_subtract(images, stats))
+    normed = stage("norm", normalize_min(sub))
+    shuffled = stage("dict_init_data", shuffle_frames(normed, p.seed))
+    first = stage("dict_init_dict", initial_atoms(normed, p.n_atoms, p.seed))
     learned = fit(shuffled, alpha=p.alpha, rounds=p.fit_rounds, chunks=p.fit_chunks, init=first)
-    atoms = store.put("dict", atoms_frame(spark, learned))
+    atoms = stage("dict", atoms_frame(spark, learned))
     store.put("code", sparse_encode(normed, atoms, k=p.code_atoms))
     _, found = extract_rois(atoms, scratch, p.extract)
     merged = scratch.write(merge_rois(scratch.write(found), scratch, p.merge))
