@@ -112,6 +112,37 @@ def map_blocks(
     return cut_blocks(frames, block, halo).groupBy("tb", "yb", "xb").applyInArrow(run, PIECES)
 
 
+#: Bytes of one block with its halo, as doubles.
+BLOCK_BYTES = 64 << 20
+
+
+def fitting_block(shape: Triple, halo: Triple, block_t: int = 64) -> Triple:
+    """Whole frames if a block of them stays within ``BLOCK_BYTES``, else square tiles that do.
+
+    Blocks are at least twice as long and as wide as their halo, or the copies would outweigh them.
+    """
+    ht, hy, hx = halo
+    bt = max(block_t if ht else 1, 2 * ht)
+    pixels = BLOCK_BYTES // (8 * (bt + 2 * ht))
+    if shape[1] * shape[2] <= pixels:
+        return bt, max(shape[1], 1), max(shape[2], 1)
+    side = int(pixels**0.5)
+    return bt, max(side - 2 * hy, 2 * hy, 16), max(side - 2 * hx, 2 * hx, 16)
+
+
+def map_to_frames(
+    frames: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: BlockSize | None = None, halo: BlockSize = (0, 0, 0)
+) -> DataFrame:
+    """``map_blocks`` back in frame form; blocks of whole frames need no second shuffle."""
+    shape = stack_shape(frames)
+    halo = tuple(halo(shape)) if callable(halo) else tuple(halo)
+    block = fitting_block(shape, halo) if block is None else tuple(block(shape)) if callable(block) else tuple(block)
+    pieces = map_blocks(frames, fn, block, halo)
+    if block[1] >= shape[1] and block[2] >= shape[2]:
+        return pieces.select("t", "h", "w", "px")
+    return pieces_to_frames(pieces)
+
+
 def blockwise(block: BlockSize, halo: BlockSize = (0, 0, 0)):
     """Turn a block function into a stack operator with the given block and halo."""
     def wrap(fn: Callable[[np.ndarray], np.ndarray]) -> Callable[[DataFrame], DataFrame]:

@@ -1,9 +1,8 @@
 """Dictionary learning and sparse coding as rounds of one pass over the frames.
 
-The learned state is ``K`` atoms of one frame each and their statistics; it is the only thing
-the driver holds, and its size is checked. Each task codes its own frames against the
-broadcast atoms and adds them into partial statistics, so a round shuffles statistics only.
-Frames too large for that are learned tile by tile with ``fit_blocks``.
+The learned state is ``K`` atoms of one frame each and their statistics. Each task codes its own frames
+against the broadcast atoms and adds them into partial statistics, so a round shuffles statistics only.
+Atoms that do not fit one tile are learned and used tile by tile (``tiled``), with the same results.
 """
 
 from __future__ import annotations
@@ -18,12 +17,11 @@ from pyspark.sql import functions as F
 
 from stackweave.functions.coding import improve_atoms, lasso_codes, omp_codes
 from stackweave.model import batch_stacks, explode_frames, frame_batch, frame_total
+from stackweave.operators import tiled
 from stackweave.operators.blocks import PIECES, block_array, cut_blocks, pieces_to_frames
 from stackweave.operators.sampling import sample_frames
 from stackweave.operators.sums import PARTS, pieces, sum_pieces
-
-# Values of one dictionary that may travel through the driver: 256 MB of doubles.
-MAX_DICTIONARY = 32_000_000
+from stackweave.session import Scratch
 
 
 @dataclass
@@ -43,10 +41,8 @@ class Learned:
 
 
 def collect_atoms(atoms: DataFrame, key: str = "atom") -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
-    """Atom numbers, the matrix ``(K, F)`` and the frame shape, after a check of the size."""
-    size = atoms.agg(F.sum(F.size("px").cast("long")).alias("n"), F.max("h").alias("h"), F.max("w").alias("w")).first()
-    if (size["n"] or 0) > MAX_DICTIONARY:
-        raise ValueError(f"a dictionary of {size['n']} values is too large to broadcast; use fit_blocks on tiles")
+    """Atom numbers, the matrix ``(K, F)`` and the frame shape; larger dictionaries go tile by tile (``one_tile``)."""
+    size = atoms.agg(F.max("h").alias("h"), F.max("w").alias("w")).first()
     table = atoms.select(F.col(key).cast("long").alias("k"), "px").orderBy("k").toArrow()
     if len(table) == 0:
         return np.zeros(0, dtype=int), np.zeros((0, 0)), (0, 0)
@@ -54,6 +50,27 @@ def collect_atoms(atoms: DataFrame, key: str = "atom") -> tuple[np.ndarray, np.n
     return table.column("k").to_numpy(), flat.reshape(len(table), -1), (size["h"], size["w"])
 
 
+def one_tile(atoms: DataFrame) -> tuple[bool, list[int]]:
+    """Whether all atoms fit one tile, and so every task's memory, and the atoms' numbers in order."""
+    rows = atoms.select(F.col("atom").cast("long").alias("atom"), F.size("px").alias("n")).orderBy("atom").collect()
+    pixels = max((r["n"] for r in rows), default=0)
+    return pixels <= tiled.tile_pixels(len(rows)), [r["atom"] for r in rows]
+
+
+def fit_atoms(
+    frames: DataFrame, init: DataFrame, alpha: float = 1.0, rounds: int = 10, chunks: int = 1, report: list[float] | None = None,
+    scratch: Scratch | None = None,
+) -> DataFrame:
+    """Learn from the atoms ``init`` and return the new ones ``(atom, h, w, px)``, for frames of any size.
+
+    Atoms of one tile are learned by ``fit``. Larger ones are cut into tiles; every round then goes over all frames.
+    """
+    fits, _ = one_tile(init)
+    if fits:
+        return atoms_frame(frames.sparkSession, fit(frames, alpha=alpha, rounds=rounds, chunks=chunks, init=init, report=report))
+    return tiled.fit_tiles(frames, init, alpha, rounds, scratch or Scratch(frames.sparkSession, "tiles"), report=report)
+
+
 def initial_atoms(frames: DataFrame, n_atoms: int, seed: int = 0) -> DataFrame:
     """``n_atoms`` random frames as the first dictionary ``(atom, h, w, px)``."""
     return sample_frames(frames, n_atoms, seed).select(F.col("pos").cast("long").alias("atom"), "h", "w", "px")
@@ -169,6 +186,9 @@ def correlate(frames: DataFrame, atoms: DataFrame, key: str = "t", value: str =
 
     One matrix product per Arrow batch; with the atoms as frames it is the Gram matrix.
     """
+    fits, numbers = one_tile(atoms)
+    if not fits:
+        return tiled.products(frames, atoms, numbers, key, value)
     ids, matrix, _ = collect_atoms(atoms)
     sent = frames.sparkSession.sparkContext.broadcast((ids, matrix))
 
@@ -203,9 +223,14 @@ def sparse_encode(
     """
     if method not in ("omp", "lasso"):
         raise ValueError(f"unknown method {method!r}")
-    ids, matrix, _ = collect_atoms(atoms)
-    if len(ids) == 0:
+    fits, numbers = one_tile(atoms)
+    if not numbers:
         return frames.sparkSession.createDataFrame([], "atom long, t long, coef double")
+    if not fits:
+        pixels = atoms.agg(F.max(F.size("px"))).first()[0]
+        most = k if k is not None else min(max(pixels // 10, 1), len(numbers))
+        return tiled.encode(frames, atoms, numbers, method, most, alpha, max_iter, positive)
+    ids, matrix, _ = collect_atoms(atoms)
     limit = k if k is not None else min(max(matrix.shape[1] // 10, 1), len(ids))
     sent = frames.sparkSession.sparkContext.broadcast((ids, matrix))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stackweave.functions.halos import baseline_halo, wavelet_halo
 from stackweave.functions.kernels import gaussian_taps, rank_filter, spline_taps, weighted_shift_sum
 from stackweave.model import global_stat
-from stackweave.operators.blocks import map_blocks, pieces_to_frames
+from stackweave.operators.blocks import map_to_frames
 from stackweave.operators.elementwise import map_values
 from stackweave.operators.frames import map_frames
 from stackweave.session import Scratch
@@ -63,13 +63,12 @@ def wavelet_transform(
     """One detail level of the a-trous transform; one scale per axis (t, y, x), or one for all.
 
     Without a time scale each frame is on its own and nothing is shuffled; with one, haloed
-    blocks are mapped. ``block`` defaults to 64 whole frames.
+    blocks are mapped. ``block`` defaults to whole frames as far as they fit a task, then to tiles.
     """
     scales = (scale,) * 3 if isinstance(scale, int) else tuple(scale)
     if scales[0] == 0 and block is None:
         return map_frames(frames, lambda stack: detail(stack, scales, level))
-    size = block or (lambda shape: (64, *shape[1:]))
-    return pieces_to_frames(map_blocks(frames, lambda stack: detail(stack, scales, level), size, wavelet_halo(scales)))
+    return map_to_frames(frames, lambda stack: detail(stack, scales, level), block, wavelet_halo(scales))
 
 
 def wavelet_2d(frames: DataFrame, scale: int, level: int | None = None) -> DataFrame:
@@ -115,5 +114,4 @@ def extract_f0(
         return base if return_f0 else (stack - base) / base
 
     halo = baseline_halo(half_window, t_sigma, t_window, s_sigma, s_window, chained=True)
-    size = block or (lambda shape: (max(64, 2 * halo[0]), *shape[1:]))
-    return pieces_to_frames(map_blocks(lifted, run, size, halo))
+    return map_to_frames(lifted, run, block, halo)

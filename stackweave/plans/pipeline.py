@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stackweave.model import as_type_of, promote, to_pixels
-from stackweave.operators.dictionary import atoms_frame, fit, initial_atoms, sparse_encode
+from stackweave.operators.dictionary import fit_atoms, initial_atoms, sparse_encode
 from stackweave.operators.elementwise import trim_frames
 from stackweave.operators.filters import median_filter, reset_minimum
 from stackweave.operators.normalize import normalize_min
@@ -63,8 +63,7 @@ def run_pipeline(store: DatasetStore, frames: DataFrame, params: PipelineParams
     normed = stage("norm", normalize_min(sub))
     shuffled = stage("dict_init_data", shuffle_frames(normed, p.seed))
     first = stage("dict_init_dict", initial_atoms(normed, p.n_atoms, p.seed))
-    learned = fit(shuffled, alpha=p.alpha, rounds=p.fit_rounds, chunks=p.fit_chunks, init=first)
-    atoms = stage("dict", atoms_frame(spark, learned))
+    atoms = stage("dict", fit_atoms(shuffled, first, p.alpha, p.fit_rounds, p.fit_chunks, scratch=scratch))
     store.put("code", sparse_encode(normed, atoms, k=p.code_atoms))
     _, found = extract_rois(atoms, scratch, p.extract)
     merged = scratch.write(merge_rois(scratch.write(found), scratch, p.merge))

@@ -125,3 +125,42 @@ def test_stream_learns_once_per_batch(spark, frames_of, mixed, tmp_path):
     second, epoch = run()
     assert (second.rounds, epoch) == (4, 1)
     assert {n.split("/")[1] for n in store} == {"000000001"}
+
+
+def tiled_case(frames_of, rng):
+    stack = rng.normal(size=(70, 5, 6))
+    frames = frames_of(stack)
+    return frames, dictionary.initial_atoms(frames, 4, 1)
+
+
+def test_tiles_learn_the_same_dictionary(frames_of, rng, monkeypatch):
+    from stackweave.operators import tiled
+
+    frames, init = tiled_case(frames_of, rng)
+    whole, parts = [], []
+    want = array_of(dictionary.fit_atoms(frames, init, alpha=0.3, rounds=3, report=whole), "atom")
+    monkeypatch.setattr(tiled, "TILE_VALUES", 28)
+    got = array_of(dictionary.fit_atoms(frames, init, alpha=0.3, rounds=3, report=parts), "atom")
+    np.testing.assert_allclose(got, want, atol=1e-6)
+    np.testing.assert_allclose(parts, whole, rtol=1e-6)
+
+
+@pytest.mark.parametrize("method", ["omp", "lasso"])
+def test_tiles_code_the_same(frames_of, rng, monkeypatch, method):
+    from stackweave.operators import tiled
+
+    frames, init = tiled_case(frames_of, rng)
+
+    def run():
+        codes = dictionary.sparse_encode(frames, init, method, k=2, alpha=0.3).collect()
+        pairs = dictionary.correlate(frames, init).collect()
+        return [sorted((r[0], r[1], round(r[2], 6)) for r in rows) for rows in (codes, pairs, dictionary.gram(init).collect())]
+
+    want = run()
+    monkeypatch.setattr(tiled, "TILE_VALUES", 28)
+    assert run() == want
+
+
+def test_too_few_frames_for_the_atoms_of_a_block(frames_of, rng):
+    with pytest.raises(Exception, match="fewer atoms"):
+        dictionary.fit_blocks(frames_of(rng.normal(size=(4, 2, 2))), 6, (4, 2, 2)).collect()
