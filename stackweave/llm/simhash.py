@@ -239,7 +239,8 @@ def groups(docs: DataFrame, scratch: Scratch, words: int = 4, distance: int = 4)
     members = connected_groups(edges, scratch).withColumnRenamed("id", "fp").join(prints, "fp")
     lows = members.groupBy("grp").agg(F.min("low").alias("component_id"))
     components = members.join(lows, "grp").select("fp", "component_id")
-    named = prints.join(components, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
+    # Written, so that the join below stands alone and a fingerprint with very many copies can be split.
+    named = scratch.write(prints.join(components, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id")))
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
