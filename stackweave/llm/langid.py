@@ -147,12 +147,17 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """
     known = docs.where("lang is not null and text is not null and doc_id is not null").where(fold() != 2)
     each = W.partitionBy("lang").orderBy("_h", "_id")
-    names = sorted(r[0] for r in known.select("lang").distinct().collect())
+    # One row per language.
+    numbers = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    names = sorted(numbers)
     if not names:
         return None
     share = max(LEAST_EACH, sample // len(names))
-    ids = known.select(F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_h"), "lang")
-    chosen = ids.withColumn("_r", F.row_number().over(each)).where(F.col("_r") <= share).select("_id").distinct()
+    ids = known.select(F.col("doc_id").alias("_id"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("_h"), "lang")
+    # Only rows whose hash is low enough for about twice the share go on to be put in order.
+    enough = F.create_map(*[F.lit(x) for k in names for x in (k, int(min(1.0, (2 * share + 50) / numbers[k]) * (1 << 40)))])
+    low = ids.where(F.col("_h") < enough[F.col("lang")])
+    chosen = low.withColumn("_r", F.row_number().over(each)).where(F.col("_r") <= share).select("_id").distinct()
     rows = known.join(F.broadcast(chosen), known["doc_id"] == chosen["_id"], "left_semi")
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
