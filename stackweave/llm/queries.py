@@ -76,4 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix": op9_mix,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {"op3_exact_dedup": oracles.EXACT_DEDUP}
+ORACLES: dict[str, str] = {
+    "op3_exact_dedup": oracles.EXACT_DEDUP,
+    "op4_secrets": oracles.SECRETS,
+    "op9_mix": oracles.MIX,
+    "op10_warc": oracles.WARC,
+}
