@@ -32,30 +32,37 @@ def lasso_codes(gram: np.ndarray, cov: np.ndarray, alpha: float, n_iter: int = 2
 
 
 def omp_codes(gram: np.ndarray, cov: np.ndarray, k: int) -> np.ndarray:
-    """Orthogonal matching pursuit with at most ``k`` atoms per frame."""
-    n, atoms = cov.shape
+    """Orthogonal matching pursuit with at most ``k`` atoms per frame.
+
+    The inverse of the chosen atoms' Gram matrix grows by one row and column per step, so a step costs
+    the square of the number chosen. A frame stops when no atom pulls any more, or the strongest one is
+    a combination of those it has.
+    """
     codes = np.zeros_like(cov)
-    chosen = np.zeros((n, 0), dtype=int)
-    live = np.arange(n)
-    for _ in range(min(k, atoms)):
+    live = np.arange(len(cov))
+    chosen, inverse = np.zeros((len(cov), 0), dtype=int), np.zeros((len(cov), 0, 0))
+    for _ in range(min(k, cov.shape[1])):
         pull = np.abs(cov[live] - codes[live] @ gram)
-        np.put_along_axis(pull, chosen[live], -1.0, axis=1)
+        np.put_along_axis(pull, chosen, -1.0, axis=1)
         best = pull.argmax(axis=1)
-        strong = pull[np.arange(len(live)), best] > 1e-12
-        live, best = live[strong], best[strong]
+        beside = gram[chosen, best[:, None]]
+        along = np.einsum("mij,mj->mi", inverse, beside)
+        own = gram[best, best]
+        fresh = own - (beside * along).sum(axis=1)
+        more = (pull[np.arange(len(live)), best] > 1e-12) & (fresh > 1e-10 * own)
+        live, best, chosen, inverse, along, fresh = live[more], best[more], chosen[more], inverse[more], along[more], fresh[more]
         if not len(live):
             break
-        grown = np.zeros((n, chosen.shape[1] + 1), dtype=int)
-        grown[:, :-1] = chosen
-        grown[live, -1] = best
-        sub = gram[grown[live][:, :, None], grown[live][:, None, :]]
-        right = np.take_along_axis(cov[live], grown[live], axis=1)
-        # A repeated direction adds nothing: pinv keeps the least-squares solution there.
-        solved = (np.linalg.pinv(sub, hermitian=True) @ right[:, :, None])[:, :, 0]
-        codes[live] = 0.0
-        np.put_along_axis(block := codes[live], grown[live], solved, axis=1)
+        size = chosen.shape[1]
+        grown = np.empty((len(live), size + 1, size + 1))
+        grown[:, :size, :size] = inverse + along[:, :, None] * along[:, None, :] / fresh[:, None, None]
+        grown[:, :size, size] = grown[:, size, :size] = -along / fresh[:, None]
+        grown[:, size, size] = 1 / fresh
+        chosen, inverse = np.hstack([chosen, best[:, None]]), grown
+        solved = np.einsum("mij,mj->mi", inverse, np.take_along_axis(cov[live], chosen, axis=1))
+        block = np.zeros((len(live), cov.shape[1]))
+        np.put_along_axis(block, chosen, solved, axis=1)
         codes[live] = block
-        chosen = grown
     return codes
 
 

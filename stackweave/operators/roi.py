@@ -217,15 +217,17 @@ def _significant_rows(images: DataFrame, cells: Column) -> DataFrame:
     )
 
 
-def number_rois(props: DataFrame) -> DataFrame:
+def number_rois(props: DataFrame, bucket: int = 1000) -> DataFrame:
     """Number regions from 1 by atom, region and segment.
 
-    The window over counts has one row per atom, whose number the dictionary bounds.
+    Regions are counted per ``bucket`` atoms and ranked inside; the window over the counts is that much
+    shorter than the list of atoms, which may be as long as the stack.
     """
-    before = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    starts = props.groupBy("t").agg(F.count("*").alias("n")).select("t", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    rank = F.row_number().over(Window.partitionBy("t").orderBy("region", "seg"))
-    return props.join(starts, "t").withColumn("roi_id", (F.col("start") + rank).cast("int")).drop("start")
+    dealt = props.withColumn("_b", F.expr(f"t div {bucket}"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_b").agg(F.count("*").alias("n")).select("_b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("t", "region", "seg"))
+    return dealt.join(starts, "_b").withColumn("roi_id", (F.col("start") + rank).cast("int")).drop("start", "_b")
 
 
 def renumber(roi_pixels: DataFrame, bucket: int = 1000) -> DataFrame:
