@@ -96,3 +96,31 @@ def test_labels_and_flood(rng):
     row = np.ones((1, 7), dtype=int)
     seeds = np.array([[1, 0, 0, 0, 0, 0, 2]])
     np.testing.assert_array_equal(flood(row, seeds), [[1, 1, 1, 1, 2, 2, 2]])
+
+
+@pytest.mark.parametrize("tile", [1, 7, 4096])
+def test_traces_do_not_depend_on_the_tile(spark, frames_of, rng, monkeypatch, tile):
+    """Masks that leave the frame count with their whole weight but meet only what is there."""
+    from stackweave.operators import traces
+
+    monkeypatch.setattr(traces, "TILE", tile)
+    stack = rng.normal(size=(6, 4, 5))
+    masks = [(1, 0, 0, 1.0), (1, 3, 4, 2.0), (2, 1, 2, 0.5), (2, 9, 9, 1.5), (2, 1, 7, 1.0), (3, 8, 8, 1.0)]
+    found = traces.roi_traces(frames_of(stack), spark.createDataFrame(masks, "roi_id int, y int, x int, w double"))
+    got = {(r["roi_id"], r["t"]): r["value"] for r in found.collect()}
+    want = {(1, t): (f[0, 0] + 2 * f[3, 4]) / 3 for t, f in enumerate(stack)} | {(2, t): 0.5 * f[1, 2] / 3 for t, f in enumerate(stack)}
+    assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("shape,halo", [((10**6, 64, 64), (62, 0, 0)), ((10**6, 4096, 4096), (62, 3, 3)), ((10, 9000, 9000), (0, 62, 62)), ((0, 0, 0), (1, 1, 1))])
+def test_blocks_fit_their_bytes(shape, halo):
+    bt, by, bx = blocks.fitting_block(shape, halo)
+    held = 8 * (bt + 2 * halo[0]) * (min(by + 2 * halo[1], shape[1])) * (min(bx + 2 * halo[2], shape[2]))
+    assert held <= 2 * blocks.BLOCK_BYTES and bt >= 2 * halo[0] and min(by, bx) >= 1
+
+
+def test_whole_frame_blocks_shuffle_once(frames_of, rng):
+    frames = frames_of(rng.normal(size=(9, 4, 5)))
+    made = filters.wavelet_transform(frames, (1, 1, 1))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
