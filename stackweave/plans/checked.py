@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stackweave.functions.kernels import spline_taps
 from stackweave.model import explode_frames, promote, to_pixels
 from stackweave.operators import dictionary, registration, roi
 from stackweave.plans import fixtures as fx
 from stackweave.plans.pipeline import PipelineParams, run_pipeline
-from stackweave.plans.queries import EMB, HMEAN, LABELS, MEDIAN, PEAKS, SEED, SMALL, peak_rows, pixels, query, region_pixels, rounded, store_at
+from stackweave.plans.queries import (
+    EMB, HMEAN, LABELS, MEDIAN, NOISE, ORACLES, PEAKS, PROPS, SEED, SIGNIFICANT, SMALL, peak_rows, pixels, query, region_pixels, rounded, smooth_sql,
+    store_at, taps_sql,
+)
 from stackweave.session import Scratch
 from stackweave.sources.store import DatasetStore
 from stackweave.streaming import jobs
@@ -126,6 +132,39 @@ def split_regions(spark: SparkSession, sf: str) -> DataFrame:
     return roi.split_regions(rows, peaks).select("t", "region", "y", "x", "seg")
 
 
+# -- extraction as a whole ------------------------------------------------------------------
+
+
+def on(sql: str, **names: str) -> str:
+    """A view's SQL with other names for some of its tables and columns."""
+    return re.sub(r"\b(" + "|".join(names) + r")\b", lambda m: names[m.group()], sql)
+
+
+FINER = {n: f"{n}_f" for n in ("stat", "noise", "sig", "cells", "links", "reach", "lab")}
+LAST = {n: f"{n}_l" for n in ("sums", "cov2", "eig", "props")}
+SPLINE = [taps_sql("s1", spline_taps(1)), taps_sql("s2", spline_taps(2)), smooth_sql("c1y", "emb", "y", "s1"), smooth_sql("c1", "c1y", "x", "s1"),
+          smooth_sql("c2y", "c1", "y", "s2"), smooth_sql("c2", "c2y", "x", "s2")]
+EXTRACT = [
+    EMB, *SPLINE, "wav AS (SELECT a.t, a.y, a.x, a.v - b.v AS v FROM c1 a JOIN c2 b USING (t, y, x))", "fine AS (SELECT a.t, a.y, a.x, a.v - b.v AS v FROM emb a JOIN c1 b USING (t, y, x))",
+    on(LABELS, emb="wav"), PROPS, on(NOISE, emb="fine", **FINER),
+    "sig_f AS (SELECT f.t, f.y, f.x, f.v FROM fine f JOIN noise_f n USING (t) JOIN sig s ON s.t = f.t AND s.y = f.y AND s.x = f.x WHERE f.v > n.noise_f)",
+    on(LABELS[len(SIGNIFICANT) + 2:], **FINER), on(PEAKS, emb="wav"),
+    """pix AS (SELECT * FROM (SELECT l.t, l.y, l.x, l.v AS wav, e.v, CASE WHEN p.major BETWEEN 0 AND 10 THEN l.region ELSE -f.region END AS region
+      FROM lab l JOIN emb e USING (t, y, x) JOIN props p ON p.t = l.t AND p.region = l.region LEFT JOIN lab_f f ON f.t = l.t AND f.y = l.y AND f.x = l.x) WHERE region IS NOT NULL)""",
+    "ranked AS (SELECT *, (rank() OVER (PARTITION BY t, region ORDER BY wav) - 1) / CAST(count(*) OVER (PARTITION BY t, region) AS DOUBLE) AS under FROM pix)",
+    "high AS (SELECT r.* FROM ranked r JOIN peaks p ON p.t = r.t AND p.y = r.y AND p.x = r.x WHERE r.under >= 0.5)",
+    """seeds AS (SELECT t, region, y, x, row_number() OVER (PARTITION BY t ORDER BY y, x) AS seg FROM high p WHERE NOT EXISTS (SELECT 1 FROM high q WHERE q.t = p.t
+      AND (q.wav > p.wav OR (q.wav = p.wav AND (q.y < p.y OR (q.y = p.y AND q.x < p.x)))) AND (q.y-p.y)*(q.y-p.y) + (q.x-p.x)*(q.x-p.x) < 9))""",
+    """grow(t, region, seg, y, x, d) AS (SELECT t, region, seg, y, x, 0 FROM seeds UNION SELECT g.t, g.region, g.seg, l.y, l.x, g.d + 1 FROM grow g
+      JOIN pix l ON l.t = g.t AND l.region = g.region AND abs(l.y - g.y) <= 1 AND abs(l.x - g.x) <= 1 WHERE g.d < 40)""",
+    """cut AS (SELECT o.t, o.y, o.x, o.region, o.seg, e.v FROM (SELECT * FROM grow QUALIFY row_number() OVER (PARTITION BY t, y, x ORDER BY d, seg) = 1) o JOIN emb e USING (t, y, x))""",
+    on(PROPS, lab="cut", region="seg", **LAST), "named AS (SELECT DISTINCT t, seg, region FROM cut)",
+]
+ORACLES["roi_extract"] = f"WITH RECURSIVE {', '.join(EXTRACT)} " + " ".join("""SELECT CAST(row_number() OVER (ORDER BY p.t, n.region, p.seg) AS INTEGER) AS roi_id, p.t AS atom, p.area,
+  round(cy, 6) + 0.0 AS cy, round(cx, 6) + 0.0 AS cx, round(major, 6) + 0.0 AS major, round(minor, 6) + 0.0 AS minor, round(eccentricity, 6) + 0.0 AS eccentricity,
+  round(max_v, 6) + 0.0 AS max_v FROM props_l p JOIN named n ON n.t = p.t AND n.seg = p.seg WHERE area BETWEEN 2 AND 40 AND eccentricity BETWEEN 0 AND 0.99""".split())
+
+
 # -- registration in two rounds ------------------------------------------------------------
 
 DRIFTING = """src AS (SELECT e.t, e.y, e.x, e.v + CAST(3 AS DOUBLE) / (1 + pow((e.y - (e.t % 3 - 1) + 8) % 8 - 3, 2) + pow((e.x - e.t % 2 + 8) % 8 - 4, 2)) AS v FROM emb e)"""
