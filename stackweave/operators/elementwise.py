@@ -12,11 +12,28 @@ from stackweave.model import frame_total, global_stat, is_frames
 INTEGER_BOUNDS = {
     "int8": (-128, 127), "int16": (-32768, 32767), "int32": (-2147483648, 2147483647),
     "int64": (-9223372036854775808, 9223372036854775807),
-    "uint8": (0, 255), "uint16": (0, 65535), "uint32": (0, 4294967295),
+    "uint8": (0, 255), "uint16": (0, 65535), "uint32": (0, 4294967295), "uint64": (0, 18446744073709551615),
 }
 
 
 TOP_LONG = 9.223372036854775807e18
+TOP_UNSIGNED = 1.8446744073709551615e19
+
+
+def _unsigned(v: Column) -> Column:
+    """A whole double from 0 to 2**64 as decimal(20,0), digit by digit the same number; the top becomes 2**64 - 1."""
+    upper = F.floor(v / F.lit(4294967296.0)).cast("long")
+    lower = (v - upper.cast("double") * F.lit(4294967296.0)).cast("long")
+    exact = (upper.cast("decimal(20,0)") * F.lit(4294967296).cast("decimal(10,0)") + lower.cast("decimal(20,0)")).cast("decimal(20,0)")
+    top = F.lit(str(INTEGER_BOUNDS["uint64"][1])).cast("decimal(20,0)")
+    return F.when(v >= F.lit(TOP_UNSIGNED), top).otherwise(exact)
+
+
+def _half(v: Column) -> Column:
+    """The nearest 16-bit float of a value from 0 to 1, as a double; halves go to the even neighbour."""
+    exponent = F.greatest(F.floor(F.log2(F.nullif(v, F.lit(0.0)))), F.lit(-14)) - 10
+    step = F.pow(F.lit(2.0), exponent)
+    return F.when(F.isnan(v) | (v == 0), v).otherwise(F.rint(v / step) * step)
 
 
 def map_values(stack: DataFrame, fn) -> DataFrame:
@@ -67,10 +84,11 @@ def norm_layer(stack: DataFrame, dtype: str = "uint8") -> DataFrame:
     """Rescale to the bounds of an output type, ints truncated.
 
     Infinite results become the bounds. NaN becomes 0 for integers and stays NaN for floats;
-    a constant stack has no scale and counts as NaN everywhere.
+    a constant stack has no scale and counts as NaN everywhere. ``uint64`` is given as decimal(20,0),
+    ``float16`` as doubles that a 16-bit float can hold.
     """
     whole = dtype in INTEGER_BOUNDS
-    if not whole and dtype not in ("float32", "float64"):
+    if not whole and dtype not in ("float16", "float32", "float64"):
         raise ValueError(f"unknown output type {dtype!r}")
     low_out, high_out = map(float, INTEGER_BOUNDS.get(dtype, (0, 1)))
     low, high = global_stat(stack, "min"), global_stat(stack, "max")
@@ -82,8 +100,11 @@ def norm_layer(stack: DataFrame, dtype: str = "uint8") -> DataFrame:
     def rescale(v: Column, lowest: Column, factor: Column) -> Column:
         scaled = (v - lowest) * factor + F.lit(low_out)
         if not whole:
-            return F.when(F.isnan(scaled), scaled).otherwise(F.least(F.greatest(scaled, F.lit(low_out)), F.lit(high_out)))
+            kept = F.when(F.isnan(scaled), scaled).otherwise(F.least(F.greatest(scaled, F.lit(low_out)), F.lit(high_out)))
+            return _half(kept) if dtype == "float16" else kept
         clipped = F.least(F.greatest(F.nanvl(scaled, F.lit(0.0)), F.lit(low_out)), F.lit(high_out))
+        if dtype == "uint64":
+            return _unsigned(clipped - F.pmod(clipped, F.lit(1.0)))
         # The top of a 64-bit range is no double, so it is set and not cast.
         return F.when(clipped >= F.lit(TOP_LONG), F.lit(INTEGER_BOUNDS["int64"][1])).otherwise(clipped.cast("long")) if dtype == "int64" else clipped.cast("long")
 

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from stackweave.functions.kernels import spline_taps
 from stackweave.model import explode_frames, promote, to_pixels
-from stackweave.operators import dictionary, registration, roi
+from stackweave.operators import dictionary, elementwise, registration, roi
 from stackweave.plans import fixtures as fx
 from stackweave.plans.pipeline import PipelineParams, run_pipeline
 from stackweave.plans.queries import (
-    EMB, HMEAN, LABELS, MEDIAN, NOISE, ORACLES, PEAKS, PROPS, SEED, SIGNIFICANT, SMALL, peak_rows, pixels, query, region_pixels, rounded, smooth_sql,
+    BOUNDS, EMB, HMEAN, LABELS, MEDIAN, NOISE, ORACLES, PEAKS, PROPS, SEED, SIGNIFICANT, SMALL, peak_rows, pixels, query, region_pixels, rounded, smooth_sql,
     store_at, taps_sql,
 )
 from stackweave.session import Scratch
@@ -112,6 +112,18 @@ def promote_float32(spark: SparkSession, sf: str) -> DataFrame:
     return to_pixels(store_at(spark, "promote").put("raw", promote(frames)))
 
 
+@query("""SELECT t, y, x, CASE WHEN v >= 18446744073709551615 THEN CAST(18446744073709551615 AS DECIMAL(20, 0)) ELSE CAST(CAST(trunc(v) AS HUGEINT) AS DECIMAL(20, 0)) END AS v
+  FROM (SELECT t, y, x, (v - lo) * (CAST('18446744073709551615' AS DOUBLE) / (hi - lo)) AS v FROM emb, b)""", EMB, BOUNDS)
+def norm_layer_u64(spark: SparkSession, sf: str) -> DataFrame:
+    return to_pixels(elementwise.norm_layer(fx.emb(spark, sf), "uint64"))
+
+
+@query("""SELECT t, y, x, CASE WHEN v = 0 THEN v ELSE round_even(v / s, 0) * s END AS v FROM (SELECT *, pow(2, greatest(floor(log2(nullif(v, 0))), -14) - 10) AS s
+  FROM (SELECT t, y, x, (v - lo) * (CAST(1 AS DOUBLE) / (hi - lo)) AS v FROM emb, b))""", EMB, BOUNDS)
+def norm_layer_f16(spark: SparkSession, sf: str) -> DataFrame:
+    return to_pixels(elementwise.norm_layer(fx.emb(spark, sf), "float16"))
+
+
 @query("SELECT t, y, x, round(v, 6) + 0.0 AS v FROM emb", EMB)
 def store_export(spark: SparkSession, sf: str) -> DataFrame:
     store = store_at(spark, "export")
