@@ -8,6 +8,7 @@ Atoms that do not fit one tile are learned and used tile by tile (``tiled``), wi
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -144,14 +145,15 @@ def code_statistics(frames: DataFrame, learned: Learned, alpha: float, positive:
 def fit(
     frames: DataFrame, n_atoms: int | None = None, alpha: float = 1.0, rounds: int = 10, chunks: int = 1, seed: int = 0,
     init: DataFrame | None = None, state: Learned | None = None, positive_code: bool = False, positive_dict: bool = False,
-    report: list[float] | None = None,
+    report: list[float] | None = None, revive: bool = False,
 ) -> Learned:
     """Learn a dictionary in ``rounds`` passes, round r over chunk ``r % chunks`` of the time axis.
 
     Frames should be shuffled and stored first when ``chunks > 1``: a chunk is a range of
     ``t``, which the scan prunes. Old statistics fade with the number of rounds, so the atoms
     follow the better codes. ``state`` continues an earlier fit. ``report`` collects the mean
-    objective of each round, measured before its update.
+    objective of each round, measured before its update. ``revive`` replaces atoms that no frame uses by
+    random frames of the round's chunk, at most ``K`` of them.
     """
     if state is None:
         if init is None:
@@ -176,6 +178,11 @@ def fit(
         keep = 1.0 - 1.0 / learned.rounds
         learned.a, learned.b = keep * learned.a + a, keep * learned.b + b
         learned.atoms = improve_atoms(learned.atoms, learned.a, learned.b, positive_dict)
+        dead = np.nonzero(np.diag(learned.a) <= 1e-12)[0] if revive else []
+        if len(dead):
+            fresh = collect_atoms(initial_atoms(part, len(dead), seed + learned.rounds))[1]
+            for j, frame in zip(dead, fresh):
+                learned.atoms[j] = frame / max(1.0, float(np.linalg.norm(frame)))
         if report is not None:
             report.append(loss / seen)
     return learned
@@ -290,24 +297,28 @@ def allocate_atoms(stack: DataFrame, block_t: int, n_atoms: int) -> DataFrame:
     )
 
 
-def learn_block(x: np.ndarray, atoms: np.ndarray, alpha: float, rounds: int) -> np.ndarray:
+def learn_block(
+    x: np.ndarray, atoms: np.ndarray, alpha: float, rounds: int, positive_code: bool = False, positive_dict: bool = False
+) -> np.ndarray:
     """Dictionary of one block that is already in memory."""
     a, b = np.zeros((len(atoms),) * 2), np.zeros_like(atoms)
     for r in range(1, rounds + 1):
-        codes = lasso_codes(atoms @ atoms.T, x @ atoms.T, alpha)
+        codes = lasso_codes(atoms @ atoms.T, x @ atoms.T, alpha, positive=positive_code)
         keep = 1.0 - 1.0 / r
         a, b = keep * a + codes.T @ codes, keep * b + codes.T @ x
-        atoms = improve_atoms(atoms, a, b)
+        atoms = improve_atoms(atoms, a, b, positive_dict)
     return atoms
 
 
 def fit_blocks(
-    frames: DataFrame, n_atoms: int, block: tuple[int, int, int], alpha: float = 1.0, rounds: int = 10, seed: int = 0
+    frames: DataFrame, n_atoms: int, block: tuple[int, int, int], alpha: float = 1.0, rounds: int = 10, seed: int = 0,
+    positive_code: bool = False, positive_dict: bool = False, learner: Callable[..., np.ndarray] = learn_block,
 ) -> DataFrame:
     """Learn a dictionary per block: ``(atom, h, w, px)``.
 
     The atoms are shared out over the time blocks; every tile of a time block starts from the
-    same frames and learns its own part of the block's atoms. A group is one block.
+    same frames and learns its own part of the block's atoms. A group is one block. ``learner`` takes the
+    block's frames ``(n, pixels)``, its first atoms ``(k, pixels)`` and the four settings, and returns the atoms.
     """
     total = frames.agg(F.max("t") + 1).first()[0]
     bt = block[0]
@@ -326,7 +337,7 @@ def fit_blocks(
         if k > len(t):
             raise ValueError(f"{k} atoms are asked for from a block of {len(t)} frames; ask for fewer atoms or longer blocks")
         atoms = first[order[:k]].copy()
-        atoms = learn_block(first, atoms, alpha, rounds)
+        atoms = learner(first, atoms, alpha, rounds, positive_code, positive_dict)
         keys = {"t": pa.array(np.arange(start, start + k), pa.int64()),
                 "y0": pa.array(np.full(k, at["y0"], np.int32)), "x0": pa.array(np.full(k, at["x0"], np.int32))}
         return pa.Table.from_batches([frame_batch(keys, atoms.reshape(k, at["h"], at["w"]))])

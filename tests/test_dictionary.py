@@ -164,3 +164,20 @@ def test_tiles_code_the_same(frames_of, rng, monkeypatch, method):
 def test_too_few_frames_for_the_atoms_of_a_block(frames_of, rng):
     with pytest.raises(Exception, match="fewer atoms"):
         dictionary.fit_blocks(frames_of(rng.normal(size=(4, 2, 2))), 6, (4, 2, 2)).collect()
+
+
+def test_unused_atoms_come_back_as_frames(frames_of, rng):
+    stack = rng.normal(size=(30, 2, 3))
+    frames = frames_of(stack)
+    init = frames_of(np.concatenate([stack[:1], np.zeros((1, 2, 3))]), key="atom")
+    still = dictionary.fit(frames, alpha=0.1, rounds=2, init=init)
+    alive = dictionary.fit(frames, alpha=0.1, rounds=2, init=init, revive=True)
+    assert not still.atoms[1].any() and alive.atoms[1].any()
+
+
+def test_blocks_take_positive_atoms_and_own_learners(frames_of, rng):
+    frames = frames_of(np.abs(rng.normal(size=(12, 4, 4))))
+    made = array_of(dictionary.fit_blocks(frames, 4, (6, 2, 2), 0.1, 2, positive_dict=True), "atom")
+    assert made.shape == (4, 4, 4) and (made >= 0).all()
+    means = array_of(dictionary.fit_blocks(frames, 2, (6, 4, 4), learner=lambda x, atoms, *_: np.tile(x.mean(axis=0), (len(atoms), 1))), "atom")
+    np.testing.assert_allclose(means[0], array_of(frames)[:6].mean(axis=0))
