@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from stackweave.functions.kernels import spline_taps
 from stackweave.model import explode_frames, promote, to_pixels
-from stackweave.operators import dictionary, elementwise, registration, roi
+from stackweave.operators import dictionary, elementwise, normalize, registration, roi
 from stackweave.plans import fixtures as fx
 from stackweave.plans.pipeline import PipelineParams, run_pipeline
 from stackweave.plans.queries import (
     BOUNDS, EMB, HMEAN, LABELS, MEDIAN, NOISE, ORACLES, PEAKS, PROPS, SEED, SIGNIFICANT, SMALL, peak_rows, pixels, query, region_pixels, rounded, smooth_sql,
-    store_at, taps_sql,
+    VOL, store_at, taps_sql, volumes,
 )
 from stackweave.session import Scratch
 from stackweave.sources.store import DatasetStore
@@ -144,6 +144,41 @@ def split_regions(spark: SparkSession, sf: str) -> DataFrame:
     return roi.split_regions(rows, peaks).select("t", "region", "y", "x", "seg")
 
 
+# -- volumes -------------------------------------------------------------------------------
+
+ZEROED = "z0 AS (SELECT t, z, y, x, v - avg(v) OVER (PARTITION BY t) AS v FROM vol)"
+
+
+def volume_rows(made: DataFrame) -> DataFrame:
+    return rounded(made, "v").select("t", "z", "y", "x", "v")
+
+
+@query("SELECT t, z, y, x, round(v, 6) + 0.0 AS v FROM z0", EMB, VOL, ZEROED)
+def zeroed_mean_volume(spark: SparkSession, sf: str) -> DataFrame:
+    return volume_rows(normalize.zeroed_mean(volumes(spark, sf)))
+
+
+@query("SELECT t, z, y, x, round(v / sum(abs(v)) OVER (PARTITION BY t), 6) + 0.0 AS v FROM vol", EMB, VOL)
+def renorm_l1_volume(spark: SparkSession, sf: str) -> DataFrame:
+    return volume_rows(normalize.renormalize(volumes(spark, sf), 1))
+
+
+@query("SELECT t, z, y, x, round(v / max(abs(v)) OVER (PARTITION BY t), 6) + 0.0 AS v FROM vol", EMB, VOL)
+def renorm_linf_volume(spark: SparkSession, sf: str) -> DataFrame:
+    return volume_rows(normalize.renormalize(volumes(spark, sf), "inf"))
+
+
+@query("SELECT t, z, y, x, round(v / sqrt(sum(v * v) OVER (PARTITION BY t)), 6) + 0.0 AS v FROM z0", EMB, VOL, ZEROED)
+def normalize_data_volume(spark: SparkSession, sf: str) -> DataFrame:
+    return volume_rows(normalize.normalize_data(volumes(spark, sf)))
+
+
+@query("""SELECT t, z, y, x, round(v / sqrt(sum(v * v) OVER (PARTITION BY t)), 6) + 0.0 AS v
+  FROM (SELECT t, z, y, x, v - min(v) OVER (PARTITION BY t) AS v FROM vol)""", EMB, VOL)
+def normalize_min_volume(spark: SparkSession, sf: str) -> DataFrame:
+    return volume_rows(normalize.normalize_min(volumes(spark, sf)))
+
+
 # -- extraction as a whole ------------------------------------------------------------------
 
 
