@@ -144,6 +144,7 @@ class Page(HTMLParser):
         self.lists: list[list] = []
         self.kept = 0
         self.spans: list[tuple[int, int]] = []
+        self.folded = False  # whether the innermost visible details element is closed
 
     # The tree
 
@@ -187,8 +188,6 @@ class Page(HTMLParser):
             return True
         return bool(UNSEEN_STYLE.search(attrs.get("style") or ""))
 
-    folded = False
-
     def handle_starttag(self, tag: str, pairs: list) -> None:
         attrs = dict(reversed(pairs))
         if tag in ("html", "body"):
