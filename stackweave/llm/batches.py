@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Text bytes that a task works on at once; one longer text is worked on alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

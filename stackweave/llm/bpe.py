@@ -19,7 +19,7 @@ from stackweave.llm.batches import add_columns, texts_of
 #: Above so many bytes a word's merges are found with a heap instead of repeated scans.
 SHORT_WORD = 96
 #: Runs whose ids one Python worker remembers before it starts anew, and the longest one remembered.
-CACHED_RUNS, CACHED_CHARS = 500_000, 40
+CACHED_RUNS, CACHED_CHARS = 250_000, 40
 NO_RANK = (1 << 31) - 1
 
 # Fixed value: the word pattern of this family of tokenizers, with white space as Unicode defines it.
