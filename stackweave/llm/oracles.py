@@ -81,3 +81,58 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        coalesce(e.line, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM d LEFT JOIN base b USING (n) LEFT JOIN everything e USING (n)
 """
+
+DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT n, lang, source, unnest(list_transform(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+        lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT t.n) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS terms, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS in_lang, v.terms, v.total AS lang_total,
+        1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2)) // (coalesce(s.total, 0) + 2 * v.terms) AS p
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN s USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT *, 1 + (CAST(1000000000 AS HUGEINT) * (in_lang + 2)) // (lang_total + 2 * terms) AS q FROM p WHERE n > 0),
+own AS (SELECT lang, source, 'term' AS part, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value FROM q WHERE p > q),
+joint AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN joint x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM (SELECT * FROM own UNION ALL SELECT * FROM pairs) QUALIFY part = 'pair' OR rank <= 10
+"""
+
+FILTER_AUDIT = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CAST(len(words) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+        + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS INT)
+        + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+        + 16 * CAST(coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false) AS INT) AS fails
+      FROM d LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+e AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e5.f AS filter_order FROM e a JOIN e b ON b.f <> a.f JOIN e c ON c.f NOT IN (a.f, b.f)
+      JOIN e d ON d.f NOT IN (a.f, b.f, c.f) JOIN e e5 ON e5.f NOT IN (a.f, b.f, c.f, d.f)),
+s AS (SELECT filter_order, CAST(step AS INT) AS step, substr(filter_order, step, 1) AS f,
+        CAST(1 << (ascii(substr(filter_order, step, 1)) - 65) AS INT) AS bit,
+        CAST(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(filter_order, i, 1)) - 65))) AS INT) AS before
+      FROM o CROSS JOIN (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS BIGINT) AS step)),
+r AS (SELECT part, filter_order, step, f,
+        sum(n) FILTER (fails & (coalesce(before, 0) | bit) = 0) AS kept,
+        sum(n) FILTER (fails & bit > 0 AND fails & coalesce(before, 0) = 0) AS removed,
+        sum(n) FILTER (fails & bit > 0 AND fails & coalesce(before, 0) > 0) AS redundant,
+        sum(n) FILTER (fails = bit) AS unique_fails,
+        sum(good) FILTER (fails & bit > 0 AND fails & coalesce(before, 0) = 0) AS good_lost,
+        sum(toxic) FILTER (fails & bit > 0 AND fails & coalesce(before, 0) = 0) AS toxic_lost
+      FROM m CROSS JOIN s GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""

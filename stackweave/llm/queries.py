@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import bpe, exact_dedup, html, langid, mixing, neighbours, oracles, quality, secrets, simhash, warc
+from stackweave.llm import bpe, divergence, exact_dedup, filter_audit, html, langid, mixing, neighbours, oracles, quality, secrets, simhash, warc
 from stackweave.session import Scratch
 
 #: Folder of the public vocabulary files on every node.
@@ -64,6 +64,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), Scratch(spark, "op10"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), Scratch(spark, "op12"))
+
+
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op13"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_quality": op2_quality,
@@ -75,10 +83,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_mix": op9_mix,
     "op10_warc": op10_warc,
+    "op12_divergence": op12_divergence,
+    "op13_filters": op13_filters,
 }
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": oracles.EXACT_DEDUP,
     "op4_secrets": oracles.SECRETS,
     "op9_mix": oracles.MIX,
     "op10_warc": oracles.WARC,
+    "op12_divergence": oracles.DIVERGENCE,
+    "op13_filters": oracles.FILTER_AUDIT,
 }
