@@ -86,10 +86,10 @@ class Scratch:
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self.step = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, **options: str) -> DataFrame:
         self.step += 1
         path = f"{self.root}/{self.step:04d}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop_before(self, step: int) -> None:
