@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import bpe, divergence, exact_dedup, filter_audit, html, langid, mixing, neighbours, oracles, quality, secrets, simhash, warc
+from stackweave.llm import bpe, divergence, exact_dedup, filter_audit, html, langid, mixing, neighbours, oracles, quality, secrets, simhash, suffix_dedup, warc
 from stackweave.session import Scratch
 
 #: Folder of the public vocabulary files on every node.
@@ -64,6 +64,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), Scratch(spark, "op10"))
 
 
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), Scratch(spark, "op12"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_mix": op9_mix,
     "op10_warc": op10_warc,
+    "op11_suffixes": op11_suffixes,
     "op12_divergence": op12_divergence,
     "op13_filters": op13_filters,
 }
