@@ -163,18 +163,17 @@ def global_stat(stack: DataFrame, how: str) -> Column:
     return stack.agg(agg("v").alias("s")).scalar()
 
 
+#: Pixels of the grid that one task generates.
+GRID_PIXELS = 4_000_000
+
+
 def densify(pixels: DataFrame, shape: tuple[int, int], fill: float = 0.0) -> DataFrame:
     """Every pixel of every frame between the first and last ``t``; absent ones get ``fill``."""
     h, w = shape
-    lo, hi = pixels.agg(F.min("t")).scalar(), pixels.agg(F.max("t")).scalar()
-    spark = pixels.sparkSession
-    # Two steps, so that a long time axis is generated by many tasks and not by one row.
-    step = 4096
-    coarse = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).where(F.col("lo").isNotNull())
-    coarse = coarse.select("lo", "hi", F.explode(F.expr(f"sequence(0L, (hi - lo) div {step})")).alias("c"))
-    fine = coarse.repartition("c").select(
-        F.explode(F.expr(f"sequence(lo + c * {step}, least(hi, lo + c * {step} + {step - 1}))")).alias("t")
-    )
+    ends = pixels.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
+    lo, hi = (0, -1) if ends["lo"] is None else (int(ends["lo"]), int(ends["hi"]))
+    # A range has the partitions it is given, so a long time axis is generated by many tasks.
+    fine = pixels.sparkSession.range(lo, hi + 1, 1, max(1, (hi + 1 - lo) * h * w // GRID_PIXELS + 1)).withColumnRenamed("id", "t")
     grid = fine.select("t", F.explode(F.sequence(F.lit(0), F.lit(h * w - 1))).alias("p")).select(
         "t", F.expr(f"cast(p div {w} as int)").alias("y"), F.expr(f"cast(p % {w} as int)").alias("x")
     )

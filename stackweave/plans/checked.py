@@ -17,6 +17,8 @@ from stackweave.plans.queries import (
     VOL, store_at, taps_sql, volumes,
 )
 from stackweave.session import Scratch
+from stackweave.sources.stackfile import register_stack_format
+from stackweave.sources.stacks import load_stack
 from stackweave.sources.store import DatasetStore
 from stackweave.streaming import jobs
 
@@ -132,6 +134,27 @@ def store_export(spark: SparkSession, sf: str) -> DataFrame:
     return pixels(spark.read.parquet(f"{store.root}-plain"))
 
 
+def exported(spark: SparkSession, sf: str, dtype: str = "<f8") -> str:
+    """The frames as array files in the shared folder."""
+    folder = f"{Scratch(spark, 'stack').root}/frames"
+    register_stack_format(spark)
+    fx.emb_wide(spark, sf).sortWithinPartitions("t").write.format("stack").mode("overwrite").option("dtype", dtype).save(folder)
+    return folder
+
+
+@query("SELECT t, y, x, round(v, 6) + 0.0 AS v FROM emb", EMB)
+def stack_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Exported to array files and read back through the data source, seven pages a partition."""
+    return pixels(load_stack(spark, exported(spark, sf), "stack", chunk_frames=7))
+
+
+@query("SELECT t, y, x, round(CAST(CAST(v AS FLOAT) AS DOUBLE), 6) + 0.0 AS v FROM emb WHERE t > 20 AND t <= 90 AND t <> 33", EMB)
+def stack_source_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Filters on the frame number: ranges for the source, the rest for Spark; numbers of 32 bits."""
+    frames = load_stack(spark, exported(spark, sf, "<f4"), "stack", chunk_frames=16)
+    return pixels(frames.where("t > 20 and t <= 90 and t <> 33"))
+
+
 @query("""SELECT t, CAST(region AS INTEGER) AS region, y, x, seg FROM grow QUALIFY row_number() OVER (PARTITION BY t, y, x ORDER BY d, seg) = 1""",
        EMB, LABELS, PEAKS, """seeds AS (SELECT l.t, l.region, l.y, l.x, row_number() OVER (PARTITION BY l.t ORDER BY l.y, l.x) AS seg
          FROM lab l JOIN peaks p ON p.t = l.t AND p.y = l.y AND p.x = l.x),

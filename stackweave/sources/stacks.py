@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from stackweave.functions.arrays import let
 from stackweave.model import FRAME_COLS, PIXEL_COLS, check_form, frame_batch, frame_total, frames_from, is_frames
 from stackweave.session import Scratch
+from stackweave.sources.stackfile import register_stack_format
 
 Decoder = Callable[[bytes], Iterable[np.ndarray]]
 
@@ -26,12 +27,16 @@ def load_stack(
 
     ``parquet`` reads either table form, or one array column per frame when ``shape`` is
     given. ``binary`` reads files of any format with ``decoder(content) -> 2-D arrays``,
-    one task per file, or with a ``RangeDecoder``, one task per range of pages.
+    one task per file, or with a ``RangeDecoder``, one task per range of pages. ``stack`` reads array files
+    through the data source: every range of ``chunk_frames`` pages (100) is a partition, and filters on ``t`` leave out ranges.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "parquet":
         parts = [spark.read.parquet(p) for p in paths]
         parts = [frames_from(p, t, px, shape) if shape else check_form(p, FRAME_COLS if is_frames(p) else PIXEL_COLS) for p in parts]
+    elif fmt == "stack":
+        name = register_stack_format(spark, decoder, "stack" if decoder is None else f"stack_{type(decoder).__name__.lower()}")
+        return spark.read.format(name).option("chunk", chunk_frames or 100).load(paths if len(paths) > 1 else paths[0])
     elif fmt == "binary":
         if decoder is None:
             raise ValueError("binary input needs a decoder")
@@ -60,6 +65,11 @@ def chunk(stack: DataFrame, frames: int) -> DataFrame:
     return stack.repartitionByRange(int(count), key).sortWithinPartitions("t")
 
 
+def tasks_for(units: int) -> int:
+    """Partitions for so many rows that each stand for much work: about one each, within what a driver schedules."""
+    return max(1, units if units < 20_000 else max(20_000, units // 8))
+
+
 class RangeDecoder(Protocol):
     """A decoder that reads parts of a file, so that large files are spread over tasks."""
 
@@ -98,8 +108,9 @@ def decode_files(spark: SparkSession, path: str, decoder: Decoder | RangeDecoder
         counted = found.select("path").mapInArrow(count, "path string, n long")
         first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(range_pages).cast("long"))).alias("first")
         ranges = counted.where("n > 0").select("path", "n", first)
-        ranges = ranges.select("path", "first", F.least(F.col("first") + range_pages, F.col("n")).alias("last")).repartition("path", "first")
-        pages = ranges.mapInArrow(read, PAGES)
+        ranges = (scratch or Scratch(spark, "ranges")).write(ranges.select("path", "first", F.least(F.col("first") + range_pages, F.col("n")).alias("last")))
+        # The rows are few and short, the work on each is not: a given number of partitions is not folded into one.
+        pages = ranges.repartition(tasks_for(ranges.count()), "path", "first").mapInArrow(read, PAGES)
     else:
         def decode(batches):
             for batch in batches:
