@@ -19,14 +19,16 @@ from stackweave.session import Scratch
 #: Terms of lower-cased UTF-8: letters of ASCII and every byte of the signs beyond it.
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 #: Postings of a block; the block is spilled as a run when it holds so many.
-BLOCK_POSTINGS = 400_000
+BLOCK_POSTINGS = 1 << 20
 #: Documents of its language that a kept term is in, at least.
 LEAST_DOCS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
 #: Pairs of postings of one term that are worked on at once.
 PAIR_ROWS = 1 << 20
-RUN = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
+POSTINGS = ("source", "n", "docs")
+RUN_SQL = "term string, lang string, source array<string>, n array<long>, docs array<long>"
+FLAT = pa.schema([("term", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 FREQUENCIES = "lang string, term string, source string, n long, in_lang long"
 
 
@@ -36,17 +38,22 @@ def terms(text: bytes) -> list[bytes]:
 
 
 def spill_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index texts block by block. A full block leaves as one run, sorted by language, term and source."""
+    """Index texts block by block. A full block leaves as one run: a row per term and language, in that order, with its postings."""
     counts: dict[tuple[bytes, bytes], Counter] = {}
     docs: dict[tuple[bytes, bytes], Counter] = {}
 
     def run() -> Iterator[pa.RecordBatch]:
-        rows = sorted((lang, term, source, n, docs[lang, source][term]) for (lang, source), block in counts.items() for term, n in block.items())
+        columns = [[], [], [], [], []]
+        for (lang, source), block in counts.items():
+            k = len(block)
+            made = ([lang] * k, [source] * k, list(block))
+            columns[1].append(pa.array(made[0], pa.binary())), columns[2].append(pa.array(made[1], pa.binary())), columns[0].append(pa.array(made[2], pa.binary()))
+            columns[3].append(pa.array(np.fromiter(block.values(), np.int64, k)))
+            columns[4].append(pa.array(np.fromiter(map(docs[lang, source].__getitem__, block), np.int64, k)))
         counts.clear(), docs.clear()
-        for first in range(0, len(rows), 1 << 16):
-            columns = list(zip(*rows[first:first + (1 << 16)]))
-            strings = [pa.array(c, pa.binary()).cast(pa.string()) for c in columns[:3]]
-            yield pa.RecordBatch.from_arrays(strings + [pa.array(c, pa.int64()) for c in columns[3:]], schema=RUN)
+        if columns[0]:
+            flat = pa.Table.from_arrays([pa.chunked_array(c) for c in columns], names=FLAT.names)
+            yield from _listed(flat.sort_by([(c, "ascending") for c in ("term", "lang", "source")])).to_batches(max_chunksize=1 << 16)
 
     held = 0
     for batch in batches:
@@ -65,50 +72,76 @@ def spill_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from run()
 
 
+def _heads(rows: pa.Table) -> np.ndarray:
+    """Where a term or language begins in rows sorted by both."""
+    term, lang = (rows.column(c).combine_chunks() for c in ("term", "lang"))
+    if not len(rows):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.concatenate(([True], pc.or_(pc.not_equal(term[1:], term[:-1]), pc.not_equal(lang[1:], lang[:-1])).to_numpy(zero_copy_only=False))))
+
+
+def _listed(flat: pa.Table) -> pa.Table:
+    """Sorted postings as a row per term and language."""
+    head = _heads(flat)
+    ends = pa.array(np.append(head, len(flat)).astype(np.int32))
+    keys = [flat.column(c).combine_chunks().take(pa.array(head)).cast(pa.string()) for c in ("term", "lang")]
+    values = [flat.column(c).combine_chunks().cast(FLAT.field(c).type) for c in POSTINGS]
+    return pa.Table.from_arrays(keys + [pa.ListArray.from_arrays(ends, v) for v in values], names=FLAT.names)
+
+
+def _flat(batch: pa.RecordBatch) -> pa.Table:
+    parents = pc.list_parent_indices(batch.column("n"))
+    columns = [batch.column(c).take(parents) for c in ("term", "lang")] + [pc.list_flatten(batch.column(c)) for c in POSTINGS]
+    return pa.Table.from_arrays(columns, schema=FLAT)
+
+
 def merge_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of one shard, merged into the order of language and term, to the frequencies of the kept terms."""
-    held = None
+    """Runs of one shard, merged into the order of term and language, to the frequencies of the kept terms."""
+    held = FLAT.empty_table()
     for batch in batches:
-        table = pa.concat_tables([pa.Table.from_batches([batch]).cast(RUN)] if held is None else [held.cast(RUN), pa.Table.from_batches([batch]).cast(RUN)])
-        # The rows of the last term stay, as more may follow; its partial sums take their place.
-        start = last_term(table)
-        yield from kept_terms(table.slice(0, start))
-        held = _summed(table.slice(start))
-    if held is not None:
-        yield from kept_terms(held)
+        if len(batch):
+            table = pa.concat_tables([held, _flat(batch)])
+            # The rows of the last term stay, as more may follow; its partial sums take their place.
+            start = last_term(table)
+            yield from kept_terms(table.slice(0, start))
+            held = _summed(table.slice(start))
+    yield from kept_terms(held)
 
 
 def last_term(rows: pa.Table) -> int:
-    """Where the last term of rows sorted by language and term begins."""
+    """Where the last term of sorted rows begins."""
     lang, term = (rows.column(c)[-1] for c in ("lang", "term"))
     return pc.index(pc.and_(pc.equal(rows.column("term"), term), pc.equal(rows.column("lang"), lang)), True).as_py()
 
 
 def _summed(rows: pa.Table) -> pa.Table:
-    sums = rows.group_by(["lang", "term", "source"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
-    return sums.select(["lang", "term", "source", "n_sum", "docs_sum"]).rename_columns(RUN.names)
+    sums = rows.group_by(["term", "lang", "source"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    return sums.select(["term", "lang", "source", "n_sum", "docs_sum"]).rename_columns(FLAT.names).cast(FLAT)
 
 
 def kept_terms(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Frequencies of the terms in documents enough; rows of one term and language stand together."""
     if not len(rows):
         return
-    sums = _summed(rows)
-    terms_of = sums.group_by(["lang", "term"], use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
-    terms_of = terms_of.filter(pc.greater_equal(terms_of.column("docs_sum"), LEAST_DOCS)).select(["lang", "term", "n_sum"])
-    found = sums.join(terms_of, ["lang", "term"], join_type="inner", use_threads=False)
-    names = ["lang", "term", "source", "n", "in_lang"]
-    yield from found.select(["lang", "term", "source", "n", "n_sum"]).rename_columns(names).combine_chunks().to_batches()
+    head = _heads(rows)
+    size = np.diff(np.append(head, len(rows)))
+    enough = np.add.reduceat(rows.column("docs").to_numpy(), head) >= LEAST_DOCS
+    sums = _summed(rows.filter(pa.array(np.repeat(enough, size))))
+    if len(sums):
+        totals = sums.group_by(["term", "lang"], use_threads=False).aggregate([("n", "sum")])
+        found = sums.join(totals, ["term", "lang"], join_type="inner", use_threads=False)
+        yield from found.select(["lang", "term", "source", "n", "n_sum"]).rename_columns(["lang", "term", "source", "n", "in_lang"]).combine_chunks().to_batches()
 
 
 def frequencies(docs: DataFrame) -> DataFrame:
     """``lang, term, source, n, in_lang`` of the terms in ten documents of their language or more.
 
-    Tasks index their texts in blocks of bounded memory; what is shuffled are the blocks' sorted runs, a row per
-    term, language, source and block. The shuffle brings the runs of a hash shard of terms together, Spark's
+    Tasks index their texts in blocks of bounded memory; what is shuffled are the blocks' sorted runs, a row of
+    postings per term, language and block. The shuffle brings the runs of a hash shard of terms together, Spark's
     external sort merges them through its heap, and equal terms are summed as they stream by.
     """
-    runs = docs.mapInArrow(spill_runs, "lang string, term string, source string, n long, docs long")
-    shards = runs.repartition("lang", "term").sortWithinPartitions("lang", "term")
+    runs = docs.mapInArrow(spill_runs, RUN_SQL)
+    shards = runs.repartition("term", "lang").sortWithinPartitions("term", "lang")
     return shards.mapInArrow(merge_runs, FREQUENCIES)
 
 
@@ -155,11 +188,9 @@ def pair_corrections(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
             first = last
 
     def work(rows: pa.Table) -> None:
-        langs, words = rows.column("lang").combine_chunks(), rows.column("term").combine_chunks()
         if not len(rows):
             return
-        fresh = np.concatenate(([True], pc.or_(pc.not_equal(words[1:], words[:-1]), pc.not_equal(langs[1:], langs[:-1])).to_numpy(zero_copy_only=False)))
-        start = np.flatnonzero(fresh)
+        langs, start = rows.column("lang").combine_chunks(), _heads(rows)
         size = np.diff(np.append(start, len(rows)))
         place, p, p0 = (rows.column(c).to_numpy() for c in ("place", "p", "p0"))
         of_lang = langs.take(pa.array(start)).to_pylist()
@@ -224,7 +255,7 @@ def audit(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    shared = postings.select("lang", "term", "place", "p", "p0").repartition("lang", "term").sortWithinPartitions("lang", "term")
+    shared = postings.select("lang", "term", "place", "p", "p0").repartition("term", "lang").sortWithinPartitions("term", "lang")
     shared = shared.mapInArrow(pair_corrections, "lang string, s int, t int, v long")
     both = shared.select("lang", "s", "t", "v").unionByName(shared.select("lang", F.col("t").alias("s"), F.col("s").alias("t"), "v"))
     # Counts that repeat within a source are one row with their number.
