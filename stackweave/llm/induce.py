@@ -144,7 +144,9 @@ class Queue:
 
 def stable_order(key: np.ndarray) -> np.ndarray:
     """Stable order of small whole numbers; 16 bits are sorted by radix."""
-    return np.argsort(key.astype(np.uint16) if len(key) and key[key.argmax()] < 1 << 16 else key, kind="stable")
+    if key.dtype.itemsize > 2 and len(key) and key.max() < 1 << 16:
+        key = key.astype(np.uint16)
+    return np.argsort(key, kind="stable")
 
 
 def shared_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
@@ -247,7 +249,8 @@ class Sweep:
             common = self.settle(key, pos, common)
         sink(pos, common, key & 1 == 0)
         chosen = np.flatnonzero(ok)
-        order = chosen[stable_order(longer[chosen])]
+        target = longer[chosen] >> 1
+        order = chosen[stable_order(target.astype(np.uint8) if self.symbols <= 256 else target)]
         new_key, new_pos = longer[order], before[order]
         new_common = self.inherit(common, order, new_key) if self.cap else np.zeros(len(order), np.uint8)
         if cell is None:
@@ -351,6 +354,10 @@ def star_order(text: np.ndarray, size: int, symbols: int, stars: np.ndarray, dis
     """The stars by their suffixes, ascending, in blocks."""
     if not len(stars):
         return
+    if text.dtype == np.uint8 and len(stars) * 64 <= disk.memory:
+        names, order, count = direct_names(text, size, stars)
+        yield stars[order if count == len(stars) else doubled_order(names, depth, order)]
+        return
     none = lambda n: np.zeros(n, np.uint8)
     place = disk.array(size + 1, np.int32 if len(stars) < 1 << 31 else np.int64)
     for first in range(0, len(stars), BLOCK):
@@ -384,6 +391,52 @@ def star_order(text: np.ndarray, size: int, symbols: int, stars: np.ndarray, dis
         yield stars[part]
 
 
+def direct_names(text: np.ndarray, size: int, stars: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Ranks of the substrings from each star to the next one, the stars by rank, and the number of ranks, in memory.
+
+    Eight bytes are compared at a time. Behind its end a substring counts as larger than one that goes on, as the
+    symbol there begins a rising run; the last one ends with the text and counts as smaller. ``text`` has 8 bytes more.
+    """
+    words = np.ndarray((len(text) - 7,), np.uint64, text, 0, (1,))
+    n, end = len(stars), len(text) - 8
+    length = np.append(stars[1:] + 1, size) - stars
+
+    def word(which: np.ndarray, done: int) -> np.ndarray:
+        kept = np.clip(length[which] - done, 0, 8).astype(np.uint64)
+        found = words[np.minimum(stars[which] + done, end)].byteswap()
+        behind = np.where(kept > 0, (np.uint64(1) << (np.uint64(64) - np.uint64(8) * np.maximum(kept, np.uint64(1)))) - np.uint64(1), ~np.uint64(0))
+        return np.where(which == n - 1, found & ~behind, found | behind)
+
+    first_word = word(np.arange(n), 0)
+    order = np.argsort(first_word)
+    found = first_word[order]
+    head = np.concatenate(([True], found[1:] != found[:-1]))
+    done = 8
+    while True:
+        group = np.cumsum(head) - 1
+        longest = np.maximum.reduceat(length[order], np.flatnonzero(head))
+        tied = np.bincount(group) > 1
+        places = np.flatnonzero((tied & (longest > done))[group])
+        if not len(places):
+            break
+        which = order[places]
+        more, where = word(which, done), group[places]
+        within = np.lexsort((more, where))
+        order[places] = which[within]
+        more = more[within]
+        head[places] = np.concatenate(([True], (where[1:] != where[:-1]) | (more[1:] != more[:-1])))
+        done += 8
+    # The last one has no equal: it leads its group.
+    at = int(np.flatnonzero(order == n - 1)[0])
+    lead = int(np.flatnonzero(head[:at + 1])[-1])
+    order[lead], order[at] = order[at], order[lead]
+    if lead + 1 < n:
+        head[lead + 1] = True
+    names = np.empty(n, np.int64)
+    names[order] = np.cumsum(head) - 1
+    return names, order, int(head.sum())
+
+
 def same_substrings(text, size, stars, pos, rank) -> np.ndarray:
     """Whether the substrings of neighbours in ``pos``, from their star to the next one, are the same."""
     last = rank + 1 >= len(stars)
@@ -413,10 +466,10 @@ def name_order(names: np.ndarray, symbols: int, disk: Disk, depth: int | None) -
         yield pos[::-1]
 
 
-def doubled_order(names: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Positions by suffix, in memory; names that agree in ``depth`` symbols may come in any order."""
+def doubled_order(names: np.ndarray, depth: int | None = None, order: np.ndarray | None = None) -> np.ndarray:
+    """Positions by suffix, in memory; names that agree in ``depth`` symbols may come in any order. ``order``: them by name."""
     n = len(names)
-    order = np.argsort(names)
+    order = np.argsort(names) if order is None else order
     rank = names.astype(np.int64)
     sorted_rank = rank[order]
     head = np.concatenate(([True], sorted_rank[1:] != sorted_rank[:-1]))

@@ -20,13 +20,13 @@ from stackweave.session import Scratch, hadoop_path
 #: A string of so many bytes that starts twice goes.
 LENGTH = 200
 #: Bytes of the grams whose smallest hash names a window.
-GRAM = 16
+GRAM = 32
 #: Text bytes of a chunk, which one task works on, and piece bytes of a shard, on average.
-CHUNK_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
+CHUNK_BYTES, SHARD_BYTES = 8 << 20, 3 << 20
 #: Pieces of one name beyond which its windows get names by the longer grams, one length after the other.
 HOT_PIECES, LONGER_GRAMS = 20_000, (137, 185, 197, 200)
 #: Windows that one piece covers at most, and bytes hashed at once.
-PIECE_WINDOWS, BLOCK_BYTES = 4096, 1 << 21
+PIECE_WINDOWS, BLOCK_BYTES = 4096, 1 << 20
 MULTIPLIER = 0xD6E8FEB86659FD93
 #: Text bytes are raised by one in a shard: 0 ends a piece.
 RAISED = bytes((k + 1) & 255 for k in range(256))
@@ -389,7 +389,7 @@ def dedup(docs: DataFrame, scratch: Scratch, with_text: bool = False, hot_pieces
     Returns ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, and the bytes ``kept`` if asked for, one row per row.
     Matches lie within texts, overlaps count, and all strings are judged on the input.
 
-    Every window of 200 bytes has a name, the smallest hash of its 16-byte grams, so equal windows have one name.
+    Every window of 200 bytes has a name, the smallest hash of its 32-byte grams, so equal windows have one name.
     A chunk of texts sends each of its names once, however often it has it; windows whose name comes only once in
     the corpus cannot be repeated and are left. The others, with the bytes they cover, are pieces; equal pieces of a
     chunk travel as one. Pieces are dealt to shards by name, so equal windows meet in one shard. A shard's suffixes are
