@@ -90,6 +90,15 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def sums_by(group: np.ndarray, rows: np.ndarray, groups: int) -> np.ndarray:
+    """Sums of rows by group; ``group`` ascends."""
+    out = np.zeros((groups, rows.shape[1]))
+    if len(group):
+        head = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        out[group[head]] = np.add.reduceat(rows, head)
+    return out
+
+
 def train(counts: list[tuple[np.ndarray, np.ndarray]], langs: list[str], names: list[str]) -> Model:
     """Fit on documents given as (buckets, shares); every tenth only calibrates."""
     rng = np.random.default_rng(SEED)
@@ -109,7 +118,7 @@ def train(counts: list[tuple[np.ndarray, np.ndarray]], langs: list[str], names:
             bucket = np.concatenate([counts[i][0] for i in some])
             share = np.concatenate([counts[i][1] for i in some])
             owner = np.repeat(np.arange(len(some)), [len(counts[i][0]) for i in some])
-            hidden = np.stack([np.bincount(owner, weights=share * embed[bucket, j], minlength=len(some)) for j in range(WIDTH)], axis=1)
+            hidden = sums_by(owner, share[:, None] * embed[bucket], len(some))
             error = softmax(hidden @ weight + bias)
             error[np.arange(len(some)), target[some]] -= 1
             back = error @ weight.T
@@ -117,8 +126,8 @@ def train(counts: list[tuple[np.ndarray, np.ndarray]], langs: list[str], names:
             bias -= rate * error.mean(axis=0)
             # Every document moves its own subwords by their share in it; repeated subwords add up.
             where, place = np.unique(bucket, return_inverse=True)
-            for j in range(WIDTH):
-                embed[where, j] -= rate * 20 * np.bincount(place, weights=share * back[owner, j])
+            by_bucket = np.argsort(place, kind="stable")
+            embed[where] -= rate * 20 * sums_by(place[by_bucket], share[by_bucket, None] * back[owner[by_bucket]], len(where))
             done += 1
     model = Model(names, embed @ weight, bias, 1.0, 0.0)
     if len(held):
@@ -143,29 +152,35 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
 
     The learner sees a bounded sample: of each language the documents first in the order of a hash of
     doc_id, ``sample`` in all or ``LEAST_EACH`` of each. The ids are chosen from the narrow columns; only
-    the sample's subword counts come to the driver. None if there is nothing to learn from.
+    the sample's subword counts come to the driver. None if there is nothing to learn from. Very long texts count
+    whole; ties of hashes go to the smaller id; repeated rows of an id and language count once, with their first text.
     """
     known = docs.where("lang is not null and text is not null and doc_id is not null").where(fold() != 2)
-    each = W.partitionBy("lang").orderBy("_h", "_id")
-    # One row per language.
-    numbers = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    ids = known.select(F.col("doc_id").alias("_id"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("_h"), "lang").distinct()
+    # One row per language; repeated rows of an id count once.
+    numbers = {r["lang"]: r["count"] for r in ids.groupBy("lang").count().collect()}
     names = sorted(numbers)
     if not names:
         return None
     share = max(LEAST_EACH, sample // len(names))
-    ids = known.select(F.col("doc_id").alias("_id"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("_h"), "lang")
-    # Only rows whose hash is low enough for about twice the share go on to be put in order.
+    # Only ids whose hash is low enough for about twice the share go on to be put in order; the lowest of each language always do.
     enough = F.create_map(*[F.lit(x) for k in names for x in (k, int(min(1.0, (2 * share + 50) / numbers[k]) * (1 << 40)))])
-    low = ids.where(F.col("_h") < enough[F.col("lang")])
-    chosen = low.withColumn("_r", F.row_number().over(each)).where(F.col("_r") <= share).select("_id").distinct()
-    rows = known.join(F.broadcast(chosen), known["doc_id"] == chosen["_id"], "left_semi")
+    lowest = ids.groupBy("lang").agg(F.min(F.struct("_h", "_id")).alias("s")).select("s._id", "s._h", "lang")
+    low = ids.where(F.col("_h") < enough[F.col("lang")]).unionByName(lowest).distinct()
+    each = W.partitionBy("lang").orderBy("_h", "_id")
+    chosen = low.withColumn("_r", F.row_number().over(each)).where(F.col("_r") <= share).select("_id", F.col("lang").alias("_lang"))
+    rows = known.join(F.broadcast(chosen), (known["doc_id"] == chosen["_id"]) & (known["lang"] == chosen["_lang"]), "left_semi")
+    # Of rows that repeat an id and language the first text counts, so the sample is bounded by its ids.
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         buckets, shares = [], []
         texts = batch.column("text").to_pylist()
         bucket, owner = subwords(texts)
-        for k in range(len(texts)):
-            found, times = np.unique(bucket[owner == k], return_counts=True)
+        order = np.argsort(owner, kind="stable")
+        bucket, cuts = bucket[order], np.searchsorted(owner[order], np.arange(len(texts) + 1))
+        for first, last in zip(cuts[:-1], cuts[1:]):
+            found, times = np.unique(bucket[first:last], return_counts=True)
             buckets.append(found.astype(np.int32))
             shares.append((times / max(1, times.sum())).astype(np.float32))
         return {"buckets": buckets, "shares": shares}

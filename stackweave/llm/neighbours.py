@@ -71,19 +71,16 @@ def _matrix(column: pa.ChunkedArray | pa.Array, d: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
 
 
-def usable(embeddings: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
-    """``(vec_id, embedding)`` of the rows that take part, and their dimension.
+def usable(embeddings: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[int]]:
+    """``(vec_id, embedding)`` of the rows that take part, and the lengths of their vectors.
 
-    Left out: null ids; null or empty vectors; vectors with null, NaN or infinite components; zero vectors;
-    and those whose length is not the most frequent one. Of rows with one id the smallest vector counts.
+    Left out: null ids; null or empty vectors; vectors with null, NaN or infinite components; zero vectors.
+    Rows that repeat an id are rows like others.
     """
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.where(F.col("vec_id").isNotNull() & fine).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    rows = scratch.write(rows)
-    sizes = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    d = sizes[0]["d"] if sizes else 0
-    return rows.where(F.size("embedding") == d), d
+    rows = scratch.write(rows.where(F.col("vec_id").isNotNull() & fine))
+    return rows, sorted(r["d"] for r in rows.select(F.size("embedding").alias("d")).distinct().collect())
 
 
 def _ordered(items: DataFrame, scratch: Scratch, d: int, curves: int) -> DataFrame:
@@ -110,18 +107,28 @@ def _ordered(items: DataFrame, scratch: Scratch, d: int, curves: int) -> DataFra
     return scratch.write(placed.join(starts, ["curve", "part"]).select("curve", (F.col("start") + F.col("row")).alias("pos"), "item", "vector"))
 
 
-def _best(queries: np.ndarray, vectors: np.ndarray, allowed: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row of the query, row of the vector and inner product of each query's ``k`` best allowed vectors."""
-    near = queries @ vectors.T
-    if allowed is not None:
-        near[~allowed] = -np.inf
-    k = min(k, near.shape[1])
-    top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-    row = np.repeat(np.arange(len(queries)), k)
-    found = np.isfinite(near[row, top.ravel()])
-    row, column = row[found], top.ravel()[found]
-    # Summed again pair by pair, so that equal vectors get equal numbers wherever they stand.
-    return row, column, (queries[row] * vectors[column]).sum(axis=1)
+def _best(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, allowed: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of the query, row of the vector and inner product of each query's ``k`` best allowed vectors, ties to the smaller id.
+
+    The matrix product only chooses candidates: all that reach the k-th best within its rounding. Their products are
+    summed again pair by pair, so that equal vectors get equal numbers wherever they stand. Products beyond the range
+    of doubles come first or last, undefined ones last.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = np.nan_to_num(queries @ vectors.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+        if allowed is not None:
+            near[~allowed] = -np.inf
+        k = min(k, near.shape[1])
+        least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
+        slack = 4e-16 * vectors.shape[1] * np.sqrt((queries * queries).sum(axis=1)) * np.sqrt((vectors * vectors).sum(axis=1).max(initial=0.0))
+        enough = near >= np.where(np.isfinite(least), least - np.where(np.isfinite(slack), slack, np.inf), -np.inf)[:, None]
+        row, column = np.nonzero(enough if allowed is None else enough & allowed)
+        score = np.nan_to_num((queries[row] * vectors[column]).sum(axis=1), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+    order = np.lexsort((ids[column], -score, row))
+    row, column, score = row[order], column[order], score[order]
+    first = np.searchsorted(row, row)
+    kept = np.arange(len(row)) - first < k
+    return row[kept], column[kept], score[kept]
 
 
 FOUND = "query long, item long, score double"
@@ -135,8 +142,8 @@ def exact(items: DataFrame, asked: list[tuple[int, list[float]]], d: int, k: int
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                row, column, score = _best(queries, _matrix(batch.column("vector"), d), None, k)
                 item = batch.column("item").to_numpy()
+                row, column, score = _best(queries, _matrix(batch.column("vector"), d), item, None, k)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(item[column]), pa.array(score)], schema=FOUND_SCHEMA)
 
     best = W.partitionBy("query").orderBy(F.desc("score"), "item")
@@ -152,7 +159,7 @@ def window_width(index: DataFrame, items: DataFrame, asked: DataFrame, d: int, k
     data with structure this is a small number whatever the size; on directions without any, no order helps
     and the windows come out wide.
     """
-    some = asked.join(items, "item").orderBy(F.xxhash64("item"), "item").limit(CALIBRATION).select("item", "vector").collect()
+    some = asked.join(items, "item").orderBy(F.xxhash64("vector"), "item").limit(CALIBRATION).select("item", "vector").collect()
     true = exact(items, [(r["item"], r["vector"]) for r in some], d, k + 1).where("query <> item")
     pairs = true.toPandas()
     needed = sorted({*pairs["query"].tolist(), *pairs["item"].tolist()})
@@ -171,25 +178,35 @@ def search(
     """The ``k`` nearest found of each row of ``embeddings(vec_id, embedding)`` that ``asked`` names.
 
     Nearness is the largest inner product, in double precision. Returns ``query_id, rank, vec_id, score``, nearest
-    first, ties to the smaller vec_id; the query's own id is no candidate. ``usable`` says which rows
-    take part; all candidates come back if there are fewer than ``k``.
+    first, ties to the smaller vec_id; the query's own row is no candidate, another row with its id is. ``usable``
+    says which rows take part; all candidates come back if there are fewer than ``k``. Vectors are compared with
+    those of their own length; each length is a search of its own.
 
-    Equal vectors are one item with its smallest ids, as many as any answer can hold, so copies cost
+    Equal vectors are one item with their smallest ids, as many as any answer can hold, so copies cost
     nothing. Items get a place in each curve's order by range partitioning; a query compares itself with
     the items at most the window's width away on each curve. Windows count ranks, so dense regions
     do not widen them. Tasks work on blocks of an order: a fixed number of items and of queries.
     """
-    spark = embeddings.sparkSession
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows, d = usable(embeddings, scratch)
-    if d == 0:
-        return empty
+    rows, lengths = usable(embeddings, scratch)
+    found = embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for d in lengths:
+        some = rows if len(lengths) == 1 else scratch.write(rows.where(F.size("embedding") == d))
+        found = _search(some, scratch, asked, k, curves, reach, block, d) if len(lengths) == 1 else found.unionByName(_search(some, scratch, asked, k, curves, reach, block, d))
+    return found
+
+
+def _search(rows: DataFrame, scratch: Scratch, asked: Column, k: int, curves: int, reach: float, block: int, d: int) -> DataFrame:
+    """``search`` among vectors of one length."""
+    empty = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     # The limit per vector is applied before the shuffle as well.
     alike = W.partitionBy("embedding").orderBy("vec_id")
     first = rows.withColumn("r", F.row_number().over(alike)).where(F.col("r") <= k + 1)
-    items = scratch.write(first.groupBy("embedding").agg(F.min("vec_id").alias("item"), F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumnRenamed("embedding", "vector"))
+    alike = first.groupBy(F.col("embedding").alias("vector")).agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    # Items are numbered in the order of their smallest ids, which ties follow.
+    ordered = alike.withColumn("low", F.col("ids")[0]).repartitionByRange("low", "vector").sortWithinPartitions("low", "vector")
+    items = scratch.write(ordered.select(F.monotonically_increasing_id().alias("item"), "vector", "ids"))
     queries = rows.where(asked).join(items.select("item", F.col("vector").alias("embedding")), "embedding").select(F.col("vec_id").alias("query_id"), "item")
-    queries = scratch.write(queries)
+    queries = scratch.write(queries.withColumn("row", F.monotonically_increasing_id()))
     searched = queries.select("item").distinct()
     index = _ordered(items, scratch, d, curves)
     n, q = items.count(), searched.count()
@@ -211,7 +228,7 @@ def search(
             who, at, query = _matrix(asking.column("asking"), d), asking.column("at").to_numpy(), asking.column("query").to_numpy()
             for s in range(0, len(query), 256):
                 part = slice(s, s + 256)
-                row, column, score = _best(who[part], vectors, np.abs(at[part, None] - pos[None, :]) <= width, k + 1)
+                row, column, score = _best(who[part], vectors, item, np.abs(at[part, None] - pos[None, :]) <= width, k + 1)
                 out.append(pa.Table.from_arrays([pa.array(query[part][row]), pa.array(item[column]), pa.array(score)], schema=FOUND_SCHEMA))
         return pa.concat_tables(out) if out else FOUND_SCHEMA.empty_table()
 
@@ -219,8 +236,10 @@ def search(
     best = W.partitionBy("query").orderBy(F.desc("score"), "item")
     found = found.dropDuplicates(["query", "item"]).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
     nearest = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    named = found.join(items.select("item", "ids"), "item").select("query", "score", F.explode("ids").alias("vec_id"))
+    named = found.join(items.select("item", "ids"), "item").select("query", F.col("item").alias("found"), "score", "ids", F.posexplode("ids").alias("place", "vec_id"))
     named = named.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1)
-    answers = queries.join(named.drop("r"), queries["item"] == named["query"]).where("vec_id <> query_id")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    answers = queries.join(named.drop("r"), queries["item"] == named["query"])
+    own = (F.col("found") == F.col("item")) & (F.col("place") == F.array_position("ids", F.col("query_id")) - 1)
+    order = W.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    ranked = answers.where(~own).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import re
 import uuid
 import zlib
@@ -18,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from stackweave.llm.batches import text_slices
 from stackweave.session import Scratch, hadoop_path
+from stackweave.sources.stacks import tasks_for
 
 VERSION = b"WARC/1.1"
 #: An archive is closed after so many bytes; one task reads one archive, as a stream.
@@ -25,8 +27,6 @@ ARCHIVE_BYTES, CHUNK = 64 << 20, 1 << 16
 #: Shares into which the pages of one payload are dealt.
 SALTS = 64
 MEMBER = b"\x1f\x8b\x08"
-#: Length in bytes up to which a header block is looked for.
-HEADER_BYTES = 1 << 24
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -118,7 +118,8 @@ class Window:
     """A moving view of a stream: bytes from ``start`` on, read further when asked for."""
 
     def __init__(self, stream, start: int):
-        self.stream, self.start, self.data, self.ended = stream, start, b"", False
+        self.stream, self.start, self.data, self.ended = stream, start, bytearray(), False
+        self.size = stream.seek(0, 2)
         stream.seek(start)
 
     def more(self) -> bool:
@@ -132,53 +133,83 @@ class Window:
             pass
         return len(self.data) >= n
 
+    def peek(self, at: int, n: int) -> bytes:
+        """``n`` bytes from ``at`` on, counted from the window's start, without reading up to there."""
+        if at + n <= len(self.data):
+            return bytes(self.data[at : at + n])
+        self.stream.seek(self.start + at)
+        found = self.stream.read(n)
+        self.stream.seek(self.start + len(self.data))
+        return found
+
     def drop(self, n: int) -> None:
-        self.start, self.data = self.start + n, self.data[n:]
-
-
-def parse(data: bytes) -> tuple[dict[str, object] | None, int, str]:
-    """The record at the beginning of ``data``: fields, bytes used, and why it failed. Empty reason and no
-    fields: more bytes are needed. All checks are made: version, length, closing line ends, both digests."""
-    if not data.startswith(b"WARC/1."):
-        return None, 0, "no version line"
-    end = data.find(b"\r\n\r\n", 0, HEADER_BYTES)
-    if end < 0:
-        return None, 0, "header without end" if len(data) >= HEADER_BYTES else ""
-    version, *lines = data[:end].split(b"\r\n")
+        self.start += n
+        del self.data[:n]
+
+
+def header(lines: bytes) -> tuple[dict[str, str] | None, int, str]:
+    """Fields of a header block and the length of the block that follows, or why it failed."""
+    version, *rest = bytes(lines).split(b"\r\n")
     if not re.fullmatch(rb"WARC/1\.\d", version):
         return None, 0, "broken version line"
     fields = {}
-    for line in lines:
+    for line in rest:
         name, colon, value = line.partition(b":")
         if not colon:
             return None, 0, "broken header line"
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    if not fields.get("content-length", "").isdigit():
+    if not re.fullmatch(r"[0-9]+", fields.get("content-length", "")):
         return None, 0, "no length"
-    size = int(fields["content-length"])
-    if len(data) < end + 8 + size:
-        return None, 0, ""
-    block = data[end + 4 : end + 4 + size]
-    if data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
-        return None, 0, "record without closing lines"
+    return fields, int(fields["content-length"]), ""
+
+
+def checked(fields: dict[str, str], block: bytes) -> tuple[dict[str, object] | None, str]:
+    """A record of its header's fields and its block; both digests must be right."""
     expected = fields.get("warc-block-digest", "")
     if expected.startswith("sha1:") and expected[5:] != payload_digest(block):
-        return None, 0, "block digest differs"
+        return None, "block digest differs"
     head, split, payload = block.partition(b"\r\n\r\n")
     kind = fields.get("warc-type", "")
     if not split or not head.startswith(b"HTTP/"):
         payload = block
     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
     if kind == "response" and digest and digest != payload_digest(payload):
-        return None, 0, "payload digest differs"
+        return None, "payload digest differs"
     told = re.search(rb"(?i)\ncontent-length:\s*(\d+)", head)
     length = len(payload) if kind != "revisit" else int(told.group(1)) if told else None
-    made = {
+    return {
         "record_id": fields.get("warc-record-id"), "record_type": kind, "url": fields.get("warc-target-uri"),
         "payload_digest": digest or (payload_digest(payload) if kind == "response" else None), "payload_bytes": length,
         "refers_to": fields.get("warc-refers-to"), "payload": payload if kind != "revisit" else None,
-    }
-    return made, end + 8 + size, ""
+    }, ""
+
+
+def plain(window: Window) -> tuple[dict[str, object] | None, int, str]:
+    """The record at the window's start, the bytes it takes, and why it failed.
+
+    All checks are made: version, length, closing line ends, both digests. A header may be of any length; each new
+    part of the stream is searched for its end once. A length that does not lead to closing line ends, or
+    beyond the archive, is found out by looking there, so no more than one whole record is ever held.
+    """
+    window.need(10)
+    if not re.match(rb"WARC/1\.\d\r\n", window.data[:10]):
+        return None, 0, "broken version line"
+    seen = 0
+    while (end := window.data.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+        seen = len(window.data)
+        if not window.more():
+            return None, 0, "header without end"
+    fields, size, why = header(window.data[:end])
+    if fields is None:
+        return None, 0, why
+    total = end + 8 + size
+    if window.start + total > window.size:
+        return None, 0, "record cut off"
+    if window.peek(total - 4, 4) != b"\r\n\r\n":
+        return None, 0, "record without closing lines"
+    window.need(total)
+    made, why = checked(fields, bytes(window.data[end + 4 : total - 4]))
+    return made, total, why
 
 
 def unpack(window: Window) -> tuple[bytes | None, int, str]:
@@ -203,18 +234,14 @@ def at_start(window: Window) -> tuple[dict[str, object] | None, int, str]:
         content, size, why = unpack(window)
         if content is None:
             return None, 0, why
-        made, used, why = parse(content)
+        inner = Window(io.BytesIO(content), 0)
+        made, used, why = plain(inner) if content.startswith(b"WARC/1.") else (None, 0, "no version line")
         if made is None or used != len(content):
             return None, 0, why or "member without one whole record"
         return made, size, ""
     if not window.data.startswith(b"WARC/1."):
         return None, 0, "no member and no version line"
-    while True:
-        made, used, why = parse(window.data)
-        if made is not None or why:
-            return made, used, why
-        if not window.more():
-            return None, 0, "record cut off"
+    return plain(window)
 
 
 def salvage(stream) -> Iterator[tuple[str, int, int, object]]:
@@ -265,7 +292,7 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
     """Records and gaps of ``archives(path, bytes)``, packed per record or plain: one row each.
 
     ``kind`` is ``record`` or ``gap``; a gap is the quarantined bytes from ``offset`` on with their reason. A task
-    reads its archives as streams and holds one record at a time. ``payloads=False`` leaves payloads out after
+    reads its archives as streams and holds one record at a time, whatever lengths damaged headers claim. ``payloads=False`` leaves payloads out after
     the checks. An empty list gives no rows.
     """
     schema = to_arrow_schema(RECORD)
@@ -288,7 +315,8 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                             held, size = [], 0
                 yield pa.RecordBatch.from_pylist(held, schema=schema)
 
-    return archives.repartition("path").mapInArrow(run, RECORD)
+    # Paths are short and archives are not: a given number of partitions is not folded into one.
+    return archives.repartition(tasks_for(archives.count()), "path").mapInArrow(run, RECORD)
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -300,7 +328,9 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
 def round_trip(pages: DataFrame, scratch: Scratch, least: int = 0) -> DataFrame:
     """Write a record per row of ``pages(page_id, url, html)``, read the archives back: a row per record.
 
-    Returns ``page_id, payload_bytes, payload_digest, record_type, refers_to``, all as read.
+    Returns ``page_id, payload_bytes, payload_digest, record_type, refers_to``, all as read. A null html is an empty
+    payload, a null page_id stays null; rows that repeat the page_id that owns a payload are responses like it. Addresses
+    and payloads may be of any length. An empty table gives no rows; other columns are ignored.
     """
     files, handle = hadoop_path(scratch.spark, f"{scratch.root}/archives")
     folder = files.makeQualified(handle).toString()

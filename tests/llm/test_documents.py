@@ -341,3 +341,40 @@ def test_no_labels_keeps_everything(spark, odd):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.keep_good(table, labels, Scratch(spark, "t")).count() == len(rows)
     assert {r["lang_pred"] for r in langid.identify(table, None).collect()} == {"und"}
+
+
+def test_language_of_few_ids_with_many_rows(spark):
+    """A language whose rows all repeat three ids is learned all the same."""
+    english = [(k, f"the house and the garden of number {k}", "en") for k in range(300)]
+    french = [(1001 + k % 9, "la maison et le jardin avec les fleurs", "fr") for k in range(20_000)]
+    docs = spark.createDataFrame(english + french, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(docs, sample=60)
+    assert model.langs == ["en", "fr"]
+    asked = spark.createDataFrame([(1, "le jardin et la maison"), (2, "the garden and the house")], "doc_id long, text string")
+    assert [r["lang_pred"] for r in langid.identify(asked, model).orderBy("doc_id").collect()] == ["fr", "en"]
+
+
+def test_language_model_against_plain_code():
+    """Features and probabilities of a text, one subword at a time."""
+    texts = ["Été à Paris", "x", "", "the  cat\nsat"]
+    bucket, owner = langid.subwords(texts)
+    for k, text in enumerate(texts):
+        words = [f" {w} " for w in "".join(c.lower() if c.isalpha() else " " for c in text).split()]
+        wanted = []
+        for size in langid.SIZES:
+            for word in words:
+                for at in range(len(word) - size + 1):
+                    code = 0
+                    for c in word[at:at + size]:
+                        code = (code * 0x100000001B3 + ord(c)) % (1 << 64)
+                    wanted.append(((code ^ size) * 0x9E3779B97F4A7C15) % (1 << 64) >> 48)
+        assert sorted(bucket[owner == k].tolist()) == sorted(wanted)
+    rng = np.random.default_rng(0)
+    model = langid.Model(["a", "b", "c"], rng.normal(size=(langid.BUCKETS, 3)), rng.normal(size=3), 0.7, 0.0)
+    for k, p in enumerate(model.probabilities(texts)):
+        mine = bucket[owner == k]
+        logits = (sum((model.table[b] for b in mine), np.zeros(3)) / max(len(mine), 1) + model.bias) / 0.7
+        assert np.allclose(p, np.exp(logits) / np.exp(logits).sum())
+    group = np.sort(rng.integers(0, 9, 50))
+    rows = rng.normal(size=(50, 4))
+    assert np.allclose(langid.sums_by(group, rows, 12), [rows[group == g].sum(axis=0) for g in range(12)])

@@ -263,3 +263,57 @@ def test_exact_dedup_sql(spark):
     from compare import connect, differences
 
     assert duckdb and differences(exact_dedup.dedup(spark.read.parquet(f"{SF}/documents.parquet"), Scratch(spark, "t")), connect(SF), oracles.EXACT_DEDUP) == []
+
+
+def test_neighbours_with_equal_products(spark):
+    """Different vectors with equal products rank by id, in every block; so do rows that repeat an id."""
+    rows = [(0, [1.0, 0.0, 0.0])] + [(k, [2.0, float(k), float(-k * k % 97)]) for k in range(1, 401)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = neighbours.search(table, Scratch(spark, "near"), F.col("vec_id") == 0, reach=1.0, block=64)
+    assert [r["vec_id"] for r in found.orderBy("rank").collect()] == list(range(1, 21))
+    again = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0])], table.schema)
+    found = neighbours.search(again, Scratch(spark, "near"), F.col("vec_id") == 2)
+    assert [(r["vec_id"], r["score"]) for r in found.orderBy("rank").collect()] == [(1, 1.0), (1, 1.0), (1, 0.5), (3, 0.0)]
+    found = neighbours.search(again, Scratch(spark, "near"), F.col("vec_id") == 1).collect()
+    assert len(found) == 12 and sum(r["vec_id"] == 1 for r in found) == 6
+
+
+def test_neighbours_of_mixed_lengths_and_overflow(spark):
+    rows = [(1, [1e200, 1.0]), (2, [1e200, 0.0]), (3, [-1e200, 5.0]), (4, [1.0, 1.0]), (5, [1.0, 2.0, 3.0]), (6, [3.0, 2.0, 1.0]), (7, [1e200, -1e200]), (8, [5.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.search(table, Scratch(spark, "near"), F.lit(True))
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    inf = float("inf")
+    assert got[2] == [(1, inf), (7, inf), (4, 1e200), (3, -inf)]
+    assert got[5] == [(6, 10.0)] and got[6] == [(5, 10.0)] and 8 not in got
+
+
+def test_archive_with_endless_headers_and_lengths(tmp_path):
+    """Headers of any length are read once; lengths that lead nowhere cost nothing."""
+    import io
+    import time
+    long = warc.record(1, "http://a/" + "x" * 20_000_000, b"<p>one", warc.payload_digest(b"<p>one"), None, False)
+    second = warc.record(2, None, b"two", warc.payload_digest(b"two"), None, False)
+    for packed in (True, False):
+        data = b"".join(map(warc.member, (long, second))) if packed else long + second
+        found = list(warc.salvage(io.BytesIO(data)))
+        assert [(kind, what["record_id"]) for kind, _, _, what in found] == [("record", "<urn:page:1>"), ("record", "<urn:page:2>")]
+    big = warc.record(3, None, b"y" * 30_000_000, warc.payload_digest(b"y" * 30_000_000), None, False)
+    for wrong in (b"Content-Length: 99999999999", b"Content-Length: 29000000", "Content-Length: ٣".encode()):
+        head, _, tail = second.rpartition(b"Content-Length: ")
+        broken = head + wrong + tail[tail.index(b"\r\n"):]
+        start = time.time()
+        found = list(warc.salvage(io.BytesIO(broken + second + big)))
+        assert [kind for kind, *_ in found] == ["gap", "record", "record"] and found[1][3]["record_id"] == "<urn:page:2>"
+        assert time.time() - start < 5
+
+
+def test_many_archives_are_many_tasks(spark, tmp_path):
+    names = []
+    for k in range(12):
+        (tmp_path / f"{k}.warc").write_bytes(warc.record(k, None, b"p", warc.payload_digest(b"p"), None, False))
+        names.append((f"file://{tmp_path}/{k}.warc", 1))
+    found = warc.read_archives(spark.createDataFrame(names, "path string, bytes long").coalesce(1))
+    assert found.select(F.spark_partition_id()).distinct().count() > 4 and found.count() == 12

@@ -116,7 +116,7 @@ def test_names_are_equal_for_equal_windows(monkeypatch):
     for block, before in ((1 << 21, 0), (300, 37), (77, 500)):
         monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
         data = np.concatenate((rng.integers(0, 255, before).astype(np.uint8), core))
-        for gram in (16, *suffix_dedup.LONGER_GRAMS):
+        for gram in (suffix_dedup.GRAM, *suffix_dedup.LONGER_GRAMS):
             at = {}
             for first, last, name, _ in suffix_dedup.named_runs(data, suffix_dedup.window_starts(np.array([0, len(data)])), gram):
                 for a, b, h in zip(first, last, name):
