@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stackweave.functions.kernels import spline_taps
 from stackweave.model import explode_frames, promote, to_pixels
-from stackweave.operators import dictionary, elementwise, normalize, registration, roi
+from stackweave.operators import dictionary, elementwise, normalize, regions_tiled, registration, roi
 from stackweave.plans import fixtures as fx
 from stackweave.plans.pipeline import PipelineParams, run_pipeline
 from stackweave.plans.queries import (
@@ -167,6 +167,35 @@ def split_regions(spark: SparkSession, sf: str) -> DataFrame:
     return roi.split_regions(rows, peaks).select("t", "region", "y", "x", "seg")
 
 
+GROWN = """seeds AS (SELECT l.t, l.region, l.y, l.x, l.y * 8 + l.x + 1 AS seg FROM lab l JOIN peaks p ON p.t = l.t AND p.y = l.y AND p.x = l.x),
+       grow(t, region, seg, y, x, d) AS (SELECT t, region, seg, y, x, 0 FROM seeds UNION SELECT g.t, g.region, g.seg, l.y, l.x, g.d + 1 FROM grow g
+         JOIN lab l ON l.t = g.t AND l.region = g.region AND abs(l.y - g.y) <= 1 AND abs(l.x - g.x) <= 1 WHERE g.d < 40)"""
+
+
+def labelled_tiles(spark: SparkSession, sf: str, scratch: Scratch, size: tuple[int, int]) -> DataFrame:
+    """Frames cut into tiles with their regions and peaks; both are found frame by frame and labelled tile by tile."""
+    marked = roi.mark_peaks(roi.significant_mask(fx.emb_wide(spark, sf), noise=1.0))
+    tiles = scratch.write(regions_tiled.cut_tiles(marked, size, "mask", "peak"))
+    named = regions_tiled.label_tiles(tiles, scratch)
+    return named.join(tiles.select("t", "y0", "x0", "peak"), ["t", "y0", "x0"])
+
+
+@query("SELECT t, region, y, x FROM (SELECT t, y, x, CAST(region AS BIGINT) AS region FROM lab)", EMB, LABELS)
+def label_regions_tiled(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions tied together over the borders of 3 x 3 tiles."""
+    named = labelled_tiles(spark, sf, Scratch(spark, "tiles"), (3, 3))
+    return regions_tiled.tile_pixels(named, "region").where("region > 0").select("t", "region", "y", "x")
+
+
+@query("""SELECT t, CAST(region AS BIGINT) AS region, y, x, CAST(seg AS BIGINT) AS seg FROM grow QUALIFY row_number() OVER (PARTITION BY t, y, x ORDER BY d, seg) = 1""",
+       EMB, LABELS, PEAKS, GROWN)
+def split_regions_tiled(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions divided among all their peaks, grown over the borders of 2 x 3 tiles."""
+    scratch = Scratch(spark, "tiles")
+    cut = regions_tiled.split_tiles(labelled_tiles(spark, sf, scratch, (2, 3)), scratch)
+    return regions_tiled.tile_pixels(cut, "region", "seg").where("seg > 0").select("t", "region", "y", "x", "seg")
+
+
 # -- volumes -------------------------------------------------------------------------------
 
 ZEROED = "z0 AS (SELECT t, z, y, x, v - avg(v) OVER (PARTITION BY t) AS v FROM vol)"
