@@ -41,9 +41,18 @@ class Learned:
         self.b = np.zeros((k, f)) if self.b is None else self.b
 
 
+#: Numbers of a dictionary that the driver and every worker may hold, at most.
+HELD_VALUES = 1 << 25
+
+
 def collect_atoms(atoms: DataFrame, key: str = "atom") -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
-    """Atom numbers, the matrix ``(K, F)`` and the frame shape; larger dictionaries go tile by tile (``one_tile``)."""
-    size = atoms.agg(F.max("h").alias("h"), F.max("w").alias("w")).first()
+    """Atom numbers, the matrix ``(K, F)`` and the frame shape; an error if they are too large to hold.
+
+    Larger dictionaries are learned and used tile by tile (``fit_atoms``, ``tiled``).
+    """
+    size = atoms.agg(F.max("h").alias("h"), F.max("w").alias("w"), F.sum(F.size("px").cast("long")).alias("n")).first()
+    if (size["n"] or 0) > HELD_VALUES:
+        raise ValueError(f"atoms of {size['n']} numbers do not fit one task; learn them with fit_atoms or tiled.learn")
     table = atoms.select(F.col(key).cast("long").alias("k"), "px").orderBy("k").toArrow()
     if len(table) == 0:
         return np.zeros(0, dtype=int), np.zeros((0, 0)), (0, 0)
@@ -60,16 +69,17 @@ def one_tile(atoms: DataFrame) -> tuple[bool, list[int]]:
 
 def fit_atoms(
     frames: DataFrame, init: DataFrame, alpha: float = 1.0, rounds: int = 10, chunks: int = 1, report: list[float] | None = None,
-    scratch: Scratch | None = None,
+    scratch: Scratch | None = None, batch: int | None = None, positive_code: bool = False, positive_dict: bool = False, revive: bool = False, seed: int = 0,
 ) -> DataFrame:
     """Learn from the atoms ``init`` and return the new ones ``(atom, h, w, px)``, for frames of any size.
 
-    Atoms of one tile are learned by ``fit``. Larger ones are cut into tiles; every round then goes over all frames.
+    Atoms of one tile are learned by ``fit``, larger ones in tiles by ``tiled.learn``: the same rounds, options and results.
     """
     fits, _ = one_tile(init)
+    options = {"chunks": chunks, "batch": batch, "positive_code": positive_code, "positive_dict": positive_dict, "revive": revive, "seed": seed, "report": report}
     if fits:
-        return atoms_frame(frames.sparkSession, fit(frames, alpha=alpha, rounds=rounds, chunks=chunks, init=init, report=report))
-    return tiled.fit_tiles(frames, init, alpha, rounds, scratch or Scratch(frames.sparkSession, "tiles"), report=report)
+        return atoms_frame(frames.sparkSession, fit(frames, alpha=alpha, rounds=rounds, init=init, **options))
+    return tiled.fit_tiles(frames, init, alpha, rounds, scratch or Scratch(frames.sparkSession, "tiles"), **options)
 
 
 def initial_atoms(frames: DataFrame, n_atoms: int, seed: int = 0) -> DataFrame:
@@ -145,14 +155,16 @@ def code_statistics(frames: DataFrame, learned: Learned, alpha: float, positive:
 def fit(
     frames: DataFrame, n_atoms: int | None = None, alpha: float = 1.0, rounds: int = 10, chunks: int = 1, seed: int = 0,
     init: DataFrame | None = None, state: Learned | None = None, positive_code: bool = False, positive_dict: bool = False,
-    report: list[float] | None = None, revive: bool = False,
+    report: list[float] | None = None, revive: bool = False, batch: int | None = None,
 ) -> Learned:
     """Learn a dictionary in ``rounds`` passes, round r over chunk ``r % chunks`` of the time axis.
 
     Frames should be shuffled and stored first when ``chunks > 1``: a chunk is a range of
     ``t``, which the scan prunes. Old statistics fade with the number of rounds, so the atoms
     follow the better codes. ``state`` continues an earlier fit. ``report`` collects the mean
-    objective of each round, measured before its update. ``revive`` replaces atoms that no frame uses by
+    objective of each round, measured before its update. ``batch`` learns online instead: every round takes
+    the next so many frames, and old statistics fade with the frames seen (``tiled.kept_share``); give shuffled
+    frames, numbered from 0. ``revive`` replaces atoms that no frame uses by
     random frames of the round's chunk, at most ``K`` of them.
     """
     if state is None:
@@ -165,17 +177,14 @@ def fit(
     if state.atoms.size == 0:
         return state
     learned = Learned(state.atoms.copy(), state.shape, state.a.copy(), state.b.copy(), state.rounds)
-    total = frames.agg(F.max("t") + 1).first()[0] if chunks > 1 else None
+    total = frames.agg(F.max("t") + 1).first()[0] if chunks > 1 or batch else None
     for _ in range(rounds):
-        part = frames
-        if total:
-            c = learned.rounds % chunks
-            part = frames.where((F.col("t") >= total * c // chunks) & (F.col("t") < total * (c + 1) // chunks))
+        part = tiled.round_frames(frames, learned.rounds, total, chunks, batch)
         a, b, loss, seen = code_statistics(part, learned, alpha, positive_code)
         learned.rounds += 1
         if not seen:
             continue
-        keep = 1.0 - 1.0 / learned.rounds
+        keep = tiled.kept_share(learned.rounds, batch)
         learned.a, learned.b = keep * learned.a + a, keep * learned.b + b
         learned.atoms = improve_atoms(learned.atoms, learned.a, learned.b, positive_dict)
         dead = np.nonzero(np.diag(learned.a) <= 1e-12)[0] if revive else []

@@ -145,6 +145,82 @@ def test_tiles_learn_the_same_dictionary(frames_of, rng, monkeypatch):
     np.testing.assert_allclose(parts, whole, rtol=1e-6)
 
 
+@pytest.mark.parametrize("options", [
+    {"chunks": 3}, {"batch": 20}, {"positive_dict": True, "positive_code": True}, {"revive": True, "dead": True},
+], ids=lambda o: next(iter(o)))
+def test_tiles_know_every_option(frames_of, rng, monkeypatch, options):
+    """The same results on both sides of one tile, whatever is asked for."""
+    from stackweave.operators import tiled
+
+    stack = np.abs(rng.normal(size=(50, 3, 4))) if "positive_dict" in options else rng.normal(size=(50, 3, 4))
+    frames, first = frames_of(stack), stack[:3].copy()
+    if options.pop("dead", False):
+        first[1] = 0
+    init = frames_of(first, key="atom")
+    want = array_of(dictionary.fit_atoms(frames, init, alpha=0.3, rounds=4, **options), "atom")
+    monkeypatch.setattr(tiled, "TILE_VALUES", 15)
+    got = array_of(dictionary.fit_atoms(frames, init, alpha=0.3, rounds=4, **options), "atom")
+    np.testing.assert_allclose(got, want, atol=1e-6)
+    assert want.any(axis=(1, 2)).all() and not np.allclose(want, first)
+
+
+def online(x, atoms, alpha, rounds, batch):
+    """Mini-batch learning in plain numpy, atom by atom."""
+    k, passes = len(atoms), -(-len(x) // batch)
+    a, b = np.zeros((k, k)), np.zeros_like(atoms)
+    for step in range(rounds):
+        some = x[step % passes * batch:][:batch]
+        codes = lasso_codes(atoms @ atoms.T, some @ atoms.T, alpha)
+        theta = step * batch if step < batch - 1 else batch**2 + step - batch
+        beta = max(0, (theta + 1 - batch) / (theta + 1))
+        a, b = beta * a + codes.T @ codes, beta * b + codes.T @ some
+        for j in range(k):
+            if a[j, j] > 1e-12:
+                new = atoms[j] + (b[j] - a[j] @ atoms) / a[j, j]
+                atoms = np.vstack([atoms[:j], new / max(1, np.linalg.norm(new)), atoms[j + 1:]])
+    return atoms
+
+
+@pytest.mark.parametrize("batch", [1, 7, 40])
+def test_mini_batches_follow_the_online_algorithm(frames_of, rng, batch):
+    stack = rng.normal(size=(40, 4, 5))
+    learned = dictionary.fit(frames_of(stack), alpha=0.2, rounds=7, init=frames_of(stack[:8], key="atom"), batch=batch)
+    np.testing.assert_allclose(learned.atoms, online(stack.reshape(40, -1), stack[:8].reshape(8, -1), 0.2, 7, batch), atol=1e-7)
+
+
+def test_tile_state_resumes_and_streams(spark, frames_of, rng, tmp_path):
+    from stackweave.operators import tiled
+    from stackweave.session import Scratch
+
+    stack = rng.normal(size=(30, 3, 4))
+    frames, init, scratch = frames_of(stack), frames_of(stack[:3], key="atom"), Scratch(spark, "state")
+    whole = tiled.learn(frames, tiled.start_state(init, scratch, 5), 0.2, 3, scratch, chunks=2)
+    half = tiled.state_from_tables(tiled.state_tables(tiled.learn(frames, tiled.start_state(init, scratch, 5), 0.2, 1, scratch, chunks=2)))
+    again = tiled.learn(frames, half, 0.2, 2, scratch, chunks=2)
+    np.testing.assert_allclose(array_of(tiled.atoms_of(again), "atom"), array_of(tiled.atoms_of(whole), "atom"), atol=1e-9)
+    assert again.rounds == 3 and whole.tiles.count() == 3
+    source, store = str(tmp_path / "in"), DatasetStore(spark, str(tmp_path / "store"))
+    frames.write.parquet(source)
+
+    def run():
+        arriving = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        jobs.stream_fit_tiles(arriving, store, str(tmp_path / "check"), 3, 0.2, rounds=2, seed=1, size=5).awaitTermination()
+        return jobs.load_tiles(store)
+
+    state, epoch = run()
+    want = dictionary.fit(frames, 3, 0.2, 2, seed=1)
+    np.testing.assert_allclose(array_of(tiled.atoms_of(state), "atom").reshape(3, -1), want.atoms, atol=1e-7)
+    frames_of(stack[:9] + 1).write.mode("append").parquet(source)
+    state, epoch = run()
+    assert (state.rounds, epoch) == (4, 1) and {n.split("/")[1] for n in store} == {"000000001"}
+
+
+def test_large_dictionaries_are_not_collected(frames_of, rng, monkeypatch):
+    monkeypatch.setattr(dictionary, "HELD_VALUES", 10)
+    with pytest.raises(ValueError, match="fit_atoms"):
+        dictionary.fit(frames_of(rng.normal(size=(3, 2, 3))), 2, 0.1, 1)
+
+
 @pytest.mark.parametrize("method", ["omp", "lasso"])
 def test_tiles_code_the_same(frames_of, rng, monkeypatch, method):
     from stackweave.operators import tiled
