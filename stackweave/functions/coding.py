@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 
-def lasso_codes(gram: np.ndarray, cov: np.ndarray, alpha: float, n_iter: int = 200, positive: bool = False, tol: float = 1e-6) -> np.ndarray:
+def lasso_codes(gram: np.ndarray, cov: np.ndarray, alpha: float, n_iter: int = 200, positive: bool = False, tol: float = 1e-10) -> np.ndarray:
     """Codes minimising ``0.5 |x - c D|^2 + alpha |c|_1``, each until its own code rests.
 
     Coordinate descent on the Gram form; ``cov`` is ``(frames, atoms)``.

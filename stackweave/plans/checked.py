@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stackweave.functions.kernels import spline_taps
 from stackweave.model import explode_frames, promote, to_pixels
-from stackweave.operators import dictionary, elementwise, normalize, regions_tiled, registration, roi
+from stackweave.operators import dictionary, elementwise, normalize, regions_tiled, registration, roi, tiled
 from stackweave.plans import fixtures as fx
 from stackweave.plans.pipeline import PipelineParams, run_pipeline
 from stackweave.plans.queries import (
@@ -25,10 +25,10 @@ from stackweave.streaming import jobs
 ALPHA = 0.2
 
 
-def one_atom_sql(rounds: int, keys: tuple[str, ...] = ()) -> list[str]:
+def one_atom_sql(rounds: int, keys: tuple[str, ...] = (), batch: int | None = None) -> list[str]:
     """Rounds of learning a single atom as CTEs over ``x(keys, t, y, x, v)`` from ``d0(keys, y, x, v)``.
 
-    Code: soft threshold of the inner product over the atom's square. Statistics: ``a`` of squared codes and ``b``
+    With ``batch``, round r sees the r-th run of so many frames. Code: soft threshold of the inner product over the atom's square. Statistics: ``a`` of squared codes and ``b``
     of code times frame, old ones fading by 1 - 1/round. Atom: ``b / a``, brought into the unit ball.
     """
     k = "".join(f"{c}, " for c in keys)
@@ -37,14 +37,15 @@ def one_atom_sql(rounds: int, keys: tuple[str, ...] = ()) -> list[str]:
     join = "JOIN" if keys else "CROSS JOIN"
     out = [f"a0 AS (SELECT {k} CAST(0 AS DOUBLE) AS a FROM d0 {by or 'LIMIT 1'})", f"b0 AS (SELECT {k} y, x, CAST(0 AS DOUBLE) AS b FROM d0)"]
     for r in range(1, rounds + 1):
-        p, keep = r - 1, repr(1.0 - 1.0 / r)
+        p, keep = r - 1, f"CAST({tiled.kept_share(r, batch)!r} AS DOUBLE)"
+        x = f"(SELECT * FROM x WHERE t >= {(r - 1) * batch} AND t < {r * batch})" if batch else "x"
         out += [
             f"g{r} AS (SELECT {k} sum(v * v) AS g FROM d{p} {by})",
-            f"c{r} AS (SELECT {k} s.t, sum(s.v * d.v) AS c FROM x s JOIN d{p} d USING ({k} y, x) GROUP BY {k} s.t)",
+            f"c{r} AS (SELECT {k} s.t, sum(s.v * d.v) AS c FROM {x} s JOIN d{p} d USING ({k} y, x) GROUP BY {k} s.t)",
             f"k{r} AS (SELECT {k} t, sign(c) * greatest(abs(c) - {ALPHA}, 0) / g AS k FROM c{r} {join} g{r} {using})",
             f"s{r} AS (SELECT {k} sum(k * k) AS s FROM k{r} {by})",
             f"a{r} AS (SELECT {k} {keep} * a + s AS a FROM a{p} {join} s{r} {using})",
-            f"m{r} AS (SELECT {k} y, x, sum(q.k * s.v) AS m FROM x s JOIN k{r} q USING ({k} t) GROUP BY {k} y, x)",
+            f"m{r} AS (SELECT {k} y, x, sum(q.k * s.v) AS m FROM {x} s JOIN k{r} q USING ({k} t) GROUP BY {k} y, x)",
             f"b{r} AS (SELECT {k} y, x, {keep} * b + m AS b FROM b{p} JOIN m{r} USING ({k} y, x))",
             f"n{r} AS (SELECT {k} y, x, CASE WHEN a > 1e-12 THEN v + (b - a * v) / a ELSE v END AS v, a FROM d{p} JOIN b{r} USING ({k} y, x) {join} a{r} {using})",
             f"u{r} AS (SELECT {k} greatest(1, sqrt(sum(v * v))) AS u FROM n{r} {by})",
@@ -89,6 +90,68 @@ def stream_dict_fit_one(spark: SparkSession, sf: str) -> DataFrame:
     return atom_rows(dictionary.atoms_frame(spark, jobs.load_state(store)[0]))
 
 
+@query(atom_out(3), EMB, *ONE, *one_atom_sql(3))
+def dict_fit_one_tiled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rounds with atom and statistics in tiles of 20 pixels, the state through its tables after one round."""
+    frames, scratch = fx.emb_wide(spark, sf), Scratch(spark, "tiles")
+    state = tiled.start_state(dictionary.initial_atoms(frames, 1, SEED), scratch, 20)
+    state = tiled.state_from_tables(tiled.state_tables(tiled.learn(frames, state, ALPHA, 1, scratch)))
+    return atom_rows(tiled.atoms_of(tiled.learn(frames, state, ALPHA, 2, scratch)))
+
+
+@query(atom_out(3), EMB, *ONE, *one_atom_sql(3, batch=64))
+def dict_fit_one_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Online learning: three mini-batches of 64 frames, one after the other."""
+    frames = fx.emb_wide(spark, sf)
+    return atom_rows(dictionary.atoms_frame(spark, dictionary.fit(frames, 1, alpha=ALPHA, rounds=3, seed=SEED, batch=64)))
+
+
+def two_atoms_sql(rounds: int) -> list[str]:
+    """Rounds of learning two atoms: the lasso in closed form over all sign patterns, then one atom after the other.
+
+    Of the codes with no atom, one, or both with given signs, the best is the lasso's; a pattern counts if its solution has those signs.
+    """
+    both = [f"SELECT t, (g11 * (c0 - {p}) - g01 * (c1 - {q})) / det AS k0, (g00 * (c1 - {q}) - g01 * (c0 - {p})) / det AS k1, {i} AS s0, {j} AS s1, c0, c1, g00, g01, g11 FROM q{{r}}"
+            for i, p in ((1, ALPHA), (-1, -ALPHA)) for j, q in ((1, ALPHA), (-1, -ALPHA))]
+    out = ["a0 AS (SELECT CAST(0 AS DOUBLE) AS a00, CAST(0 AS DOUBLE) AS a01, CAST(0 AS DOUBLE) AS a11)", "b0 AS (SELECT y, x, CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1 FROM d0)"]
+    for r in range(1, rounds + 1):
+        p, keep = r - 1, f"CAST({1.0 - 1.0 / r!r} AS DOUBLE)"
+        out += [
+            f"g{r} AS (SELECT sum(v0 * v0) AS g00, sum(v0 * v1) AS g01, sum(v1 * v1) AS g11 FROM d{p})",
+            f"q{r} AS (SELECT *, g00 * g11 - g01 * g01 AS det FROM (SELECT e.t, sum(e.v * v0) AS c0, sum(e.v * v1) AS c1 FROM emb e JOIN d{p} d USING (y, x) GROUP BY e.t) CROSS JOIN g{r})",
+            f"""p{r} AS (SELECT t, CAST(0 AS DOUBLE) AS k0, CAST(0 AS DOUBLE) AS k1, 0 AS s0, 0 AS s1, c0, c1, g00, g01, g11 FROM q{r}
+              UNION ALL SELECT t, sign(c0) * greatest(abs(c0) - {ALPHA}, 0) / g00, 0, sign(c0), 0, c0, c1, g00, g01, g11 FROM q{r}
+              UNION ALL SELECT t, 0, sign(c1) * greatest(abs(c1) - {ALPHA}, 0) / g11, 0, sign(c1), c0, c1, g00, g01, g11 FROM q{r}
+              UNION ALL {" UNION ALL ".join(b.format(r=r) for b in both)})""",
+            f"""k{r} AS (SELECT t, k0, k1 FROM p{r} WHERE k0 * s0 >= 0 AND k1 * s1 >= 0
+              QUALIFY row_number() OVER (PARTITION BY t ORDER BY 0.5 * (k0*k0*g00 + 2*k0*k1*g01 + k1*k1*g11) - k0*c0 - k1*c1 + {ALPHA} * (abs(k0) + abs(k1))) = 1)""",
+            f"a{r} AS (SELECT {keep} * any_value(a.a00) + sum(k0*k0) AS a00, {keep} * any_value(a.a01) + sum(k0*k1) AS a01, {keep} * any_value(a.a11) + sum(k1*k1) AS a11 FROM k{r} CROSS JOIN a{p} a)",
+            f"""b{r} AS (SELECT y, x, {keep} * any_value(b.b0) + sum(k0 * e.v) AS b0, {keep} * any_value(b.b1) + sum(k1 * e.v) AS b1 FROM emb e JOIN k{r} USING (t) JOIN b{p} b USING (y, x) GROUP BY y, x)""",
+            f"n{r} AS (SELECT y, x, v0 + (b0 - a00 * v0 - a01 * v1) / a00 AS w, v1, b1, a01, a11 FROM d{p} JOIN b{r} USING (y, x) CROSS JOIN a{r})",
+            f"m{r} AS (SELECT y, x, w / greatest(1, sqrt(sum(w * w) OVER ())) AS v0, v1, b1, a01, a11 FROM n{r})",
+            f"o{r} AS (SELECT y, x, v0, v1 + (b1 - a01 * v0 - a11 * v1) / a11 AS w FROM m{r})",
+            f"d{r} AS (SELECT y, x, v0, w / greatest(1, sqrt(sum(w * w) OVER ())) AS v1 FROM o{r})",
+        ]
+    return out
+
+
+TWO = f"""d0 AS (SELECT y, x, max(v) FILTER (place = 1) AS v0, max(v) FILTER (place = 2) AS v1 FROM emb JOIN (SELECT vec_id AS t,
+  row_number() OVER (ORDER BY md5(vec_id || ':{SEED}'), vec_id) AS place FROM embeddings QUALIFY place <= 2) USING (t) GROUP BY y, x)"""
+
+
+@query("""SELECT CAST(0 AS BIGINT) AS atom, y, x, round(v0, 6) + 0.0 AS v FROM d2 UNION ALL SELECT CAST(1 AS BIGINT), y, x, round(v1, 6) + 0.0 FROM d2""", EMB, TWO, *two_atoms_sql(2))
+def dict_fit_two(spark: SparkSession, sf: str) -> DataFrame:
+    """Two atoms, two rounds: codes that share, statistics that couple, atoms updated one after the other."""
+    return atom_rows(dictionary.atoms_frame(spark, dictionary.fit(fx.emb_wide(spark, sf), 2, alpha=ALPHA, rounds=2, seed=SEED)))
+
+
+@query("""SELECT CAST(0 AS BIGINT) AS atom, y, x, round(v0, 6) + 0.0 AS v FROM d2 UNION ALL SELECT CAST(1 AS BIGINT), y, x, round(v1, 6) + 0.0 FROM d2""", EMB, TWO, *two_atoms_sql(2))
+def dict_fit_two_tiled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in tiles of 24 pixels, where the update is a matrix on inner products."""
+    frames, scratch = fx.emb_wide(spark, sf), Scratch(spark, "tiles")
+    return atom_rows(tiled.fit_tiles(frames, dictionary.initial_atoms(frames, 2, SEED), ALPHA, 2, scratch, size=24))
+
+
 BLOCK_T = 128
 BLOCKS = ["x AS (SELECT e.t, e.y, e.x, e.v, s.tb, e.y // 4 AS yb, e.x // 4 AS xb FROM emb e JOIN share s ON s.tb = e.t // 128)",
           f"first AS (SELECT vec_id // 128 AS tb, vec_id AS t FROM embeddings QUALIFY row_number() OVER (PARTITION BY vec_id // 128 ORDER BY md5(vec_id || ':{SEED}')) = 1)",
