@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from html.parser import HTMLParser
 
@@ -25,7 +26,8 @@ BLOCKS = SPACED | LINED | HIDDEN | frozenset("select textarea table tr td th cap
 CLOSES_P = (SPACED | LINED) - frozenset("body html legend option optgroup".split())
 CELLS, SECTIONS = frozenset(("td", "th")), frozenset(("thead", "tbody", "tfoot"))
 WALLS = frozenset(("table", "td", "th", "caption", "template", "button"))
-UNSEEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
+IMPORTANT = re.compile(r"\s*!\s*important$")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 COLUMN_GAP = "  "
 
@@ -82,47 +84,79 @@ class Layout:
         return "\n".join(self.lines).strip("\n")
 
 
+def declared(style: str | None, wanted: tuple[str, ...] = ("display", "visibility")) -> dict[str, str]:
+    """Values of the wanted properties in a style attribute: the last declaration counts, an important one more."""
+    found: dict[str, tuple[bool, str]] = {}
+    for declaration in COMMENT.sub(" ", style or "").split(";"):
+        name, colon, value = declaration.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        if colon and value and name in wanted:
+            plain, marks = IMPORTANT.subn("", value)
+            if marks or not found.get(name, (False, ""))[0]:
+                found[name] = (bool(marks), plain)
+    return {name: value for name, (_, value) in found.items()}
+
+
 class Table:
-    """Cells by row; a cell that spans several rows keeps its columns taken in them."""
+    """Cells by row; a cell that spans several rows keeps its columns taken in them.
+
+    Taken columns are intervals ``(first, end, rows left)``, one per such cell, however many columns it spans.
+    """
 
     def __init__(self, outer: Layout):
-        self.outer, self.rows, self.taken, self.caption = outer, [], Counter(), ""
+        self.outer, self.rows, self.taken, self.caption = outer, [], [], ""
 
     def row(self) -> None:
-        self.taken = Counter({c: n - 1 for c, n in self.taken.items() if n > 1})
+        self.taken = [(first, end, left - 1) for first, end, left in self.taken if left > 1]
+        self.taken.sort()
         self.rows.append([])
-        self.next = 0
+        self.next, self.free = 0, 0
 
     def cell(self, text: str, columns: int, rows: int) -> None:
         if not self.rows:
             self.row()
-        while self.taken[self.next] > 0:
-            self.next += 1
-        self.rows[-1].append((self.next, columns, " ".join(text.split("\n")).strip()))
-        if rows > 1:
-            for c in range(self.next, self.next + columns):
-                self.taken[c] = rows
+        # Cells of a row come from left to right, so the intervals are passed once.
+        while self.free < len(self.taken) and self.taken[self.free][0] <= self.next:
+            self.next = max(self.next, self.taken[self.free][1])
+            self.free += 1
+        self.rows[-1].append((self.next, columns, rows, text.split("\n")))
         self.next += columns
 
+    def end_row(self) -> None:
+        """The cells of a finished row that go on below it."""
+        self.taken += [(at, at + columns, rows) for at, columns, rows, _ in self.rows[-1] if rows > 1] if self.rows else []
+
     def lines(self) -> list[str]:
-        """Rows with their cells padded to the widest single-column cell of each column."""
-        width: Counter = Counter()
+        """Rows with their cells in columns: each as wide as its widest cell, the last of a spanning cell's as it needs.
+
+        A cell of several lines keeps them; the cells of a row stand side by side from its first line on.
+        """
+        starts = sorted({at for row in self.rows for at, *_ in row})
+        width = [0] * len(starts)
+        wide = []
         for row in self.rows:
-            for at, columns, text in row:
-                if columns == 1:
-                    width[at] = max(width[at], len(text))
+            for at, columns, _, lines in row:
+                first, end = bisect_left(starts, at), bisect_left(starts, at + columns)
+                longest = max(map(len, lines))
+                if end - first == 1:
+                    width[first] = max(width[first], longest)
+                else:
+                    wide.append((end - first, first, end, longest))
+        for _, first, end, longest in sorted(wide):
+            held = sum(width[first:end]) + len(COLUMN_GAP) * (end - first - 1)
+            width[end - 1] += max(0, longest - held)
         places, at = {}, 0
-        for c in sorted({c for row in self.rows for start, _, _ in row for c in (start,)}):
-            places[c], at = at, at + width[c] + len(COLUMN_GAP)
+        for start, columns in zip(starts, width):
+            places[start], at = at, at + columns + len(COLUMN_GAP)
         out = [self.caption] if self.caption else []
         for row in self.rows:
-            line = ""
-            for start, _, text in row:
-                # A wide cell before may have run past this column.
-                line = line.ljust(places[start]) if len(line) <= places[start] else line + COLUMN_GAP
-                line += text
-            if line.strip():
-                out.append(line.rstrip())
+            for k in range(max((len(lines) for *_, lines in row), default=0)):
+                line = ""
+                for start, _, _, lines in row:
+                    if k < len(lines) and lines[k]:
+                        line = line.ljust(places[start]) + lines[k]
+                if line.strip():
+                    out.append(line.rstrip())
         return out
 
 
@@ -137,6 +171,7 @@ class Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[str] = []
+        self.shown: list[bool] = []  # visibility of each open element, which its children may change
         self.count: Counter = Counter()
         self.hidden_from: int | None = None
         self.layouts = [Layout()]
@@ -166,6 +201,7 @@ class Page(HTMLParser):
 
     def push(self, tag: str, attrs: dict) -> None:
         self.open.append(tag)
+        self.shown.append(self.visible(attrs))
         self.count[tag] += 1
         if self.hidden_from is None:
             if self.unseen(tag, attrs):
@@ -175,6 +211,7 @@ class Page(HTMLParser):
 
     def pop(self) -> None:
         tag = self.open.pop()
+        self.shown.pop()
         self.count[tag] -= 1
         if self.hidden_from is None:
             self.leave(tag)
@@ -182,11 +219,18 @@ class Page(HTMLParser):
             self.hidden_from = None
 
     def unseen(self, tag: str, attrs: dict) -> bool:
-        if tag in HIDDEN or "hidden" in attrs or (tag == "dialog" and "open" not in attrs):
+        """Whether an element and all in it take no part in the layout."""
+        display = declared(attrs.get("style")).get("display")
+        if tag in HIDDEN or display == "none":
             return True
-        if self.open[-2:-1] == ["details"] and tag != "summary" and self.folded:
+        if display is None and ("hidden" in attrs or (tag == "dialog" and "open" not in attrs)):
             return True
-        return bool(UNSEEN_STYLE.search(attrs.get("style") or ""))
+        return self.open[-2:-1] == ["details"] and tag != "summary" and self.folded
+
+    def visible(self, attrs: dict) -> bool:
+        """Whether the text of an element is seen; it takes its place in the layout in any case."""
+        told = declared(attrs.get("style")).get("visibility")
+        return told == "visible" if told in ("visible", "hidden", "collapse") else not self.shown or self.shown[-1]
 
     def handle_starttag(self, tag: str, pairs: list) -> None:
         attrs = dict(reversed(pairs))
@@ -227,7 +271,7 @@ class Page(HTMLParser):
             if tag in CELLS and self.open[-1] != "tr":
                 self.push("tr", {})
         if tag in VOID:
-            if self.hidden_from is None and not self.unseen(tag, attrs):
+            if self.hidden_from is None and not self.unseen(tag, attrs) and self.visible(attrs):
                 self.void(tag)
             return
         self.push(tag, attrs)
@@ -246,7 +290,7 @@ class Page(HTMLParser):
             place = self.scope({tag}, WALLS - {tag} if tag != "table" else frozenset())
             if place is not None and place != self.hidden_from and tag not in BLOCKS and BLOCKS.intersection(self.open[place + 1 :]):
                 # An inline element ends inside a block that it began before: the block stays open.
-                del self.open[place]
+                del self.open[place], self.shown[place]
                 self.count[tag] -= 1
                 if self.hidden_from is not None and self.hidden_from > place:
                     self.hidden_from -= 1
@@ -256,7 +300,7 @@ class Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1] == "head" and data.strip():
             self.pop()
-        if self.hidden_from is None and not (self.open and self.open[-1] == "details" and self.folded):
+        if self.hidden_from is None and not (self.shown and not self.shown[-1]) and not (self.open and self.open[-1] == "details" and self.folded):
             outside = self.tables and (not self.open or self.open[-1] in ("table", "tr") or self.open[-1] in SECTIONS)
             if not outside:
                 self.layouts[-1].text(data, self.kept > 0)
@@ -287,7 +331,7 @@ class Page(HTMLParser):
                 marker = f"{kind[1]}. "
                 kind[1] += 1
             lay.prefixes.append(" " * len(marker))
-            lay.marker = marker
+            lay.marker = marker if self.shown[-1] else ""
         elif tag == "blockquote":
             lay.prefixes.append("> ")
         elif tag == "dd":
@@ -312,6 +356,9 @@ class Page(HTMLParser):
             else:
                 self.tables[-1].cell(text, *span)
             return
+        if tag == "tr":
+            self.tables[-1].end_row()
+            return
         lay = self.layouts[-1]
         if tag == "table":
             lay.end_line()
@@ -352,8 +399,11 @@ def visible_text(html: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with ``text``, the visible text of ``html``, which is left out.
 
-    A narrow map, one page at a time. Null and empty pages give empty texts, repeated rows repeated
-    results, an empty table an empty one; a column ``text`` of the table gives way.
+    A narrow map, one page at a time; a page of any length must fit its task, and the work grows with it (with the
+    number of cells times those that reach into their row, in tables). Visibility follows the tags, the attributes ``hidden``, ``open`` and
+    ``style``; rules of style sheets are not applied. Null and empty pages give empty texts, repeated rows repeated
+    results, an empty table an empty one; a column ``text`` of the table gives way. Of several cells that need a
+    column wider, the widest counts; a cell over several columns widens its last one.
     """
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
