@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from stackweave.functions.kernels import spline_taps
 from stackweave.model import explode_frames, promote, to_pixels
-from stackweave.operators import dictionary, elementwise, normalize, regions_tiled, registration, roi, tiled
+from stackweave.operators import dictionary, elementwise, normalize, regions_tiled, registration, registration_slabs, roi, tiled
 from stackweave.plans import fixtures as fx
 from stackweave.plans.pipeline import PipelineParams, run_pipeline
 from stackweave.plans.queries import (
-    BOUNDS, EMB, HMEAN, LABELS, MEDIAN, NOISE, ORACLES, PEAKS, PROPS, SEED, SIGNIFICANT, SMALL, peak_rows, pixels, query, region_pixels, rounded, smooth_sql,
+    BOUNDS, EMB, HMEAN, LABELS, MEDIAN, NOISE, ORACLES, PEAKS, PROPS, SEED, SHIFTS, SIGNIFICANT, SMALL, peak_rows, pixels, query, region_pixels, rounded, smooth_sql,
     VOL, store_at, taps_sql, volumes,
 )
 from stackweave.session import Scratch
@@ -372,6 +372,51 @@ def register_images(spark: SparkSession, sf: str) -> DataFrame:
     return pixels(registration.register(frames, rounds=2)[0])
 
 
+@query("SELECT t, dy, dx FROM moved", *TWO_ROUNDS)
+def register_two_rounds_slabs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rounds with frames in slabs of three rows, and spectra in runs of two columns."""
+    scratch = Scratch(spark, "slabs")
+    slabs = scratch.write(registration_slabs.cut_slabs(drifting(spark, sf), 3))
+    found, _ = registration_slabs.estimate_shifts(slabs, scratch, rounds=2, columns=2)
+    return found.select("t", F.col("shift")[0].alias("dy"), F.col("shift")[1].alias("dx"))
+
+
+@query("SELECT t, y, x, round(v, 6) + 0.0 AS v FROM (SELECT t, CAST((y + dy + 16) % 8 AS INTEGER) AS y, CAST((x + dx + 16) % 8 AS INTEGER) AS x, v FROM emb JOIN shifts USING (t))", EMB, SHIFTS)
+def roll_slabs(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames in slabs of three rows, rolled by a given table of shifts."""
+    slabs = registration_slabs.cut_slabs(fx.emb_wide(spark, sf), 3)
+    moved = registration_slabs.roll_slabs(slabs, fx.shifts(spark, sf).select("t", F.array("dy", "dx").alias("shift")), 3)
+    return rounded(registration_slabs.slab_pixels(moved), "v")
+
+
+SPOT = "3 / (1 + pow((z - (t % 3 - 1) + 4) % 4 - 1, 2) + pow((y - t % 2 + 4) % 4 - 2, 2) + pow((x + t % 2) % 4 - 1, 2))"
+
+
+def matched_volumes_sql(name: str, template: str) -> list[str]:
+    axes = "zyx"
+    places = ", ".join(f"(q.{a} - i.{a} + 4) % 4 AS o{a}" for a in axes)
+    turned = ", ".join(f"CASE WHEN o{a} > 2 THEN o{a} - 4 ELSE o{a} END AS d{a}" for a in axes)
+    return [
+        f"o{name} AS (SELECT i.t, {places}, sum(i.v * q.m) AS s FROM inv i, {template} q GROUP BY ALL)",
+        f"{name} AS (SELECT t, {turned} FROM o{name} QUALIFY row_number() OVER (PARTITION BY t ORDER BY s DESC) = 1)",
+        f"{name}_drift AS (SELECT {', '.join(f'round_even(avg(d{a}), 0) AS d{a}' for a in axes)} FROM {name})",
+    ]
+
+
+@query(f"SELECT t, {', '.join(f'CAST(r.d{a} - d.d{a} AS INTEGER) AS d{a}' for a in 'zyx')} FROM r2 r CROSS JOIN r2_drift d", EMB, VOL,
+       f"src AS (SELECT t, z, y, x, v + {SPOT} AS v FROM vol)", "inv AS (SELECT t, z, y, x, 1 / (v - ((SELECT min(v) FROM src) - 1)) AS v FROM src)",
+       "tm1 AS (SELECT z, y, x, avg(v) AS m FROM inv GROUP BY ALL)", *matched_volumes_sql("r1", "tm1"),
+       f"rolled AS (SELECT {', '.join(f'CAST((i.{a} + r.d{a} - d.d{a} + 8) % 4 AS INTEGER) AS {a}' for a in 'zyx')}, i.v FROM inv i JOIN r1 r USING (t) CROSS JOIN r1_drift d)",
+       "tm2 AS (SELECT z, y, x, 0.25 * any_value(tm1.m) + 0.75 * avg(rolled.v) AS m FROM rolled JOIN tm1 USING (z, y, x) GROUP BY ALL)", *matched_volumes_sql("r2", "tm2"))
+def register_volumes(spark: SparkSession, sf: str) -> DataFrame:
+    """Two rounds on volumes of three axes, in slabs of two planes."""
+    scratch = Scratch(spark, "volumes")
+    bright = volumes(spark, sf).withColumn("v", F.col("v") + F.expr(SPOT.replace("3 /", "3D /", 1)))
+    slabs = scratch.write(registration_slabs.volume_slabs(bright, (4, 4, 4), 2))
+    found, _ = registration_slabs.estimate_shifts(slabs, scratch, rounds=2, columns=5)
+    return found.select("t", *[F.col("shift")[k].alias(f"d{a}") for k, a in enumerate("zyx")])
+
+
 # -- stored stages of the workflow ---------------------------------------------------------
 
 TRIMMED = EMB.replace("emb AS", "whole AS") + ", emb AS (SELECT t - 1 AS t, y, x, v FROM whole WHERE t >= 1 AND t < (SELECT max(t) FROM whole))"
