@@ -31,9 +31,12 @@ def lasso_codes(gram: np.ndarray, cov: np.ndarray, alpha: float, n_iter: int = 2
     return codes
 
 
-def omp_codes(gram: np.ndarray, cov: np.ndarray, k: int) -> np.ndarray:
+def omp_codes(gram: np.ndarray, cov: np.ndarray, k: int, squares: np.ndarray | None = None, tol: float | None = None) -> np.ndarray:
     """Orthogonal matching pursuit with at most ``k`` atoms per frame.
 
+    With ``tol`` a frame also stops once the square of its residual is ``tol`` or less; ``squares`` are the
+    frames' own squares then.
+
     The inverse of the chosen atoms' Gram matrix grows by one row and column per step, so a step costs
     the square of the number chosen. A frame stops when no atom pulls any more, or the strongest one is
     a combination of those it has.
@@ -42,6 +45,12 @@ def omp_codes(gram: np.ndarray, cov: np.ndarray, k: int) -> np.ndarray:
     live = np.arange(len(cov))
     chosen, inverse = np.zeros((len(cov), 0), dtype=int), np.zeros((len(cov), 0, 0))
     for _ in range(min(k, cov.shape[1])):
+        if tol is not None:
+            # What is left is square to the chosen atoms, so its square follows from codes and products.
+            far = squares[live] - (codes[live] * cov[live]).sum(axis=1) > tol
+            live, chosen, inverse = live[far], chosen[far], inverse[far]
+            if not len(live):
+                break
         pull = np.abs(cov[live] - codes[live] @ gram)
         np.put_along_axis(pull, chosen, -1.0, axis=1)
         best = pull.argmax(axis=1)
@@ -66,6 +75,66 @@ def omp_codes(gram: np.ndarray, cov: np.ndarray, k: int) -> np.ndarray:
     return codes
 
 
+def lasso_path(gram: np.ndarray, cov: np.ndarray, alpha: float = 0.0, positive: bool = False) -> list[tuple[float, np.ndarray]]:
+    """The lasso's solutions of one frame as its weight falls to ``alpha``: ``(weight, codes)`` at every knot.
+
+    Codes are linear in the weight between knots (least angles with the lasso's condition). At a knot an atom joins, as
+    its pull reaches the common one, or leaves, as its code reaches zero. The inverse of the active atoms' Gram matrix
+    grows and shrinks by one row and column; an atom that is a combination of the active ones never joins.
+    """
+    k = len(cov)
+    codes, active, signs, inverse = np.zeros(k), [], [], np.zeros((0, 0))
+    barred = np.diag(gram) <= 1e-12
+    pull = cov.astype(float)
+    strength = pull if positive else np.abs(pull)
+    weight = float(np.where(barred, -np.inf, strength).max(initial=-np.inf))
+    if weight <= max(alpha, 0.0):
+        return [(max(alpha, 0.0), codes)]
+    knots, small = [(weight, codes.copy())], 1e-12 * weight
+    joining, left = int(np.where(barred, -np.inf, strength).argmax()), -1
+    for _ in range(16 * k + 16):
+        if joining >= 0:
+            beside = gram[active, joining] if active else np.zeros(0)
+            along = inverse @ beside
+            fresh = gram[joining, joining] - beside @ along
+            if fresh <= 1e-10 * gram[joining, joining]:
+                barred[joining] = True
+            else:
+                inverse = np.block([[inverse + np.outer(along, along) / fresh, -along[:, None] / fresh], [-along[None] / fresh, np.array([[1 / fresh]])]])
+                active.append(joining)
+                signs.append(1.0 if pull[joining] > 0 else -1.0)
+        step = inverse @ np.array(signs)
+        rate = gram[:, active] @ step if active else np.zeros(k)
+        end, event = weight - alpha, ("end", -1)
+        for j in range(k):
+            if j in active or barred[j]:
+                continue
+            for side in (1.0,) if positive else (1.0, -1.0):
+                gap, speed = weight - side * pull[j], 1.0 - side * rate[j]
+                if speed > 1e-12 and (j != left or gap > small) and max(gap, 0.0) / speed < end:
+                    end, event = max(gap, 0.0) / speed, ("join", j)
+        for place, j in enumerate(active):
+            if codes[j] * step[place] < 0 and -codes[j] / step[place] < end:
+                end, event = -codes[j] / step[place], ("leave", place)
+        codes[active] += end * step
+        weight -= end
+        pull = cov - gram @ codes
+        joining = left = -1
+        if event[0] == "join":
+            joining = event[1]
+        elif event[0] == "leave":
+            place = event[1]
+            left = active[place]
+            codes[left] = 0.0
+            rest = [p for p in range(len(active)) if p != place]
+            inverse = inverse[np.ix_(rest, rest)] - np.outer(inverse[rest, place], inverse[place, rest]) / inverse[place, place]
+            active, signs = [active[p] for p in rest], [signs[p] for p in rest]
+        knots.append((weight, codes.copy()))
+        if event[0] == "end":
+            break
+    return knots
+
+
 def improve_atoms(atoms: np.ndarray, a: np.ndarray, b: np.ndarray, positive: bool = False) -> np.ndarray:
     """One block-coordinate update of all atoms, each projected to the unit ball."""
     out = atoms.copy()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.functions.coding import improve_atoms, lasso_codes, omp_codes
+from stackweave.functions.coding import improve_atoms, lasso_codes, lasso_path, omp_codes
 from stackweave.model import batch_stacks, explode_frames, frame_batch, frame_total
 from stackweave.operators import tiled
 from stackweave.operators.blocks import PIECES, block_array, cut_blocks, pieces_to_frames
@@ -228,26 +228,69 @@ def gram(atoms: DataFrame) -> DataFrame:
     return pairs.withColumnRenamed("atom", "i")
 
 
+METHODS = ("omp", "lasso", "lars")
+
+
+def coder(method: str, limit: int, alpha: float, max_iter: int, positive: bool, tol: float | None) -> Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """The codes of frames as a function of the Gram matrix, the frames' products with the atoms and their squares."""
+    if method == "omp":
+        return lambda g, cov, squares: omp_codes(g, cov, limit, squares, tol)
+    if method == "lasso":
+        return lambda g, cov, squares: lasso_codes(g, cov, alpha, max_iter, positive)
+    return lambda g, cov, squares: np.array([lasso_path(g, c, alpha, positive)[-1][1] for c in cov]).reshape(cov.shape)
+
+
+def encode_path(frames: DataFrame, atoms: DataFrame, alpha: float = 0.0, positive: bool = False) -> DataFrame:
+    """Every knot of each frame's lasso path down to ``alpha``: ``(t, knot, weight, atom, coef)``, non-zero codes only.
+
+    The products come from ``correlate``, so atoms may be of any size; a task follows the paths of its frames.
+    """
+    _, numbers = one_tile(atoms)
+    kind = "t long, knot int, weight double, atom long, coef double"
+    if not numbers:
+        return frames.sparkSession.createDataFrame([], kind)
+    g = np.zeros((len(numbers),) * 2)
+    place = {n: k for k, n in enumerate(numbers)}
+    for row in gram(atoms).collect():  # K x K numbers
+        g[place[row["i"]], place[row["j"]]] = row["value"]
+    rows = correlate(frames, atoms).groupBy("t").agg(F.array_sort(F.collect_list(F.struct("atom", "value"))).alias("c"))
+
+    def follow(batches):
+        for batch in batches:
+            t, knot, weight, atom, coef = [], [], [], [], []
+            for frame, cells in zip(batch.column("t").to_pylist(), batch.column("c")):
+                cov = cells.values.field("value").to_numpy(zero_copy_only=False)
+                for k, (w, codes) in enumerate(lasso_path(g, cov, alpha, positive)):
+                    for j in np.nonzero(codes)[0]:
+                        t.append(frame), knot.append(k), weight.append(w), atom.append(numbers[j]), coef.append(codes[j])
+            yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(knot, pa.int32()), pa.array(weight, pa.float64()), pa.array(atom, pa.int64()),
+                                              pa.array(coef, pa.float64())], names=["t", "knot", "weight", "atom", "coef"])
+
+    return rows.mapInArrow(follow, kind)
+
+
 def sparse_encode(
     frames: DataFrame, atoms: DataFrame, method: str = "omp", k: int | None = None, alpha: float = 1.0, max_iter: int = 1000,
-    positive: bool = False,
+    positive: bool = False, tol: float | None = None,
 ) -> DataFrame:
     """Non-zero coefficients ``(atom, t, coef)`` of every frame.
 
     ``omp`` uses at most ``k`` atoms per frame; without ``k`` a tenth of the pixels, but not
-    more than there are atoms. ``lasso`` uses ``alpha``.
+    more than there are atoms (all of them with ``tol``), and stops once the square of the residual is ``tol``. ``lasso``
+    and ``lars`` use ``alpha``: coordinate descent, or the exact solution by following its path.
     """
-    if method not in ("omp", "lasso"):
+    if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
     fits, numbers = one_tile(atoms)
     if not numbers:
         return frames.sparkSession.createDataFrame([], "atom long, t long, coef double")
     if not fits:
         pixels = atoms.agg(F.max(F.size("px"))).first()[0]
-        most = k if k is not None else min(max(pixels // 10, 1), len(numbers))
-        return tiled.encode(frames, atoms, numbers, method, most, alpha, max_iter, positive)
+        most = k if k is not None else len(numbers) if tol is not None else min(max(pixels // 10, 1), len(numbers))
+        return tiled.encode(frames, atoms, numbers, coder(method, most, alpha, max_iter, positive, tol))
     ids, matrix, _ = collect_atoms(atoms)
-    limit = k if k is not None else min(max(matrix.shape[1] // 10, 1), len(ids))
+    limit = k if k is not None else len(ids) if tol is not None else min(max(matrix.shape[1] // 10, 1), len(ids))
+    code = coder(method, limit, alpha, max_iter, positive, tol)
     sent = frames.sparkSession.sparkContext.broadcast((ids, matrix))
 
     def encode(batches):
@@ -256,8 +299,8 @@ def sparse_encode(
         for batch in batches:
             t = batch.column("t").to_numpy()
             for rows, stack in batch_stacks(batch):
-                cov = stack.reshape(len(stack), -1) @ d.T
-                codes = omp_codes(g, cov, limit) if method == "omp" else lasso_codes(g, cov, alpha, max_iter, positive)
+                x = stack.reshape(len(stack), -1)
+                codes = code(g, x @ d.T, (x * x).sum(axis=1))
                 at, j = np.nonzero(codes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[j], pa.int64()), pa.array(t[rows][at], pa.int64()), pa.array(codes[at, j])],

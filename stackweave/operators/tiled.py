@@ -6,7 +6,7 @@ No task holds more than a tile of all atoms and a run of frames' tiles; the driv
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stackweave.functions.coding import lasso_codes, omp_codes
+from stackweave.functions.coding import lasso_codes
 from stackweave.operators.sampling import sample_frames
 from stackweave.operators.sums import FAN_IN, PARTS, pieces, sum_pieces
 from stackweave.session import Scratch
@@ -101,8 +101,8 @@ def gram_matrix(tiles: DataFrame, n_rows: int) -> np.ndarray:
     return sums[0].reshape(n_rows, n_rows) if sums else np.zeros((n_rows, n_rows))
 
 
-def encode(frames: DataFrame, atoms: DataFrame, ids: list[int], method: str, limit: int, alpha: float, max_iter: int, positive: bool) -> DataFrame:
-    """Non-zero coefficients ``(atom, t, coef)``; ``ids`` are the atoms' numbers in order."""
+def encode(frames: DataFrame, atoms: DataFrame, ids: list[int], coder: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """Non-zero coefficients ``(atom, t, coef)`` by ``coder(gram, products, squares)``; ``ids`` are the atoms' numbers in order."""
     n = len(ids)
     tiles = atom_tiles(atoms, n)
     gram = gram_matrix(tiles, n)
@@ -111,8 +111,8 @@ def encode(frames: DataFrame, atoms: DataFrame, ids: list[int], method: str, lim
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                t, cov = batch.column("t").to_numpy(), _rows(batch.column("c"))[:, :-1]
-                codes = omp_codes(gram, cov, limit) if method == "omp" else lasso_codes(gram, cov, alpha, max_iter, positive)
+                t, cov = batch.column("t").to_numpy(), _rows(batch.column("c"))
+                codes = coder(gram, cov[:, :-1], cov[:, -1])
                 at, j = np.nonzero(codes)
                 yield pa.RecordBatch.from_arrays([pa.array(names[j], pa.int64()), pa.array(t[at], pa.int64()), pa.array(codes[at, j])], names=["atom", "t", "coef"])
 

@@ -106,13 +106,13 @@ def dict_fit_one_batches(spark: SparkSession, sf: str) -> DataFrame:
     return atom_rows(dictionary.atoms_frame(spark, dictionary.fit(frames, 1, alpha=ALPHA, rounds=3, seed=SEED, batch=64)))
 
 
-def two_atoms_sql(rounds: int) -> list[str]:
+def two_atoms_sql(rounds: int, alpha: float = ALPHA) -> list[str]:
     """Rounds of learning two atoms: the lasso in closed form over all sign patterns, then one atom after the other.
 
     Of the codes with no atom, one, or both with given signs, the best is the lasso's; a pattern counts if its solution has those signs.
     """
     both = [f"SELECT t, (g11 * (c0 - {p}) - g01 * (c1 - {q})) / det AS k0, (g00 * (c1 - {q}) - g01 * (c0 - {p})) / det AS k1, {i} AS s0, {j} AS s1, c0, c1, g00, g01, g11 FROM q{{r}}"
-            for i, p in ((1, ALPHA), (-1, -ALPHA)) for j, q in ((1, ALPHA), (-1, -ALPHA))]
+            for i, p in ((1, alpha), (-1, -alpha)) for j, q in ((1, alpha), (-1, -alpha))]
     out = ["a0 AS (SELECT CAST(0 AS DOUBLE) AS a00, CAST(0 AS DOUBLE) AS a01, CAST(0 AS DOUBLE) AS a11)", "b0 AS (SELECT y, x, CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1 FROM d0)"]
     for r in range(1, rounds + 1):
         p, keep = r - 1, f"CAST({1.0 - 1.0 / r!r} AS DOUBLE)"
@@ -120,11 +120,11 @@ def two_atoms_sql(rounds: int) -> list[str]:
             f"g{r} AS (SELECT sum(v0 * v0) AS g00, sum(v0 * v1) AS g01, sum(v1 * v1) AS g11 FROM d{p})",
             f"q{r} AS (SELECT *, g00 * g11 - g01 * g01 AS det FROM (SELECT e.t, sum(e.v * v0) AS c0, sum(e.v * v1) AS c1 FROM emb e JOIN d{p} d USING (y, x) GROUP BY e.t) CROSS JOIN g{r})",
             f"""p{r} AS (SELECT t, CAST(0 AS DOUBLE) AS k0, CAST(0 AS DOUBLE) AS k1, 0 AS s0, 0 AS s1, c0, c1, g00, g01, g11 FROM q{r}
-              UNION ALL SELECT t, sign(c0) * greatest(abs(c0) - {ALPHA}, 0) / g00, 0, sign(c0), 0, c0, c1, g00, g01, g11 FROM q{r}
-              UNION ALL SELECT t, 0, sign(c1) * greatest(abs(c1) - {ALPHA}, 0) / g11, 0, sign(c1), c0, c1, g00, g01, g11 FROM q{r}
+              UNION ALL SELECT t, sign(c0) * greatest(abs(c0) - {alpha}, 0) / g00, 0, sign(c0), 0, c0, c1, g00, g01, g11 FROM q{r}
+              UNION ALL SELECT t, 0, sign(c1) * greatest(abs(c1) - {alpha}, 0) / g11, 0, sign(c1), c0, c1, g00, g01, g11 FROM q{r}
               UNION ALL {" UNION ALL ".join(b.format(r=r) for b in both)})""",
             f"""k{r} AS (SELECT t, k0, k1 FROM p{r} WHERE k0 * s0 >= 0 AND k1 * s1 >= 0
-              QUALIFY row_number() OVER (PARTITION BY t ORDER BY 0.5 * (k0*k0*g00 + 2*k0*k1*g01 + k1*k1*g11) - k0*c0 - k1*c1 + {ALPHA} * (abs(k0) + abs(k1))) = 1)""",
+              QUALIFY row_number() OVER (PARTITION BY t ORDER BY 0.5 * (k0*k0*g00 + 2*k0*k1*g01 + k1*k1*g11) - k0*c0 - k1*c1 + {alpha} * (abs(k0) + abs(k1))) = 1)""",
             f"a{r} AS (SELECT {keep} * any_value(a.a00) + sum(k0*k0) AS a00, {keep} * any_value(a.a01) + sum(k0*k1) AS a01, {keep} * any_value(a.a11) + sum(k1*k1) AS a11 FROM k{r} CROSS JOIN a{p} a)",
             f"""b{r} AS (SELECT y, x, {keep} * any_value(b.b0) + sum(k0 * e.v) AS b0, {keep} * any_value(b.b1) + sum(k1 * e.v) AS b1 FROM emb e JOIN k{r} USING (t) JOIN b{p} b USING (y, x) GROUP BY y, x)""",
             f"n{r} AS (SELECT y, x, v0 + (b0 - a00 * v0 - a01 * v1) / a00 AS w, v1, b1, a01, a11 FROM d{p} JOIN b{r} USING (y, x) CROSS JOIN a{r})",
@@ -152,6 +152,22 @@ def dict_fit_two_tiled(spark: SparkSession, sf: str) -> DataFrame:
     return atom_rows(tiled.fit_tiles(frames, dictionary.initial_atoms(frames, 2, SEED), ALPHA, 2, scratch, size=24))
 
 
+def two_codes_sql(alpha: float) -> str:
+    """Non-zero lasso codes of all frames for two atoms."""
+    first_round = ", ".join(two_atoms_sql(1, alpha)[2:6])
+    return f"""SELECT atom, t, round(k, 6) + 0.0 AS coef, CAST({alpha} AS DOUBLE) AS alpha FROM (WITH {first_round}
+      SELECT CAST(0 AS BIGINT) AS atom, t, k0 AS k FROM k1 UNION ALL SELECT CAST(1 AS BIGINT), t, k1 FROM k1) WHERE abs(k) > 1e-9"""
+
+
+@query(f"{two_codes_sql(0.05)} UNION ALL {two_codes_sql(0.15)}", EMB, TWO)
+def sparse_encode_lars(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact lasso codes by the path, at two weights."""
+    frames = fx.emb_wide(spark, sf)
+    atoms = dictionary.initial_atoms(frames, 2, SEED)
+    coded = [dictionary.sparse_encode(frames, atoms, "lars", alpha=a).withColumn("alpha", F.lit(a)) for a in (0.05, 0.15)]
+    return rounded(coded[0].unionByName(coded[1]).where("abs(coef) > 1e-9"), "coef")
+
+
 BLOCK_T = 128
 BLOCKS = ["x AS (SELECT e.t, e.y, e.x, e.v, s.tb, e.y // 4 AS yb, e.x // 4 AS xb FROM emb e JOIN share s ON s.tb = e.t // 128)",
           f"first AS (SELECT vec_id // 128 AS tb, vec_id AS t FROM embeddings QUALIFY row_number() OVER (PARTITION BY vec_id // 128 ORDER BY md5(vec_id || ':{SEED}')) = 1)",

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from conftest import array_of
-from stackweave.functions.coding import lasso_codes, omp_codes
+from stackweave.functions.coding import lasso_codes, lasso_path, omp_codes
 from stackweave.operators import dictionary
 from stackweave.sources.store import DatasetStore
 from stackweave.streaming import jobs
@@ -45,6 +45,63 @@ def test_lasso_meets_its_conditions(rng, positive):
     assert not positive or (c >= 0).all()
 
 
+@pytest.mark.parametrize("seed", range(25))
+@pytest.mark.parametrize("positive", [False, True])
+def test_paths_solve_the_lasso_at_every_knot(seed, positive):
+    """Each knot meets the lasso's conditions for its weight, so does the line between two, and descent finds the same codes."""
+    rng = np.random.default_rng(seed)
+    k, f = rng.integers(1, 9), rng.integers(6, 20)
+    d = rng.normal(size=(k, f)) + rng.normal(size=f) * rng.choice([0, 2])
+    if seed % 5 == 0 and k > 2:
+        d[1], d[2] = d[0], 0
+    x = rng.normal(size=f) * 3
+    g, cov = d @ d.T, d @ x
+    knots = lasso_path(g, cov, 0.05, positive)
+    weights = [w for w, _ in knots]
+    assert weights == sorted(weights, reverse=True) and weights[-1] == pytest.approx(0.05)
+    between = [((a + b) / 2, (c + e) / 2) for (a, c), (b, e) in zip(knots, knots[1:])]
+    for w, c in knots + between:
+        pull, on = cov - g @ c, np.abs(c) > 1e-11
+        np.testing.assert_allclose(pull[on], w * np.sign(c[on]), atol=1e-8)
+        assert (pull <= w + 1e-8).all() and (positive or (pull >= -w - 1e-8).all()) and (not positive or (c >= -1e-12).all())
+    if seed % 5:
+        np.testing.assert_allclose(knots[-1][1], lasso_codes(g, cov[None], 0.05, 100_000, positive, 1e-13)[0], atol=1e-7)
+
+
+def test_pursuit_stops_at_its_residual(rng):
+    d = rng.normal(size=(12, 20))
+    x = rng.normal(size=(30, 20))
+    squares = (x * x).sum(axis=1)
+    codes = omp_codes(d @ d.T, x @ d.T, 12, squares, 6.0)
+    left, used = ((x - codes @ d) ** 2).sum(axis=1), (codes != 0).sum(axis=1)
+    assert ((left <= 6.0 + 1e-9) | (used == 12)).all() and len(set(used.tolist())) > 2
+    for n in set(used.tolist()) - {0}:
+        before = omp_codes(d @ d.T, x @ d.T, n - 1)[used == n]
+        assert (((x[used == n] - before @ d) ** 2).sum(axis=1) > 6.0).all()
+    assert not omp_codes(d @ d.T, x @ d.T, 12, squares, 1e9).any()
+
+
+def test_paths_and_tolerances_in_tables(spark, frames_of, rng, monkeypatch):
+    from stackweave.operators import tiled
+
+    stack = rng.normal(size=(12, 3, 4))
+    frames, atoms = frames_of(stack), frames_of(stack[:4], key="atom")
+    d, x = stack[:4].reshape(4, -1), stack.reshape(12, -1)
+
+    def run():
+        path = sorted((r["t"], r["knot"], r["atom"], round(r["weight"], 8), round(r["coef"], 8)) for r in dictionary.encode_path(frames, atoms, 0.5).collect())
+        codes = [sorted((r["t"], r["atom"], round(r["coef"], 6)) for r in dictionary.sparse_encode(frames, atoms, m, alpha=0.5, tol=t).collect())
+                 for m, t in (("lars", None), ("lasso", None), ("omp", 4.0))]
+        return path, *codes
+
+    whole = run()
+    want = [(t, k, j, round(w, 8), round(c[j], 8)) for t in range(12) for k, (w, c) in enumerate(lasso_path(d @ d.T, d @ x[t], 0.5)) for j in np.nonzero(c)[0]]
+    assert whole[0] == sorted(want) and whole[1] == whole[2]
+    monkeypatch.setattr(tiled, "TILE_VALUES", 12)
+    assert run() == whole
+    assert dictionary.encode_path(frames, atoms.limit(0)).count() == 0
+
+
 def test_fit_lowers_the_objective(spark, frames_of, mixed):
     report = []
     learned = dictionary.fit(frames_of(mixed), 4, alpha=0.05, rounds=8, seed=2, report=report)
