@@ -54,6 +54,44 @@ def test_store_many(spark, store):
         store.put_many(["a", "b"], [shared])
 
 
+def test_readers_stay_with_their_version(spark, tmp_path):
+    """What was opened before a put can still be read after it; it goes when the grace time is over."""
+    store = DatasetStore(spark, str(tmp_path / "pinned"))
+    store["x"] = spark.range(3)
+    before, told = store["x"], store.snapshot()
+    store["x"] = spark.range(10)
+    assert before.count() == 3 and store["x"].count() == 10 and store.versions("x") == [1, 2]
+    assert store.get("x", told["x"]).count() == 3 and store.snapshot() == {"x": 2}
+    store.vacuum("x", grace=0)
+    assert store.versions("x") == [2]
+    with pytest.raises(KeyError):
+        store.get("x", 1)
+    quick = DatasetStore(spark, str(tmp_path / "quick"), grace=0)
+    for n in range(3):
+        quick["y"] = spark.range(n)
+    assert quick.versions("y") == [3] and list(quick) == ["y"]
+
+
+def test_parallel_writers_get_numbers_of_their_own(spark, store):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(6) as pool:
+        made = list(pool.map(lambda n: store.put("shared", spark.range(n)).count(), range(6)))
+    assert made == list(range(6)) and len(store.versions("shared")) == 6
+    assert sorted(store.get("shared", v).count() for v in store.versions("shared")) == list(range(6))
+
+
+def test_given_up_writes_are_no_versions(spark, store, tmp_path):
+    store["x"] = spark.range(3)
+    with pytest.raises(Exception):
+        store.put("x", spark.range(3).selectExpr("1 / (id - id)"))
+    assert store.versions("x") == [1] and store["x"].count() == 3
+    store["x"] = spark.range(4)
+    assert store.versions("x") == [1, 3]
+    store.vacuum("x", grace=0)
+    assert [n for n in os.listdir(f"{store.root}/x") if not n.startswith(".") and n.startswith("v=")] == ["v=3"]
+
+
 def test_failed_write_keeps_the_old_dataset(spark, store):
     store["x"] = spark.range(3)
     with pytest.raises(Exception):
