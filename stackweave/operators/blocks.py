@@ -8,7 +8,8 @@ the block and halo, never by the data. Rows grow by at most the product of
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 from typing import Union
 
 import numpy as np
@@ -112,6 +113,78 @@ def map_blocks(
     return cut_blocks(frames, block, halo).groupBy("tb", "yb", "xb").applyInArrow(run, PIECES)
 
 
+#: What a block sees beyond the edge of the data, per axis: nothing, the mirrored samples with the edge repeated, the edge
+#: sample, or a constant.
+BORDERS = ("cut", "mirror", "edge", "constant")
+
+
+def _bordered(stack: np.ndarray, missing: list[tuple[int, int]], border: Sequence[str], value: float) -> np.ndarray:
+    """A block with what is missing of its halo at the edges of the data, axis by axis."""
+    for axis, (pad, mode) in enumerate(zip(missing, border)):
+        if mode == "cut" or pad == (0, 0):
+            continue
+        widths = [(0, 0)] * stack.ndim
+        widths[axis] = pad
+        if mode == "constant":
+            stack = np.pad(stack, widths, constant_values=value)
+        else:
+            stack = np.pad(stack, widths, mode="symmetric" if mode == "mirror" else "edge")
+    return stack
+
+
+def map_stacks(
+    stacks: Sequence[DataFrame], fn: Callable[..., np.ndarray], block: BlockSize, halo: BlockSize = (0, 0, 0),
+    border: str | Sequence[str] = "cut", value: float = 0.0,
+) -> DataFrame:
+    """``map_blocks`` for functions of several stacks: ``fn`` gets one ``(n, h, w)`` array per stack, all of one block.
+
+    The stacks have the same frames and shape. ``border`` says, for all axes or for each of ``(t, y, x)``, what blocks at the
+    edge of the data see beyond it (``BORDERS``); with anything but ``cut`` every block has its whole halo. ``value`` is the
+    constant. The tiles of all stacks are shuffled once; a group is one block of each. Frames count from 0 without gaps.
+    """
+    border = (border,) * 3 if isinstance(border, str) else tuple(border)
+    if len(border) != 3 or any(b not in BORDERS for b in border):
+        raise ValueError(f"borders are {BORDERS}, one or one per axis, not {border}")
+    shapes = [stack_shape(s) for s in stacks]
+    if len(set(shapes)) != 1:
+        raise ValueError(f"stacks of different shapes: {shapes}")
+    shape = shapes[0]
+    block, halo = resolve(stacks[0], block), resolve(stacks[0], halo)
+    parts = [cut_blocks(s, block, halo).withColumn("stack", F.lit(k)) for k, s in enumerate(stacks)]
+    empty = pa.schema([("t", pa.int64()), ("y0", pa.int32()), ("x0", pa.int32()), ("h", pa.int32()),
+                       ("w", pa.int32()), ("px", pa.list_(pa.float64()))]).empty_table()
+    count = len(stacks)
+
+    def run(table: pa.Table) -> pa.Table:
+        which = table.column("stack").to_numpy()
+        held = [block_array(table.filter(pa.array(which == k)).combine_chunks()) for k in range(count) if (which == k).any()]
+        if len(held) != count or any(len(t) != len(held[0][0]) for t, _, _ in held):
+            raise ValueError("a frame is missing in one of the stacks")
+        t, first, at = held[0]
+        corner, begin = (at["tb"], at["yb"], at["xb"]), (int(t[0]), at["y0"], at["x0"])
+        if corner[0] * block[0] >= shape[0]:
+            return empty
+        # A halo ends early only at the edge of the data.
+        missing = []
+        for axis in range(3):
+            start, size = corner[axis] * block[axis], first.shape[axis]
+            wanted_end = min(start + block[axis], shape[axis]) + halo[axis]
+            missing.append((halo[axis] - (start - begin[axis]), wanted_end - (begin[axis] + size)))
+        arrays = [_bordered(a, missing, border, value) for _, a, _ in held]
+        out = np.asarray(fn(*arrays), dtype=np.float64)
+        if out.shape != arrays[0].shape:
+            raise ValueError(f"block function changed the shape {arrays[0].shape} to {out.shape}")
+        ahead = [halo[k] if border[k] != "cut" else corner[k] * block[k] - begin[k] for k in range(3)]
+        out = out[tuple(slice(a, a + min(block[k], shape[k] - corner[k] * block[k])) for k, a in enumerate(ahead))]
+        n, start = len(out), corner[0] * block[0]
+        keys = {"t": pa.array(np.arange(start, start + n), pa.int64()), "y0": pa.array(np.full(n, corner[1] * block[1], np.int32)),
+                "x0": pa.array(np.full(n, corner[2] * block[2], np.int32))}
+        return pa.Table.from_batches([frame_batch(keys, np.ascontiguousarray(out))])
+
+    inside = F.col("tb").between(0, max(shape[0] - 1, 0) // block[0])
+    return reduce(DataFrame.unionByName, parts).where(inside).groupBy("tb", "yb", "xb").applyInArrow(run, PIECES)
+
+
 #: Bytes of one block with its halo, as doubles.
 BLOCK_BYTES = 64 << 20
 

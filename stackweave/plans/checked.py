@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackweave.functions.kernels import spline_taps
 from stackweave.model import explode_frames, promote, to_pixels
-from stackweave.operators import dictionary, elementwise, normalize, regions_tiled, registration, registration_slabs, roi, tiled
+from stackweave.operators import blocks, dictionary, elementwise, normalize, regions_tiled, registration, registration_slabs, roi, tiled
 from stackweave.plans import fixtures as fx
 from stackweave.plans.pipeline import PipelineParams, run_pipeline
 from stackweave.plans.queries import (
@@ -183,6 +184,41 @@ def dict_fit_blocks_one(spark: SparkSession, sf: str) -> DataFrame:
     return atom_rows(dictionary.fit_blocks(fx.emb_wide(spark, sf), 4, (BLOCK_T, 4, 4), alpha=ALPHA, rounds=2, seed=SEED))
 
 
+# -- blocks of several stacks --------------------------------------------------------------
+
+
+def summed_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of the products of two stacks in the 3 x 3 neighbourhood; blocks come with their whole halo."""
+    views = np.lib.stride_tricks.sliding_window_view(a * b, (3, 3), axis=(1, 2))
+    return np.pad(views.sum(axis=(3, 4)), ((0, 0), (1, 1), (1, 1)))
+
+
+def smooth_cube(stack: np.ndarray) -> np.ndarray:
+    """Mean of 5 x 5 pixels in up to three frames; time ends where the data does."""
+    views = np.lib.stride_tricks.sliding_window_view(stack, (5, 5), axis=(1, 2))
+    flat = np.pad(views.mean(axis=(3, 4)), ((0, 0), (2, 2), (2, 2)))
+    return np.stack([flat[max(k - 1, 0):k + 2].mean(axis=0) for k in range(len(flat))])
+
+
+@query("""SELECT e.t, e.y, e.x, round(sum(n.v * r.v), 6) + 0.0 AS v FROM emb e JOIN emb n ON n.t = e.t AND abs(n.y - e.y) <= 1 AND abs(n.x - e.x) <= 1
+  JOIN emb r ON r.t = (SELECT max(t) FROM emb) - n.t AND r.y = n.y AND r.x = n.x GROUP BY 1, 2, 3""", EMB)
+def blocks_two_stacks(spark: SparkSession, sf: str) -> DataFrame:
+    """The stack and itself backwards in time, in blocks of 100 x 3 x 5 with nothing beyond the edges."""
+    frames = fx.emb_wide(spark, sf)
+    backwards = frames.withColumn("t", frames.agg(F.max("t")).scalar() - F.col("t"))
+    made = blocks.map_stacks([frames, backwards], summed_product, (100, 3, 5), (0, 1, 1), "constant")
+    return rounded(blocks.pieces_to_pixels(made), "v")
+
+
+@query("""SELECT t, y, x, round(avg(v), 6) + 0.0 AS v FROM (SELECT e.t, e.y, e.x, s.t AS st, avg(s.v) AS v FROM emb e, (VALUES (-2),(-1),(0),(1),(2)) a(d), (VALUES (-2),(-1),(0),(1),(2)) b(d), emb s
+    WHERE abs(s.t - e.t) <= 1 AND s.y = CASE WHEN e.y + a.d < 0 THEN -1 - e.y - a.d WHEN e.y + a.d > 7 THEN 15 - e.y - a.d ELSE e.y + a.d END
+      AND s.x = least(greatest(e.x + b.d, 0), 7) GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3""", EMB)
+def blocks_borders(spark: SparkSession, sf: str) -> DataFrame:
+    """A border of its own on each axis: cut in time, mirrored in y, the edge repeated in x."""
+    made = blocks.map_stacks([fx.emb_wide(spark, sf)], smooth_cube, (50, 3, 4), (1, 2, 2), ("cut", "mirror", "edge"))
+    return rounded(blocks.pieces_to_pixels(made), "v")
+
+
 # -- types, export and splitting -----------------------------------------------------------
 
 

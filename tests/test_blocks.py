@@ -124,3 +124,35 @@ def test_whole_frame_blocks_shuffle_once(frames_of, rng):
     made = filters.wavelet_transform(frames, (1, 1, 1))
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def halved_sum(a, b):
+    return (a + 2 * b) / 2
+
+
+def spread(stack):
+    """Sum of a 3 x 3 x 3 neighbourhood of a block that has its whole halo."""
+    views = np.lib.stride_tricks.sliding_window_view(stack, (3, 3, 3))
+    return np.pad(views.sum(axis=(3, 4, 5)), 1)
+
+
+@pytest.mark.parametrize("border,mode", [("mirror", {"mode": "symmetric"}), ("edge", {"mode": "edge"}), ("constant", {"constant_values": 4.0})])
+@pytest.mark.parametrize("block", [(3, 2, 4), (50, 50, 50), (1, 7, 1)])
+def test_borders_equal_padding_of_the_whole(frames_of, rng, border, mode, block):
+    stack = rng.random((7, 5, 6))
+    got = blocks.pieces_to_frames(blocks.map_stacks([frames_of(stack)], spread, block, (1, 1, 1), border, value=4.0))
+    want = np.lib.stride_tricks.sliding_window_view(np.pad(stack, 1, **mode), (3, 3, 3)).sum(axis=(3, 4, 5))
+    np.testing.assert_allclose(array_of(got), want)
+
+
+def test_several_stacks_in_blocks(spark, frames_of, rng):
+    a, b = rng.random((9, 4, 5)), rng.random((9, 4, 5))
+    got = blocks.pieces_to_frames(blocks.map_stacks([frames_of(a), frames_of(b)], halved_sum, (4, 3, 2), (1, 1, 0)))
+    np.testing.assert_allclose(array_of(got), (a + 2 * b) / 2)
+    with pytest.raises(ValueError, match="different shapes"):
+        blocks.map_stacks([frames_of(a), frames_of(b[:5])], halved_sum, (4, 3, 2))
+    with pytest.raises(ValueError, match="borders"):
+        blocks.map_stacks([frames_of(a)], spread, (4, 3, 2), border="wrap")
+    holes = frames_of(b).where("t <> 3")
+    with pytest.raises(Exception, match="missing"):
+        blocks.map_stacks([frames_of(a), holes], halved_sum, (4, 3, 2)).collect()
