@@ -154,3 +154,13 @@ def test_shard_in_files():
             results.append(list(shard.spans()))
             assert (disk.spilled > 0) == (memory == 3000)
     assert results[0] == results[1] and len(results[0]) >= 10
+
+
+def test_query_against_brute_force(spark):
+    """The registered query over the whole smallest table."""
+    from stackweave.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted(map(tuple, QUERIES["op11_suffixes"](spark, sf).collect()), key=repr)
+    assert got == [r[:5] for r in told(rows)]
