@@ -13,26 +13,31 @@ from stackweave.functions.kernels import spline_taps
 from stackweave.model import is_frames
 
 
-#: Pixels of one tile of a frame where frames meet masks.
-TILE = 4096
+#: Pixels of one tile of a frame where frames meet masks, and frames whose tiles share a key.
+TILE, TIME_BLOCK = 4096, 1 << 14
 
 
 def _frame_sums(frames: DataFrame, masks: DataFrame) -> DataFrame:
     """Weighted sums ``(roi_id, t, part, w_sum)`` of frames, tile by tile: pixels are never rows.
 
     Masks become runs of (place in the tile, weight) per region and tile; frames are cut into the same
-    tiles as arrays. The join is on the tile, and the planner sees how large the masks are.
+    tiles as arrays. The join is on the tile and a block of time, so a camera of few tiles and many frames has many keys;
+    masks are copied once per time block. The planner sees how large they are.
     """
-    widths = frames.agg(F.collect_set("w").alias("ws")).scalar()  # one entry per frame shape
-    flat = masks.withColumn("fw", F.explode(widths)).where("x >= 0 and x < fw and y >= 0")
+    # One entry per frame shape, and the ends of time, in one pass over narrow columns.
+    about = frames.agg(F.struct(F.collect_set("w").alias("ws"), F.min("t").alias("first"), F.max("t").alias("last"))).scalar()
+    flat = masks.withColumn("_about", about).withColumn("fw", F.explode("_about.ws")).where("x >= 0 and x < fw and y >= 0")
     flat = flat.withColumn("p", F.col("y").cast("long") * F.col("fw") + F.col("x"))
     cell = F.struct((F.col("p") % TILE).cast("int").alias("i"), F.col("w").alias("k"))
-    runs = flat.groupBy("roi_id", "fw", F.expr(f"cast(p div {TILE} as int)").alias("tile")).agg(F.collect_list(cell).alias("cells"), F.max("w_sum").alias("w_sum"))
+    runs = flat.groupBy("roi_id", "fw", F.expr(f"cast(p div {TILE} as int)").alias("tile")).agg(
+        F.collect_list(cell).alias("cells"), F.max("w_sum").alias("w_sum"), F.first("_about").alias("_about"))
+    block = lambda t: F.floor(t / F.lit(TIME_BLOCK)).cast("long")
+    runs = runs.withColumn("tb", F.explode(F.sequence(block(F.col("_about.first")), block(F.col("_about.last"))))).drop("_about")
     cut = F.transform(F.sequence(F.lit(0), F.expr(f"cast((size(px) - 1) div {TILE} as int)")), lambda c: F.slice("px", c * TILE + 1, F.lit(TILE)))
-    tiles = frames.where(F.size("px") > 0).select("t", F.col("w").alias("fw"), F.posexplode(cut).alias("tile", "v"))
+    tiles = frames.where(F.size("px") > 0).select("t", block(F.col("t")).alias("tb"), F.col("w").alias("fw"), F.posexplode(cut).alias("tile", "v"))
     inside = F.filter("cells", lambda c: c["i"] < F.size("v"))
     part = F.aggregate(inside, F.lit(0.0), lambda total, c: total + c["k"] * F.coalesce(F.get("v", c["i"]).cast("double"), F.lit(0.0)))
-    met = tiles.join(runs, ["fw", "tile"]).where(F.size(inside) > 0)
+    met = tiles.join(runs, ["fw", "tile", "tb"]).where(F.size(inside) > 0)
     return met.select("roi_id", "t", part.alias("part"), "w_sum")
 
 

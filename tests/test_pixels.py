@@ -131,3 +131,27 @@ def test_one_pixel_stack(frames_of):
     one = frames_of(np.array([[[2.0]]]))
     assert array_of(normalize.normalize_data(one)).tolist() == [[[0.0]]]
     assert image(projections.proj_std(one), 1, 1).tolist() == [[0.0]]
+
+
+def test_hot_tiles_are_split_by_time(spark, frames_of, rng, monkeypatch):
+    """Thousands of regions on one pixel meet the frames in as many keys as there are time blocks, with the same traces."""
+    from stackweave.operators import traces
+
+    stack = rng.random((40, 3, 4))
+    rois = spark.range(1, 3001).selectExpr("cast(id as int) roi_id", "1 y", "2 x", "cast(id as double) w").unionByName(
+        spark.createDataFrame([(1, 0, 0, 2.0), (9000, 2, 3, 0.5)], "roi_id int, y int, x int, w double"))
+    frames = frames_of(stack, first=-7)
+    plain = {(r[0], r[1]): r[2] for r in traces.roi_traces(frames, rois).collect()}
+    monkeypatch.setattr(traces, "TIME_BLOCK", 4)
+    monkeypatch.setattr(traces, "TILE", 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = traces.roi_traces(frames, rois)
+        assert {(r[0], r[1]): r[2] for r in split.collect()} == plain
+        plan = split._jdf.queryExecution().toString()
+        assert "hashpartitioning(fw" in plan and "tb" in plan.split("hashpartitioning(fw")[1][:60]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert plain[(1, -7)] == pytest.approx((stack[0, 1, 2] * 1 + stack[0, 0, 0] * 2) / 3) and len(plain) == 40 * 3001
