@@ -253,14 +253,15 @@ def exported(spark: SparkSession, sf: str, dtype: str = "<f8") -> str:
     """The frames as array files in the shared folder."""
     folder = f"{Scratch(spark, 'stack').root}/frames"
     register_stack_format(spark)
-    fx.emb_wide(spark, sf).sortWithinPartitions("t").write.format("stack").mode("overwrite").option("dtype", dtype).save(folder)
+    # Whole ranges of time per task make long files.
+    fx.emb(spark, sf).repartitionByRange(8, "t").sortWithinPartitions("t").write.format("stack").mode("overwrite").option("dtype", dtype).save(folder)
     return folder
 
 
 @query("SELECT t, y, x, round(v, 6) + 0.0 AS v FROM emb", EMB)
 def stack_source(spark: SparkSession, sf: str) -> DataFrame:
-    """Exported to array files and read back through the data source, seven pages a partition."""
-    return pixels(load_stack(spark, exported(spark, sf), "stack", chunk_frames=7))
+    """Exported to array files and read back through the data source, up to 150 pages a partition."""
+    return pixels(load_stack(spark, exported(spark, sf), "stack", chunk_frames=150))
 
 
 @query("SELECT t, y, x, round(CAST(CAST(v AS FLOAT) AS DOUBLE), 6) + 0.0 AS v FROM emb WHERE t > 20 AND t <= 90 AND t <> 33", EMB)
