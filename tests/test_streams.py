@@ -25,7 +25,7 @@ def rows(df):
     return sorted(map(tuple, df.collect()))
 
 
-@pytest.mark.parametrize("name", ["stream_dict_fit", "stream_dict_fit_one"])
+@pytest.mark.parametrize("name", ["stream_dict_fit", "stream_dict_fit_one", "stream_traces"])
 def test_a_folder_of_files_is_one_table(spark, tables, name):
     one, many = (rows(queries()[name](spark, d)) for d in tables)
     assert len(one) == len(many) > 0
