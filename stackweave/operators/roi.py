@@ -267,20 +267,34 @@ def copy_groups(roi_pixels: DataFrame) -> DataFrame:
     return prints.join(prints.groupBy(*same).agg(F.min("roi_id").alias("rep")), same).select("roi_id", "rep")
 
 
+#: Words of 64 slots in the sketch of a region's pixels.
+SKETCH_WORDS = 4
+
+
+def _sketch() -> list[Column]:
+    """Bits of the slots that the pixels of a region fall into: ``s0``, ``s1``, ..."""
+    slot, whole = F.expr(f"cast(pmod(xxhash64(y, x), {64 * SKETCH_WORDS}) as int)"), Window.partitionBy("roi_id")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(y, x), {64 * SKETCH_WORDS}) % 64 as int))")
+    return [F.bit_or(F.when(F.floor(slot / 64) == k, bit).otherwise(F.lit(0).cast("long"))).over(whole).alias(f"s{k}") for k in range(SKETCH_WORDS)]
+
+
 def prefixes(unit: DataFrame, params: MergeParams) -> DataFrame:
-    """The pixels by which a region can be found by any region it aligns with.
+    """The pixels by which a region can be found by any region it aligns with, each with the region's sketch.
 
     Pixels are taken from the rarest to the most common. Once the rest of a region has a norm
     below the alignment it cannot reach that product with a unit image, so two aligned regions
     share a pixel before that point in both. Common pixels come last and are mostly left out.
-    ``rest`` and ``after`` are the squared norm and the number of the pixels still to come.
+    ``rest`` and ``after`` are the squared norm and the number of the pixels still to come; norms are of 32 bits,
+    which ``_promising`` leaves room for.
     """
     rarity = unit.groupBy("y", "x").agg(F.count("*").alias("freq"))
     order = Window.partitionBy("roi_id").orderBy("freq", "y", "x")
     used = F.sum(F.col("u") * F.col("u")).over(order.rowsBetween(Window.unboundedPreceding, 0))
     ranked = unit.join(rarity, ["y", "x"]).withColumn("rest", 1.0 - used).withColumn("after", F.col("n") - F.row_number().over(order))
     reach = F.col("rest") + F.col("u") * F.col("u") + 1e-9 >= params.alignment * params.alignment
-    return ranked.where(reach).select("roi_id", "y", "x", "u", "rest", "after", "n")
+    short = [F.col("u").cast("float").alias("u"), F.col("rest").cast("float").alias("rest"), F.col("after").cast("int").alias("after"), F.col("n").cast("int").alias("n")]
+    sketched = ranked.select("roi_id", "y", "x", "u", "rest", "after", "n", *_sketch())
+    return sketched.where(reach).select("roi_id", "y", "x", *short, *[f"s{k}" for k in range(SKETCH_WORDS)])
 
 
 def _side(keys: DataFrame, name: str) -> DataFrame:
@@ -288,16 +302,28 @@ def _side(keys: DataFrame, name: str) -> DataFrame:
     return keys.select(F.col("roi_id").alias(name), "y", "x", *[F.col(c).alias(f"{c}_{name}") for c in carried])
 
 
+def _may_share(p: MergeParams) -> Column:
+    """Whether two regions can have enough pixels in common, whatever pixel they meet at.
+
+    Every slot that only one of them has holds a pixel of its own at least, so this many are not shared.
+    """
+    def left(one: str, other: str) -> Column:
+        own = [F.bit_count(F.col(f"s{k}_{one}").bitwiseAND(F.bitwise_not(F.col(f"s{k}_{other}")))) for k in range(SKETCH_WORDS)]
+        return F.col(f"n_{one}") - sum(own[1:], own[0])
+
+    return F.least(left("a", "b"), left("b", "a")) >= p.overlap * F.least("n_a", "n_b") - 1e-6
+
+
 def _promising(p: MergeParams) -> Column:
     """Whether regions meeting at their first common pixel can still reach both thresholds.
 
     Pairs also meet at later pixels, where the bound may be too low; that does no harm, as
     the first one lies in both prefixes and keeps every pair that qualifies.
     """
-    ahead = F.sqrt(F.greatest(F.col("rest_a"), F.lit(0.0)) * F.greatest(F.col("rest_b"), F.lit(0.0)))
-    aligned = F.col("u_a") * F.col("u_b") + ahead + 1e-6 >= p.alignment
+    ahead = F.sqrt(F.greatest(F.col("rest_a").cast("double"), F.lit(0.0)) * F.greatest(F.col("rest_b").cast("double"), F.lit(0.0)))
+    aligned = F.col("u_a").cast("double") * F.col("u_b") + ahead + 1e-6 >= p.alignment
     shared = 1 + F.least("after_a", "after_b") >= p.overlap * F.least("n_a", "n_b") - 1e-6
-    return aligned & shared
+    return aligned & shared & _may_share(p)
 
 
 def measure_pairs(pairs: DataFrame, unit: DataFrame) -> DataFrame:
@@ -324,7 +350,8 @@ def similar_pairs(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     """
     unit, keys, _ = _searchable(roi_pixels, scratch, params)
     met = _side(keys, "a").join(_side(keys, "b"), ["y", "x"]).where((F.col("a") < F.col("b")) & _promising(params))
-    return _linked(measure_pairs(met.select("a", "b").distinct(), unit), params)
+    met = scratch.write(met.select("a", "b").distinct())
+    return scratch.write(_linked(measure_pairs(met, unit), params))
 
 
 def _searchable(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -344,8 +371,10 @@ def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     """
     unit, keys, copies = _searchable(roi_pixels, scratch, params)
     stars = copies.where("roi_id <> rep").select(F.col("rep").alias("a"), F.col("roi_id").alias("b"))
-    hubs = keys.groupBy("y", "x").agg(F.min("roi_id").alias("a"))
-    spokes = keys.join(hubs, ["y", "x"]).where("roi_id <> a").select("a", F.col("roi_id").alias("b")).distinct()
+    told = ["roi_id", "n", *[f"s{k}" for k in range(SKETCH_WORDS)]]
+    hubs = keys.groupBy("y", "x").agg(F.min(F.struct(*told)).alias("h")).select("y", "x", "h.*")
+    spokes = _side(keys.select("y", "x", *told), "b").join(_side(hubs, "a"), ["y", "x"]).where((F.col("a") != F.col("b")) & _may_share(params))
+    spokes = scratch.write(spokes.select("a", "b").distinct())
     first = scratch.write(_linked(measure_pairs(spokes, unit), params).select("a", "b").union(stars.select("a", "b")))
     known = connected_groups(first, scratch)
     member = keys.join(known.withColumnRenamed("id", "roi_id"), "roi_id", "left").withColumn("grp", F.coalesce("grp", "roi_id"))
@@ -354,7 +383,7 @@ def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     main = sizes.groupBy("y", "x").agg(F.max_by("grp", F.struct("n", "grp")).alias("main"))
     outside = member.join(main, ["y", "x"]).where("grp <> main").drop("main")
     met = _side(outside, "a").join(_side(member, "b"), ["y", "x"]).where((F.col("grp_a") != F.col("grp_b")) & _promising(params))
-    rest = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = scratch.write(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     second = scratch.write(_linked(measure_pairs(rest, unit), params).select("a", "b"))
     return join_groups(known, second, scratch)
 

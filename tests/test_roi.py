@@ -56,6 +56,33 @@ def test_pairs_match_brute_force_with_a_hot_pixel(spark, scratch, seed):
     assert found == brute_pairs(rows) and found
 
 
+def test_regions_with_one_pixel_in_common_are_not_measured(spark, scratch):
+    """Neighbours share their rarest pixel only, at which they still look promising by what lies ahead."""
+    rows = [(i, 1, i // 2, 1.0) for i in range(40)] + [(i, 2, (3 * i + j) % 20, 1.0) for i in range(40) for j in range(3)]
+    pixels, params = spark.createDataFrame(rows, PIX), roi.MergeParams()
+    _, keys, _ = roi._searchable(pixels, scratch, params)
+    met = roi._side(keys, "a").join(roi._side(keys, "b"), ["y", "x"]).where((F.col("a") < F.col("b")) & roi._promising(params))
+    assert met.where("a % 2 = 0 AND b = a + 1").count() <= 4
+    found = {(r["a"], r["b"]) for r in roi.similar_pairs(pixels, Scratch(spark, "all")).collect()}
+    assert found == brute_pairs(rows) and found
+
+
+def test_scratch_leaves_no_shuffle_files(spark, scratch):
+    key, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(key, None)
+
+    class Spy(type(spark.range(1).write)):
+        def parquet(self, path, *args, **kwargs):
+            seen.append(spark.conf.get(key))
+            return super().parquet(path, *args, **kwargs)
+
+    class Rows:
+        schema, write = spark.range(3).schema, Spy(spark.range(3))
+
+    assert scratch.write(Rows()).count() == 3 and seen == ["true"]
+    assert spark.conf.get(key, None) == before
+
+
 def test_merge_groups_equal_the_closure_of_all_pairs(spark, scratch):
     rng = np.random.default_rng(5)
     rows = []
