@@ -370,6 +370,7 @@ def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     has not joined to the pixel's main group are the only ones compared with all others.
     """
     unit, keys, copies = _searchable(roi_pixels, scratch, params)
+    searched = scratch.step
     stars = copies.where("roi_id <> rep").select(F.col("rep").alias("a"), F.col("roi_id").alias("b"))
     told = ["roi_id", "n", *[f"s{k}" for k in range(SKETCH_WORDS)]]
     hubs = keys.groupBy("y", "x").agg(F.min(F.struct(*told)).alias("h")).select("y", "x", "h.*")
@@ -379,12 +380,17 @@ def merge_groups(roi_pixels: DataFrame, scratch: Scratch, params: MergeParams =
     known = connected_groups(first, scratch)
     member = keys.join(known.withColumnRenamed("id", "roi_id"), "roi_id", "left").withColumn("grp", F.coalesce("grp", "roi_id"))
     member = scratch.write(member)
+    scratch.drop_before(searched)  # the keys, which members now hold with their groups
+    members = scratch.step
     sizes = member.groupBy("y", "x", "grp").agg(F.count("*").alias("n"))
     main = sizes.groupBy("y", "x").agg(F.max_by("grp", F.struct("n", "grp")).alias("main"))
-    outside = member.join(main, ["y", "x"]).where("grp <> main").drop("main")
+    outside = scratch.write(member.join(main, ["y", "x"]).where("grp <> main").drop("main"))
     met = _side(outside, "a").join(_side(member, "b"), ["y", "x"]).where((F.col("grp_a") != F.col("grp_b")) & _promising(params))
     rest = scratch.write(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    for step in (members, members + 1):
+        scratch.drop_before(step)
     second = scratch.write(_linked(measure_pairs(rest, unit), params).select("a", "b"))
+    scratch.drop_before(searched - 1)
     return join_groups(known, second, scratch)
 
 
