@@ -14,7 +14,8 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackweave.model import batch_stacks, list_array
@@ -26,6 +27,8 @@ RUNS = "t long, band int, re array<double>, im array<double>"
 PARTS = "t long, band int, first int, re array<double>, im array<double>"
 #: Complex numbers of one run of columns, and pixels of one slab, about.
 RUN_VALUES, SLAB_PIXELS = 2_000_000, 4_000_000
+#: Numbers of the small frames that are worked on together, about.
+TOGETHER_VALUES = 1 << 17
 
 
 def cut_slabs(frames: DataFrame, rows: int | None = None) -> DataFrame:
@@ -96,33 +99,66 @@ def _complex(re, im, width: int) -> np.ndarray:
     return (both[0] + 1j * both[1]).reshape(-1, width)
 
 
-def _parts(keys: dict, spectrum: np.ndarray) -> pa.RecordBatch:
-    flat = spectrum.reshape(1, -1)
+def _stacked(column: pa.ChunkedArray | pa.Array, rows: np.ndarray | None = None) -> np.ndarray:
+    """Lists of one length as the rows of a matrix, in the order ``rows`` if given."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    column = column if rows is None else column.take(pa.array(rows))
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _parts(keys: dict, spectra: np.ndarray) -> pa.RecordBatch:
+    """One row per spectrum of ``spectra``, with its keys."""
+    flat = spectra.reshape(len(spectra), -1)
     return pa.RecordBatch.from_arrays([*keys.values(), list_array(flat.real), list_array(flat.imag)], names=[*keys, "re", "im"])
 
 
-def _keys(**values: int) -> dict:
-    return {name: pa.array([value], pa.int64() if name == "t" else pa.int32()) for name, value in values.items()}
+def _keys(n: int = 1, **values: int | np.ndarray) -> dict:
+    return {name: pa.array(np.broadcast_to(value, n).astype(np.int64 if name == "t" else np.int32)) for name, value in values.items()}
+
+
+def _runs_of(values: int, *columns: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows with the same values in all columns, as many at a time as hold ``TOGETHER_VALUES`` numbers of ``values`` a row."""
+    most = max(1, TOGETHER_VALUES // max(1, int(values)))
+    _, group = np.unique(np.stack(columns), axis=1, return_inverse=True)
+    order = np.argsort(group.ravel(), kind="stable")
+    for run in np.split(order, np.flatnonzero(np.diff(group.ravel()[order])) + 1):
+        for k in range(0, len(run), most):
+            yield run[k:k + most]
+
+
+def _together(rows: int, values: int) -> Column:
+    """Frames that meet in one group, by their number: as many as hold ``TOGETHER_VALUES`` numbers of what is grouped."""
+    return F.expr(f"t div {max(1, TOGETHER_VALUES // max(1, rows * values))}")
 
 
 def spectra(slabs: DataFrame, low: float, grid: Grid) -> DataFrame:
-    """``(t, band, re, im)``: half spectra of the inverted frames, a row per run of columns, all of the first axis each."""
+    """``(t, band, re, im)``: half spectra of the inverted frames, a row per run of columns, all of the first axis each.
+
+    Small frames are transformed many at a time.
+    """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t, first, px in zip(batch.column("t").to_pylist(), batch.column("first").to_pylist(), batch.column("px")):
-                made = grid.inside(1.0 / (px.values.to_numpy(zero_copy_only=False) - (low - 1.0)))
+            t, first = (batch.column(c).to_numpy() for c in ("t", "first"))
+            sizes = pc.list_value_length(batch.column("px")).to_numpy()
+            for held in _runs_of(sizes.max(initial=1), first, sizes):
+                px = _stacked(batch.column("px"), held)
+                made = grid.inside(1.0 / (px - (low - 1.0))).reshape(len(held), -1, grid.width)
                 for k in range(grid.bands):
-                    yield _parts(_keys(t=t, band=k, first=first), made[:, grid.band(k)])
+                    yield _parts(_keys(len(held), t=t[held], band=k, first=first[held]), made[:, :, grid.band(k)])
 
     def columns(table: pa.Table) -> pa.Table:
-        t, k = table.column("t")[0].as_py(), table.column("band")[0].as_py()
+        k = table.column("band")[0].as_py()
         width = grid.band(k).stop - grid.band(k).start
-        order = np.argsort(table.column("first").to_numpy())
-        whole = np.vstack([_complex(table.column("re")[i], table.column("im")[i], width) for i in order.tolist()])
-        return pa.Table.from_batches([_parts(_keys(t=t, band=k), np.fft.fft(whole, axis=0))])
+        t, first = (table.column(c).to_numpy() for c in ("t", "first"))
+        order = np.lexsort((first, t))
+        both = [table.column(c).combine_chunks().take(pa.array(order)).flatten().to_numpy(zero_copy_only=False) for c in ("re", "im")]
+        whole = (both[0] + 1j * both[1]).reshape(-1, grid.shape[0], width)
+        times = np.unique(t)
+        return pa.Table.from_batches([_parts(_keys(len(times), t=times, band=k), np.fft.fft(whole, axis=1))])
 
-    return slabs.mapInArrow(rows, PARTS).groupBy("t", "band").applyInArrow(columns, RUNS)
+    parts = slabs.mapInArrow(rows, PARTS)
+    return parts.groupBy(_together(grid.shape[0], grid.columns).alias("_some"), "band").applyInArrow(lambda key, table: columns(table.select(["t", "band", "first", "re", "im"])), RUNS)
 
 
 def mean_spectrum(found: DataFrame, shifts: DataFrame | None, count: int, grid: Grid) -> DataFrame:
@@ -135,14 +171,18 @@ def mean_spectrum(found: DataFrame, shifts: DataFrame | None, count: int, grid:
     def some(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            moves = batch.column("shift").to_pylist() if rolled else [None] * len(batch)
-            for k, re, im, move in zip(batch.column("band").to_pylist(), batch.column("re"), batch.column("im"), moves):
-                run = _complex(re, im, grid.band(k).stop - grid.band(k).start)
-                if move is not None:
-                    run = run * np.exp(-2j * np.pi * grid.turns(k, np.array(move)))
+            band = batch.column("band").to_numpy()
+            moves = _stacked(batch.column("shift")) if rolled else np.zeros((len(batch), 1))
+            # Rows of one run and one shift are added up before they are turned.
+            for held in _runs_of(grid.shape[0] * grid.columns, band, *moves.T):
+                k = int(band[held[0]])
+                both = [_stacked(batch.column(c), held).sum(axis=0) for c in ("re", "im")]
+                run = (both[0] + 1j * both[1]).reshape(grid.shape[0], -1)
+                if rolled:
+                    run = run * np.exp(-2j * np.pi * grid.turns(k, moves[held[0]]))
                 sums[k] = sums[k] + run if k in sums else run
         for k, total in sums.items():
-            yield _parts(_keys(band=k), total / count)
+            yield _parts(_keys(band=k), total[None] / count)
 
     def add(table: pa.Table) -> pa.Table:
         total = [list_array(sum(np.asarray(v.values.to_numpy(zero_copy_only=False)) for v in table.column(c))[None]) for c in ("re", "im")]
@@ -165,33 +205,45 @@ def offsets(found: DataFrame, template: DataFrame, grid: Grid, rows: int, as_wri
 
     def columns(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (t, k) in enumerate(zip(batch.column("t").to_pylist(), batch.column("band").to_pylist())):
-                width = grid.band(k).stop - grid.band(k).start
-                own, other = (_complex(batch.column(a)[i], batch.column(b)[i], width) for a, b in (("re", "im"), ("tre", "tim")))
-                back = np.fft.ifft((own if as_written else np.conj(own)) * other, axis=0)
+            t, band = (batch.column(c).to_numpy() for c in ("t", "band"))
+            for held in _runs_of(grid.shape[0] * grid.columns, band):
+                k = int(band[held[0]])
+                shape = (len(held), grid.shape[0], grid.band(k).stop - grid.band(k).start)
+                own = (_stacked(batch.column("re"), held) + 1j * _stacked(batch.column("im"), held)).reshape(shape)
+                other = _complex(batch.column("tre")[int(held[0])], batch.column("tim")[int(held[0])], shape[2])
+                back = np.fft.ifft((own if as_written else np.conj(own)) * other, axis=1)
                 for first in range(0, grid.shape[0], rows):
-                    yield _parts(_keys(t=t, band=k, first=first), back[first:first + rows])
+                    yield _parts(_keys(len(held), t=t[held], band=k, first=first), back[:, first:first + rows])
 
     def best(table: pa.Table) -> pa.Table:
         first = table.column("first")[0].as_py()
-        order = np.argsort(table.column("band").to_numpy())
-        runs = []
-        for i in order.tolist():
-            k = table.column("band")[i].as_py()
-            runs.append(_complex(table.column("re")[i], table.column("im")[i], grid.band(k).stop - grid.band(k).start))
-        overlap = grid.outside(np.hstack(runs))
-        top = overlap.max()
-        place = np.argwhere(overlap == top)
-        place[:, 0] += first
-        away = np.where(place > half, place - np.array(grid.shape), place)
-        length = (away**2).sum(axis=1)
-        near = int(np.lexsort((*place.T[::-1], length))[0])
-        number = int(np.ravel_multi_index(place[near], grid.shape))
-        return pa.table({"t": table.column("t").slice(0, 1), "top": pa.array([float(top)]), "near": pa.array([-int(length[near])], pa.int64()),
-                         "early": pa.array([-number], pa.int64()), "shift": pa.array([away[near].tolist()], pa.list_(pa.int32()))})
+        t, band = (table.column(c).to_numpy() for c in ("t", "band"))
+        times, runs = np.unique(t), []
+        size = min(rows, grid.shape[0] - first)
+        for k in range(grid.bands):
+            held = np.flatnonzero(band == k)
+            held = held[np.argsort(t[held])]
+            width = grid.band(k).stop - grid.band(k).start
+            runs.append((_stacked(table.column("re"), held) + 1j * _stacked(table.column("im"), held)).reshape(len(times), size, width))
+        overlaps = grid.outside(np.concatenate(runs, axis=2)).reshape(len(times), size, *grid.rest)
+        found: dict[str, list] = {"t": times.tolist(), "top": [], "near": [], "early": [], "shift": []}
+        for overlap in overlaps:
+            top = overlap.max()
+            place = np.argwhere(overlap == top)
+            place[:, 0] += first
+            away = np.where(place > half, place - np.array(grid.shape), place)
+            length = (away**2).sum(axis=1)
+            near = int(np.lexsort((*place.T[::-1], length))[0])
+            number = int(np.ravel_multi_index(place[near], grid.shape))
+            for name, value in (("top", float(top)), ("near", -int(length[near])), ("early", -number), ("shift", away[near].tolist())):
+                found[name].append(value)
+        kinds = {"t": pa.int64(), "top": pa.float64(), "near": pa.int64(), "early": pa.int64(), "shift": pa.list_(pa.int32())}
+        return pa.table({name: pa.array(found[name], kind) for name, kind in kinds.items()})
 
     joined = found.join(told, found["band"] == told["_band"]).drop("_band")
-    slabs = joined.mapInArrow(columns, PARTS).groupBy("t", "first").applyInArrow(best, "t long, top double, near long, early long, shift array<int>")
+    parts = joined.mapInArrow(columns, PARTS)
+    grouped = parts.groupBy(_together(rows, grid.width).alias("_some"), "first")
+    slabs = grouped.applyInArrow(lambda key, table: best(table.select(["t", "band", "first", "re", "im"])), "t long, top double, near long, early long, shift array<int>")
     return slabs.groupBy("t").agg(F.max(F.struct("top", "near", "early", "shift")).alias("b")).select("t", F.col("b.shift").alias("shift"))
 
 

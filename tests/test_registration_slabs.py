@@ -61,3 +61,25 @@ def test_absent_pixels_mixed_shapes_and_nothing(spark, frames_of, rng):
     assert [r["shift"] for r in still.collect()] == [[0, 0], [0, 0]] and distances == [0.0]
     pixels = rs.slab_pixels(rs.cut_slabs(frames_of(np.arange(12.0).reshape(1, 3, 4)), 2))
     assert sorted(map(tuple, pixels.where(F.col("v") > 9).collect())) == [(0, 2, 2, 10.0), (0, 2, 3, 11.0)]
+
+
+def test_small_frames_are_transformed_together(spark, frames_of, rng, monkeypatch):
+    stack, _ = moving(rng, (5, 6), n=40)
+    scratch, grid, groups = Scratch(spark, "together"), rs.Grid((5, 6), 2), []
+    slabs = scratch.write(rs.cut_slabs(frames_of(stack), 3))
+    group_by = type(slabs).groupBy
+
+    def spy(self, *columns):
+        groups.append(self.select(*columns).distinct().count())
+        return group_by(self, *columns)
+
+    monkeypatch.setattr(type(slabs), "groupBy", spy)
+    found = rs.spectra(slabs, 0.0, grid)
+    assert groups == [grid.bands]
+    monkeypatch.undo()
+    want = np.fft.fft(np.fft.rfft(1 / (stack + 1), axis=2), axis=1)
+    rows = found.collect()
+    assert len(rows) == 40 * grid.bands
+    for r in rows:
+        got = (np.array(r["re"]) + 1j * np.array(r["im"])).reshape(5, -1)
+        np.testing.assert_allclose(got, want[r["t"]][:, grid.band(r["band"])], atol=1e-12)
