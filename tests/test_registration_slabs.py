@@ -83,3 +83,23 @@ def test_small_frames_are_transformed_together(spark, frames_of, rng, monkeypatc
     for r in rows:
         got = (np.array(r["re"]) + 1j * np.array(r["im"])).reshape(5, -1)
         np.testing.assert_allclose(got, want[r["t"]][:, grid.band(r["band"])], atol=1e-12)
+
+
+def test_small_volumes_are_matched_together(spark, rng, monkeypatch):
+    stack, _ = moving(rng, (4, 4, 4), n=20, reach=1)
+    rows = [(t, z, y, x, float(stack[t, z, y, x])) for t, z, y, x in np.ndindex(stack.shape)]
+    scratch, grid, groups = Scratch(spark, "matched"), rs.Grid((4, 4, 4), 5), []
+    slabs = scratch.write(rs.volume_slabs(spark.createDataFrame(rows, "t long, z int, y int, x int, v double"), (4, 4, 4), 2))
+    found = scratch.write(rs.spectra(slabs, 0.0, grid))
+    template = scratch.write(rs.mean_spectrum(found, None, 20, grid))
+    group_by = type(slabs).groupBy
+
+    def spy(self, *columns):
+        groups.append(self.select(*columns).distinct().count())
+        return group_by(self, *columns)
+
+    monkeypatch.setattr(type(slabs), "groupBy", spy)
+    matched = rs.offsets(found, template, grid, 2)
+    assert groups == [2, 20]  # slabs of all volumes, then one maximum per volume
+    monkeypatch.undo()
+    assert matched.count() == 20
