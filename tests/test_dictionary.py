@@ -314,3 +314,23 @@ def test_blocks_take_positive_atoms_and_own_learners(frames_of, rng):
     assert made.shape == (4, 4, 4) and (made >= 0).all()
     means = array_of(dictionary.fit_blocks(frames, 2, (6, 4, 4), learner=lambda x, atoms, *_: np.tile(x.mean(axis=0), (len(atoms), 1))), "atom")
     np.testing.assert_allclose(means[0], array_of(frames)[:6].mean(axis=0))
+
+
+def test_reconstruct_sums_by_frame_and_keeps_the_rules_of_a_join(spark, monkeypatch):
+    monkeypatch.setattr(dictionary, "PRODUCT_VALUES", 12)
+    atoms = spark.createDataFrame([(1, 2, 2, [1.0, 2.0, 3.0, 4.0]), (2, 2, 2, [10.0, 20.0, None, 40.0]), (2, 2, 2, [0.5, 0.5, 0.5, 0.5]), (None, 2, 2, [9.0] * 4)],
+                                  "atom long, h int, w int, px array<double>")
+    code = spark.createDataFrame([(1, 0, 2.0), (2, 0, 1.0), (1, 1, 1.0), (1, 1, 1.0), (7, 2, 1.0), (2, 3, -1.0), (1, 4, None), (None, 5, 1.0), (1, None, 3.0)]
+                                 + [(1, t, float(t)) for t in range(6, 30)], "atom long, t long, coef double")
+    made = dictionary.reconstruct(code, atoms)
+    # Pixels appear after the sums: no task holds a sum per pixel.
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate [t")
+    got = {(r["t"], r["y"], r["x"]): r["v"] for r in made.collect()}
+    want = {0: [12.5, 24.5, 6.5, 48.5], 1: [2.0, 4.0, 6.0, 8.0], 3: [-10.5, -20.5, -0.5, -40.5], 4: [None] * 4, None: [3.0, 6.0, 9.0, 12.0]}
+    want |= {t: [t * v for v in (1.0, 2.0, 3.0, 4.0)] for t in range(6, 30)}
+    assert got == {(t, k // 2, k % 2): v for t, px in want.items() for k, v in enumerate(px)}
+    # Atoms of several shapes are joined pixel by pixel.
+    mixed = spark.createDataFrame([(1, 1, 1, [1.0]), (2, 1, 2, [5.0, 7.0])], "atom long, h int, w int, px array<double>")
+    rows = dictionary.reconstruct(code.where("t = 0"), mixed).collect()
+    assert {(r["x"], r["v"]) for r in rows} == {(0, 7.0), (1, 7.0)}
