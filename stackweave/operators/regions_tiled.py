@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from stackweave.session import Scratch
 TILE_KEY = ("t", "y0", "x0")
 PLACE = "t long, y0 int, x0 int, h int, w int"
 FAR = np.iinfo(np.int64).max
+#: Pixels of the small tiles that are worked on together, about.
+TOGETHER_PIXELS = 1 << 17
 
 
 def cut_tiles(frames: DataFrame, size: tuple[int, int], *columns: str) -> DataFrame:
@@ -54,36 +57,56 @@ def _rows(t: np.ndarray, y0: int, x0: int, parts: list[np.ndarray], names: Itera
                                       names=["t", "y0", "x0", "h", "w", *names])
 
 
-def _tile(row: pa.RecordBatch, k: int, column: str) -> np.ndarray:
-    h, w = row.column("h")[k].as_py(), row.column("w")[k].as_py()
-    return row.column(column)[k].values.to_numpy(zero_copy_only=False).reshape(h, w)
+def _alike(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Rows of tiles of one size with that size, as many at a time as hold ``TOGETHER_PIXELS``."""
+    heights, widths = batch.column("h").to_numpy(), batch.column("w").to_numpy()
+    for h, w in sorted(set(zip(heights.tolist(), widths.tolist()))):
+        rows = np.flatnonzero((heights == h) & (widths == w))
+        most = max(1, TOGETHER_PIXELS // max(1, h * w))
+        for k in range(0, len(rows), most):
+            yield rows[k:k + most], h, w
+
+
+def _images(column: pa.Array, rows: np.ndarray, h: int, w: int) -> np.ndarray:
+    return column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), h, w)
+
+
+def _lists(lengths: np.ndarray, values: pa.Array | np.ndarray) -> pa.ListArray:
+    """One list of each length, one after the other from ``values``."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), values if isinstance(values, pa.Array) else pa.array(values))
 
 
 def _with_width(tiles: DataFrame, scratch: Scratch) -> DataFrame:
     """Tiles with the width of their whole image: one row per image meets its tiles."""
     widths = scratch.write(tiles.groupBy("t").agg(F.max(F.col("x0") + F.col("w")).cast("long").alias("width"), F.max(F.col("y0") + F.col("h")).cast("long").alias("height")))
-    return tiles.join(widths, "t")
+    # Work per byte is high from here on, so the number of tasks is not left to the size of the tiles.
+    tasks = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tiles.repartition(tasks, *TILE_KEY).join(widths, "t")
 
 
 def _local_labels(column: str):
-    """Labels inside each tile, by the number of their first pixel in the whole image, and the tile's border pixels."""
+    """Labels inside each tile, by the number of their first pixel in the whole image, and the tile's border pixels.
+
+    Small tiles are labelled many at a time, one below the other with a blank row between them.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(len(batch)):
-                mask = _tile(batch, k, column) > 0
-                y0, x0, width = (batch.column(c)[k].as_py() for c in ("y0", "x0", "width"))
-                h, w = mask.shape
-                local = spread_labels(mask)
-                at = np.maximum(local - 1, 0)
+            for rows, h, w in _alike(batch):
+                n = len(rows)
+                mask = _images(batch.column(column), rows, h, w) > 0
+                y0, x0, width = (batch.column(c).to_numpy()[rows].astype(np.int64)[:, None, None] for c in ("y0", "x0", "width"))
+                local = spread_labels(np.pad(mask, ((0, 0), (0, 1), (0, 0))).reshape(n * (h + 1), w)).reshape(n, h + 1, w)[:, :h]
+                at = np.maximum(local - 1 - np.arange(n)[:, None, None] * ((h + 1) * w), 0)
                 label = np.where(local > 0, (y0 + at // w) * width + x0 + at % w + 1, 0)
                 edge = np.zeros((h, w), bool)
                 edge[[0, -1], :] = True
                 edge[:, [0, -1]] = True
-                places = np.flatnonzero((edge & (label > 0)).ravel())
+                tile, places = np.nonzero((edge & (label > 0)).reshape(n, -1))
+                count = np.bincount(tile, minlength=n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(k, 1) for c in ("t", "y0", "x0", "h", "w")]
-                    + [list_array(label.reshape(1, -1), np.int64), list_array(places[None], np.int64), list_array(label.ravel()[places][None], np.int64)],
+                    [batch.column(c).take(pa.array(rows)) for c in ("t", "y0", "x0", "h", "w")]
+                    + [list_array(label.reshape(n, -1), np.int64), _lists(count, places.astype(np.int64)), _lists(count, label.reshape(n, -1)[tile, places])],
                     names=["t", "y0", "x0", "h", "w", "region", "places", "labels"])
 
     return run
@@ -121,17 +144,18 @@ def label_tiles(tiles: DataFrame, scratch: Scratch, column: str = "mask", out: s
 
     def rename(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            regions = []
-            for k in range(len(batch)):
-                region = batch.column("region")[k].values.to_numpy()
-                if batch.column("old")[k].is_valid:
-                    old, new = (batch.column(c)[k].values.to_numpy() for c in ("old", "new"))
-                    order = np.argsort(old)
-                    at = np.minimum(np.searchsorted(old[order], region), len(old) - 1)
-                    region = np.where(old[order][at] == region, new[order][at], region)
-                regions.append(region)
-            sizes = np.concatenate(([0], np.cumsum([len(r) for r in regions]))).astype(np.int32)
-            column = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([np.empty(0, np.int64), *regions])))
+            # A name is looked up by the tile's place in the batch and the label, among the old names in that order.
+            sizes, changed = (np.asarray(pc.fill_null(pc.list_value_length(batch.column(c)), 0)) for c in ("region", "old"))
+            region, old, new = (pc.list_flatten(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("region", "old", "new"))
+            if len(old):
+                owner = np.repeat(np.arange(len(batch)), changed)
+                order = np.lexsort((old, owner))
+                names, at = np.unique(np.concatenate((old, region)), return_inverse=True)
+                key = np.repeat(np.arange(len(batch)), sizes) * len(names) + at[len(old):]
+                known = (owner * len(names) + at[:len(old)])[order]
+                place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                region = np.where(known[place] == key, new[order][place], region)
+            column = _lists(sizes, region)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("t", "y0", "x0", "h", "w")] + [column], names=["t", "y0", "x0", "h", "w", out])
 
     return joined.mapInArrow(rename, f"{PLACE}, {out} array<long>")
@@ -188,33 +212,41 @@ def _border(side: int) -> slice:
     return {-1: slice(1, 2), 0: slice(1, -1), 1: slice(-2, -1)}[side]
 
 
-def _grown(batch: pa.RecordBatch, number: int, pitch: tuple[int, int], images: list[dict[str, np.ndarray]], before: list[dict[str, np.ndarray]] | None) -> pa.RecordBatch:
-    """State rows of padded tiles after growth, with the strips that changed for each neighbour."""
-    place = {c: batch.column(c).to_pylist() for c in ("t", "y0", "x0", "h", "w", "width")}
-    shapes: dict[tuple[int, int], list[int]] = {}
-    for k, image in enumerate(images):
-        shapes.setdefault(image["region"].shape, []).append(k)
-    for rows in shapes.values():
-        steps, owner = relax(*[np.stack([images[k][c] for k in rows]) for c in IMAGES])
-        for at, k in enumerate(rows):
-            images[k]["steps"], images[k]["owner"] = steps[at], owner[at]
-    sent = []
-    for k, now in enumerate(images):
-        strips = []
-        for dy, dx in SIDES:
-            edge = (_border(dy), _border(dx))
-            if before is None:
-                changed = (now["steps"][edge] < FAR).any()
-            else:
-                changed = any((before[k][c][edge] != now[c][edge]).any() for c in IMAGES[1:])
-            if changed and place["y0"][k] + dy * pitch[0] >= 0 and 0 <= place["x0"][k] + dx * pitch[1] < place["width"][k]:
-                strips.append({"dy": dy, "dx": dx, **{c: now[c][edge].ravel() for c in IMAGES}})
-        sent.append(strips)
-    columns = [batch.column(c) for c in ("t", "y0", "x0", "h", "w", "width")] + [pa.array([number] * len(images), pa.int32())]
-    columns += [pa.array([image[c].ravel() for image in images], pa.list_(pa.int64())) for c in IMAGES]
-    lists = pa.list_(pa.int64())
-    columns.append(pa.array(sent, pa.list_(pa.struct([("dy", pa.int32()), ("dx", pa.int32()), ("region", lists), ("steps", lists), ("owner", lists)]))))
-    return pa.RecordBatch.from_arrays(columns, names=["t", "y0", "x0", "h", "w", "width", "number", *IMAGES, "sent"])
+def _strips(images: dict[str, np.ndarray], changed: np.ndarray) -> pa.ListArray:
+    """Per tile a list of the strips of its border towards the sides ``changed`` (tiles by sides)."""
+    tile, side = np.nonzero(changed)
+    edges = [(_border(dy), _border(dx)) for dy, dx in SIDES]
+    sizes = np.array([images["region"][:1, y, x].size for y, x in edges])
+    lengths = sizes[side]
+    begin = np.cumsum(lengths) - lengths
+    columns = [pa.array(np.array(SIDES, np.int32)[side, k]) for k in (0, 1)]
+    for c in IMAGES:
+        flat = np.empty(int(lengths.sum()), np.int64)
+        for k, (y, x) in enumerate(edges):
+            held = np.flatnonzero(side == k)
+            flat[begin[held][:, None] + np.arange(sizes[k])] = images[c][:, y, x][tile[held]].reshape(len(held), sizes[k])
+        columns.append(_lists(lengths, flat))
+    return _lists(changed.sum(axis=1), pa.StructArray.from_arrays(columns, names=["dy", "dx", *IMAGES]))
+
+
+def _grown(tiles: pa.RecordBatch, number: int, pitch: tuple[int, int], images: dict[str, np.ndarray], before: dict[str, np.ndarray] | None) -> pa.RecordBatch:
+    """State rows of padded tiles of one size after growth, with the strips that changed for each neighbour."""
+    n = len(tiles)
+    steps, owner = relax(*[images[c] for c in IMAGES])
+    now = {"region": images["region"], "steps": steps, "owner": owner}
+    y0, x0, width = (tiles.column(c).to_numpy().astype(np.int64) for c in ("y0", "x0", "width"))
+    changed = np.zeros((n, len(SIDES)), bool)
+    for k, (dy, dx) in enumerate(SIDES):
+        edge = (slice(None), _border(dy), _border(dx))
+        if before is None:
+            moved = now["steps"][edge] < FAR
+        else:
+            moved = (before["steps"][edge] != steps[edge]) | (before["owner"][edge] != owner[edge])
+        there = x0 + dx * pitch[1]
+        changed[:, k] = moved.any(axis=(1, 2)) & (y0 + dy * pitch[0] >= 0) & (there >= 0) & (there < width)
+    columns = [tiles.column(c) for c in ("t", "y0", "x0", "h", "w", "width")] + [pa.array(np.full(n, number, np.int32))]
+    columns += [list_array(now[c].reshape(n, -1), np.int64) for c in IMAGES]
+    return pa.RecordBatch.from_arrays([*columns, _strips(now, changed)], names=["t", "y0", "x0", "h", "w", "width", "number", *IMAGES, "sent"])
 
 
 def split_tiles(tiles: DataFrame, scratch: Scratch, out: str = "seg") -> DataFrame:
@@ -236,31 +268,33 @@ def split_tiles(tiles: DataFrame, scratch: Scratch, out: str = "seg") -> DataFra
     row = f"{STATE}, sent array<struct<dy:int,dx:int,region:array<long>,steps:array<long>,owner:array<long>>>"
 
     def start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        around = ((0, 0), (1, 1), (1, 1))
         for batch in batches:
-            images = []
-            for k in range(len(batch)):
-                y0, x0, width = (batch.column(c)[k].as_py() for c in ("y0", "x0", "width"))
-                region = _tile(batch, k, "region").astype(np.int64)
-                peak = (_tile(batch, k, "peak") > 0) & (region > 0)
-                y, x = np.indices(peak.shape)
-                images.append({"region": np.pad(region, 1), "steps": np.pad(np.where(peak, 0, FAR), 1, constant_values=FAR),
-                               "owner": np.pad(np.where(peak, (y0 + y) * width + x0 + x + 1, FAR), 1, constant_values=FAR)})
-            yield _grown(batch, 0, pitch, images, None)
+            for rows, h, w in _alike(batch):
+                y0, x0, width = (batch.column(c).to_numpy()[rows].astype(np.int64)[:, None, None] for c in ("y0", "x0", "width"))
+                region = _images(batch.column("region"), rows, h, w).astype(np.int64)
+                peak = (_images(batch.column("peak"), rows, h, w) > 0) & (region > 0)
+                y, x = np.indices((h, w))
+                images = {"region": np.pad(region, around), "steps": np.pad(np.where(peak, 0, FAR), around, constant_values=FAR),
+                          "owner": np.pad(np.where(peak, (y0 + y) * width + x0 + x + 1, FAR), around, constant_values=FAR)}
+                yield _grown(batch.take(pa.array(rows)), 0, pitch, images, None)
 
     def go_on(number: int):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                images, before = [], []
-                for k, (h, w, strips) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("h", "w", "strips")))):
-                    old = {c: batch.column(c)[k].values.to_numpy().reshape(h + 2, w + 2) for c in IMAGES}
-                    new = {c: image.copy() for c, image in old.items()}
-                    for strip in strips:
+                for rows, h, w in _alike(batch):
+                    tiles = batch.take(pa.array(rows))
+                    before = {c: _images(batch.column(c), rows, h + 2, w + 2) for c in IMAGES}
+                    images = {c: image.copy() for c, image in before.items()}
+                    strips = tiles.column("strips").flatten()
+                    tile = np.repeat(np.arange(len(rows)), np.asarray(pc.list_value_length(tiles.column("strips"))))
+                    sides = np.stack([strips.field(c).to_numpy() for c in ("dy", "dx")])
+                    for dy, dx in SIDES:
+                        held = np.flatnonzero((sides[0] == dy) & (sides[1] == dx))
+                        rim = (tile[held], _rim(dy, h), _rim(dx, w))
                         for c in IMAGES:
-                            target = new[c][_rim(strip["dy"], h), _rim(strip["dx"], w)]
-                            target[...] = np.asarray(strip[c], np.int64).reshape(target.shape)
-                    images.append(new)
-                    before.append(old)
-                yield _grown(batch, number, pitch, images, before)
+                            images[c][rim] = strips.field(c).take(pa.array(held)).flatten().to_numpy(zero_copy_only=False).reshape(images[c][rim].shape)
+                    yield _grown(tiles, number, pitch, images, before)
 
         return run
 
@@ -279,7 +313,7 @@ def split_tiles(tiles: DataFrame, scratch: Scratch, out: str = "seg") -> DataFra
         if rims.isEmpty():
             break
         number += 1
-        fresh = scratch.write(latest(grown).join(rims, list(TILE_KEY)).mapInArrow(go_on(number), row))
+        fresh = scratch.write(latest(grown.join(rims, list(TILE_KEY), "left_semi")).join(rims, list(TILE_KEY)).mapInArrow(go_on(number), row))
         grown = grown.unionByName(fresh.drop("sent"))
         if number % 8 == 0:
             grown = scratch.write(latest(grown))

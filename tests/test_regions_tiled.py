@@ -76,3 +76,35 @@ def test_tiles_of_mixed_frames(spark, rng):
     got = {(r["t"], r["y"], r["x"]): r["px"] for r in rt.tile_pixels(rt.cut_tiles(both, (2, 3)), "px").collect()}
     want = {(t, y, x): a[t, y, x] for t in range(2) for y in range(4) for x in range(5)} | {(2, y, x): b[0, y, x] for y in range(3) for x in range(2)}
     assert got == want
+
+
+@pytest.mark.parametrize("together", [1, 60, 1 << 17])
+def test_small_tiles_are_worked_on_together(monkeypatch, together):
+    import pyarrow as pa
+    monkeypatch.setattr(rt, "TOGETHER_PIXELS", together)
+    rng = np.random.default_rng(8)
+    shapes = [(2, 3)] * 40 + [(3, 4)] * 20
+    masks = [(rng.random(s) < 0.6).astype(float) for s in shapes]
+    fixed = {"t": pa.array(np.arange(60)), "y0": pa.array(np.full(60, 2, np.int32)), "x0": pa.array(np.full(60, 3, np.int32)), "h": pa.array([s[0] for s in shapes], pa.int32()),
+             "w": pa.array([s[1] for s in shapes], pa.int32()), "width": pa.array(np.full(60, 9))}
+    calls = []
+    monkeypatch.setattr(rt, "spread_labels", lambda mask: calls.append(1) or spread_labels(mask))
+    made = list(rt._local_labels("mask")([pa.RecordBatch.from_pydict(fixed | {"mask": [m.ravel().tolist() for m in masks]})]))
+    assert len(calls) == len(made) == {1: 60, 60: 8, 1 << 17: 2}[together]
+    rows = {r["t"]: r for batch in made for r in batch.to_pylist()}
+    for t, mask in enumerate(masks):
+        h, w = mask.shape
+        at = spread_labels(mask > 0) - 1
+        want = np.where(at >= 0, (2 + at // w) * 9 + 3 + at % w + 1, 0)
+        assert rows[t]["region"] == want.ravel().tolist()
+        edge = [p for p in np.flatnonzero(want.ravel()) if p // w in (0, h - 1) or p % w in (0, w - 1)]
+        assert rows[t]["places"] == edge and rows[t]["labels"] == want.ravel()[edge].tolist()
+    # A strip goes to each neighbour that lies in the image, from all tiles of one size at once.
+    region = np.ones((30, 4, 5), np.int64)
+    steps = np.full(region.shape, rt.FAR)
+    steps[::2, 1, 1] = 0
+    places = pa.RecordBatch.from_pydict({k: v.slice(0, 30) for k, v in fixed.items()})
+    grown = rt._grown(places, 0, (2, 3), {"region": region, "steps": steps, "owner": np.where(steps == 0, 7, rt.FAR)}, None).to_pylist()
+    assert [len(r["sent"]) for r in grown] == [8, 0] * 15
+    low = next(s for s in grown[2]["sent"] if (s["dy"], s["dx"]) == (1, 0))
+    assert low["steps"] == [1, 1, 2] and low["owner"] == [7, 7, 7] and low["region"] == [1, 1, 1]
