@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stackweave.functions.arrays import let
 from stackweave.model import batch_stacks, list_array
 from stackweave.operators.sums import FAN_IN
 from stackweave.session import Scratch
@@ -50,7 +51,10 @@ def cut_slabs(frames: DataFrame, rows: int | None = None) -> DataFrame:
 
 
 def volume_slabs(pixels: DataFrame, shape: Sequence[int], planes: int, space: Sequence[str] = ("z", "y", "x"), fill: float = 0.0) -> DataFrame:
-    """Slabs of ``planes`` entries of the first axis from pixel rows ``(t, *space, v)``; absent pixels become ``fill``."""
+    """Slabs of ``planes`` entries of the first axis from pixel rows ``(t, *space, v)``; absent pixels become ``fill``.
+
+    Pixels are put in order, absent ones among them; looking each up in the map would take the square of a slab's size.
+    """
     rest = math.prod(shape[1:])
     place = F.lit(0)
     for axis, size in zip(space[1:], shape[1:]):
@@ -59,8 +63,16 @@ def volume_slabs(pixels: DataFrame, shape: Sequence[int], planes: int, space: Se
     rows = pixels.select("t", first.alias("first"), ((F.col(space[0]) % planes) * rest + place).cast("int").alias("p"), F.col("v").cast("double").alias("v"))
     grouped = rows.groupBy("t", "first").agg(F.map_from_entries(F.collect_list(F.struct("p", "v"))).alias("m"))
     size = F.least(F.lit(planes), F.lit(shape[0]) - F.col("first")) * rest
-    px = F.transform(F.sequence(F.lit(0), size - 1), lambda p: F.coalesce(F.element_at("m", p), F.lit(float(fill))))
-    return grouped.select("t", "first", F.array(*[F.lit(int(s)) for s in shape]).alias("shape"), px.alias("px"))
+
+    def ordered(last: Column) -> Column:
+        absent = F.array_except(F.sequence(F.lit(0), last), F.map_keys("m"))
+        cells = F.concat(F.map_entries("m"), F.transform(absent, lambda p: F.struct(p.alias("key"), F.lit(None).cast("double").alias("value"))))
+        # A slab wholly outside of the shape counts downwards from 0.
+        inside = F.filter(cells, lambda e: e["key"].between(F.least(F.lit(0), last), F.greatest(F.lit(0), last)))
+        placed = F.sort_array(F.transform(inside, lambda e: F.struct(F.abs(e["key"]).alias("p"), e["value"].alias("v"))))
+        return F.transform(placed, lambda e: F.coalesce(e["v"], F.lit(float(fill))))
+
+    return grouped.select("t", "first", F.array(*[F.lit(int(s)) for s in shape]).alias("shape"), let(size - 1, ordered).alias("px"))
 
 
 class Grid:
@@ -126,15 +138,22 @@ def _runs_of(values: int, *columns: np.ndarray) -> Iterator[np.ndarray]:
             yield run[k:k + most]
 
 
-def _together(rows: int, values: int) -> Column:
-    """Frames that meet in one group, by their number: as many as hold ``TOGETHER_VALUES`` numbers of what is grouped."""
-    return F.expr(f"t div {max(1, TOGETHER_VALUES // max(1, rows * values))}")
+def _together(frames: DataFrame, count: int | None, rows: int, values: int) -> Column:
+    """Frames that meet in one group: about as many as hold ``TOGETHER_VALUES`` numbers of what is grouped, whatever their ``t``.
+
+    Large frames stay alone. Small ones are dealt by hash over as many groups as their ``count`` asks for, counted here if not given.
+    """
+    most = TOGETHER_VALUES // max(1, rows * values)
+    if most <= 1:
+        return F.col("t")
+    count = frames.select("t").distinct().count() if count is None else count
+    return F.pmod(F.xxhash64("t"), F.lit(max(1, -(-count // most))))
 
 
-def spectra(slabs: DataFrame, low: float, grid: Grid) -> DataFrame:
+def spectra(slabs: DataFrame, low: float, grid: Grid, count: int | None = None) -> DataFrame:
     """``(t, band, re, im)``: half spectra of the inverted frames, a row per run of columns, all of the first axis each.
 
-    Small frames are transformed many at a time.
+    Small frames are transformed many at a time; give their ``count`` if it is known.
     """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +177,8 @@ def spectra(slabs: DataFrame, low: float, grid: Grid) -> DataFrame:
         return pa.Table.from_batches([_parts(_keys(len(times), t=times, band=k), np.fft.fft(whole, axis=1))])
 
     parts = slabs.mapInArrow(rows, PARTS)
-    return parts.groupBy(_together(grid.shape[0], grid.columns).alias("_some"), "band").applyInArrow(lambda key, table: columns(table.select(["t", "band", "first", "re", "im"])), RUNS)
+    some = _together(slabs, count, grid.shape[0], grid.columns)
+    return parts.groupBy(some.alias("_some"), "band").applyInArrow(lambda key, table: columns(table.select(["t", "band", "first", "re", "im"])), RUNS)
 
 
 def mean_spectrum(found: DataFrame, shifts: DataFrame | None, count: int, grid: Grid) -> DataFrame:
@@ -194,8 +214,8 @@ def mean_spectrum(found: DataFrame, shifts: DataFrame | None, count: int, grid:
     return once.groupBy("band").applyInArrow(add, kind)
 
 
-def offsets(found: DataFrame, template: DataFrame, grid: Grid, rows: int, as_written: bool = False) -> DataFrame:
-    """``(t, shift)``: what each frame has to be rolled by to lie on the template.
+def offsets(found: DataFrame, template: DataFrame, grid: Grid, rows: int, as_written: bool = False, count: int | None = None) -> DataFrame:
+    """``(t, shift)``: what each frame has to be rolled by to lie on the template. Give the ``count`` of frames if it is known.
 
     The overlap is made slab by slab; a slab tells its maximum and the place of it nearest to the origin, and a
     frame takes the largest maximum, of equals the nearest, of those the first in row-major order.
@@ -242,7 +262,7 @@ def offsets(found: DataFrame, template: DataFrame, grid: Grid, rows: int, as_wri
 
     joined = found.join(told, found["band"] == told["_band"]).drop("_band")
     parts = joined.mapInArrow(columns, PARTS)
-    grouped = parts.groupBy(_together(rows, grid.width).alias("_some"), "first")
+    grouped = parts.groupBy(_together(found, count, rows, grid.width).alias("_some"), "first")
     slabs = grouped.applyInArrow(lambda key, table: best(table.select(["t", "band", "first", "re", "im"])), "t long, top double, near long, early long, shift array<int>")
     return slabs.groupBy("t").agg(F.max(F.struct("top", "near", "early", "shift")).alias("b")).select("t", F.col("b.shift").alias("shift"))
 
@@ -264,14 +284,14 @@ def estimate_shifts(
     if about["shape"] != about["least"]:
         raise ValueError(f"frames of {about['least']} and of {about['shape']} in one stack")
     grid = Grid(about["shape"], columns)
-    found = scratch.write(spectra(slabs_, about["low"], grid))
+    found = scratch.write(spectra(slabs_, about["low"], grid, about["n"]))
     template, shifts, distances = scratch.write(mean_spectrum(found, None, about["n"], grid)), None, []
     for _ in range(rounds):
         if shifts is not None:
             fresh = mean_spectrum(found, shifts, about["n"], grid).select("band", F.col("re").alias("fre"), F.col("im").alias("fim"))
             mix = lambda a, b: F.zip_with(a, b, lambda old, new: old * F.lit(history) + new * F.lit(1 - history))
             template = scratch.write(template.join(fresh, "band").select("band", mix("re", "fre").alias("re"), mix("im", "fim").alias("im")))
-        matched = scratch.write(offsets(found, template, grid, about["rows"], as_written))
+        matched = scratch.write(offsets(found, template, grid, about["rows"], as_written, about["n"]))
         axes = range(len(grid.shape))
         drift = matched.agg(*[F.bround(F.avg(F.col("shift")[a])).cast("int").alias(f"d{a}") for a in axes]).first()
         now = scratch.write(matched.select("t", F.array(*[F.col("shift")[a] - F.lit(drift[a]) for a in axes]).alias("shift")))

@@ -103,3 +103,50 @@ def test_small_volumes_are_matched_together(spark, rng, monkeypatch):
     assert groups == [2, 20]  # slabs of all volumes, then one maximum per volume
     monkeypatch.undo()
     assert matched.count() == 20
+
+
+@pytest.mark.parametrize("apart", [1, 10**9 + 7])
+def test_small_frames_meet_whatever_their_numbers(spark, frames_of, rng, monkeypatch, apart):
+    stack, _ = moving(rng, (5, 6), n=40)
+    scratch, grid, groups = Scratch(spark, "apart"), rs.Grid((5, 6), 2), []
+    slabs = scratch.write(rs.cut_slabs(frames_of(stack).withColumn("t", (F.col("t") - 20) * apart), 3))
+    group_by = type(slabs).groupBy
+
+    def spy(self, *columns):
+        groups.append(self.select(*columns).distinct().count())
+        return group_by(self, *columns)
+
+    monkeypatch.setattr(type(slabs), "groupBy", spy)
+    found = rs.spectra(slabs, 0.0, grid)
+    monkeypatch.undo()
+    template = scratch.write(rs.mean_spectrum(found, None, 40, grid))
+    monkeypatch.setattr(type(slabs), "groupBy", spy)
+    matched = rs.offsets(found, template, grid, 3)
+    assert groups == [grid.bands, 2, 40]
+    monkeypatch.undo()
+    want = registration.estimate_shifts(frames_of(stack), 2)
+    got, _ = rs.estimate_shifts(slabs, scratch, 2, columns=2)
+    assert [(r["t"] // apart + 20, *r["shift"]) for r in got.orderBy("t").collect()] == [tuple(r) for r in want.select("t", "dy", "dx").orderBy("t").collect()]
+    assert matched.count() == 40
+
+
+def test_groups_stay_bounded_and_large_frames_alone(spark, monkeypatch):
+    frames = spark.range(3000).select((F.col("id") * 1_000_003).alias("t"))
+    sizes = lambda values: [r["count"] for r in frames.groupBy(rs._together(frames, None, 1, values)).count().collect()]
+    monkeypatch.setattr(rs, "TOGETHER_VALUES", 1000)
+    assert len(sizes(10)) == 30 and max(sizes(10)) < 200
+    assert sizes(501) == [1] * 3000
+
+
+def test_slabs_put_pixels_in_order_without_looking_each_up(spark):
+    planes, rest, at = 2, 7, {(0, 0, 0): 1.0, (0, 0, 6): 2.0, (1, 0, 3): None, (2, 0, 5): 4.0}
+    pixels = spark.createDataFrame([(5, *k, v) for k, v in at.items()], "t long, z int, y int, x int, v double")
+    slabs = rs.volume_slabs(pixels, (3, 1, rest), planes, fill=9.0)
+    assert "element_at" not in slabs._jdf.queryExecution().analyzed().toString()
+    assert [tuple(r) for r in slabs.orderBy("first").collect()] == [
+        (5, 0, [3, 1, rest], [1.0, *[9.0] * 5, 2.0, *[9.0] * 7]), (5, 2, [3, 1, rest], [*[9.0] * 5, 4.0, 9.0])]
+    # Beyond the shape: ignored inside of a slab, counted downwards for a slab of its own.
+    beyond = spark.createDataFrame([(1, 0, 0, 0, 1.0), (1, 3, 1, 0, 2.0), (1, 4, 0, 0, 3.0)], "t long, z int, y int, x int, v double")
+    assert [(r["first"], r["px"]) for r in rs.volume_slabs(beyond, (4, 1, 2), 4).orderBy("first").collect()] == [(0, [1.0, *[0.0] * 7]), (4, [3.0, 0.0])]
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        rs.volume_slabs(pixels.unionAll(pixels), (3, 1, rest), planes).collect()
